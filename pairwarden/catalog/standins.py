@@ -105,7 +105,7 @@ _DEVICE = [
     "'D' || cast(s_suppkey as string) as device_id",
     "case when s_suppkey % 17 = 3 then '' else '10.' || cast(s_nationkey as string) || '.' || cast(cast(floor(s_suppkey / 250) as bigint) as string) || '.' || cast(s_suppkey % 250 as string) end as ip_address",
 ]
-_EVENT_COLUMNS = [
+EVENT_COLUMNS = [
     "event_id",
     "ts",
     "user_id",
@@ -179,7 +179,7 @@ def tables(spark: SparkSession, folder: str) -> Tables:
 
 def sourced_events(spark: SparkSession, folder: str) -> DataFrame:
     """All events with hash, source and id, logs and packets in one frame."""
-    return table(spark, folder, "events").selectExpr(*_EVENT_COLUMNS)
+    return table(spark, folder, "events").selectExpr(*EVENT_COLUMNS)
 
 
 
@@ -256,7 +256,7 @@ def _enriched_logs(hits: str) -> str:
 
 
 CTES: dict[str, str] = {
-    "ev": f"select {_list(_EVENT_COLUMNS)} from events",
+    "ev": f"select {_list(EVENT_COLUMNS)} from events",
     "logs": f"select {_list(_LOG_COLUMNS)}, {_SQL_LOG_TIME} as loged_time from events where {_LOG_TYPES}",
     "packets": f"select {_list(_PACKET_COLUMNS)}, {_SQL_LOG_TIME} || {_SQL_FRACTION} as packet_time "
                f"from events where {_PACKET_TYPES}",
@@ -317,4 +317,6 @@ def with_ctes(names: str, body: str, **extra: str) -> str:
     for name in names.split():
         add(name)
     parts = [f"{n} as ({CTES[n]})" for n in ordered] + [f"{n} as ({t})" for n, t in extra.items()]
+    if body.startswith("with "):
+        return f"with {', '.join(parts)}, {body[5:]}"
     return f"with {', '.join(parts)} {body}"
