@@ -1,6 +1,6 @@
 """Registered queries over the test tables."""
 
-from pairwarden.catalog import base_queries, event_queries, score_queries  # noqa: F401
+from pairwarden.catalog import base_queries, event_queries, plan_queries, score_queries  # noqa: F401
 from pairwarden.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

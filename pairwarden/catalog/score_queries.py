@@ -80,7 +80,8 @@ select f.hash as f_hash, b.hash as b_hash, f.single_rule as f_single_rule, b.sin
 join lo l on l.hash = case when f.type = 'log' then f.hash else b.hash end
 join po p on p.hash = case when f.type = 'log' then b.hash else f.hash end
 where f.type <> b.type""", rows=EQ.ROWS_SQL, lv=vocab_sql("log_e", t.LOG_COLS), pv=vocab_sql("packet_e", t.PACKET_COLS),
-    lo=_ones_sql("log_e", "lv", t.LOG_COLS), po=_ones_sql("packet_e", "pv", t.PACKET_COLS)))
+    moved="select \"column\", value, position + (select count(*) from lv) as position from pv",
+    lo=_ones_sql("log_e", "lv", t.LOG_COLS), po=_ones_sql("packet_e", "moved", t.PACKET_COLS)))
 def attach_features(spark, folder):
     logs, packets = EQ.kept_logs(spark, folder), EQ.kept_packets(spark, folder)
     log_model, packet_model = P.onehot_fit(logs, t.LOG_COLS), P.onehot_fit(packets, t.PACKET_COLS)
@@ -204,13 +205,14 @@ def window_reconstruct_mean(spark, folder):
         "event_id", F.round(S.window_mse(F.col("window"), F.col("window_hat")), 6).alias("mse"))
 
 
-def mad_sql(rel: str, col: str) -> dict[str, str]:
+def mad_sql(rel: str, col: str, mark: str = "") -> dict[str, str]:
     """Common tables med, mad and thr (one row: x) for a column of a relation."""
+    med, mad = f"med{mark}", f"mad{mark}"
     return {
-        "med": f"select median({col}) as m from {rel}",
-        "mad": f"select median(abs({col} - m)) as d from {rel}, med",
-        "thr": f"""select case when (select d from mad) = 0 then (select m from med) else
-          (select {col} from {rel}, med, mad where {col} is not null
+        med: f"select median({col}) as m from {rel}",
+        mad: f"select median(abs({col} - m)) as d from {rel}, {med}",
+        f"thr{mark}": f"""select case when (select d from {mad}) = 0 then (select m from {med}) else
+          (select {col} from {rel}, {med}, {mad} where {col} is not null
            order by round(abs(0.976 * abs({col} - m) / nullif(d, 0) - 2.5), 9), {col} limit 1) end as x""",
     }
 

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pairwarden.operators.rules import LOG, PACKET, Rule, rules_frame
 from pairwarden.plans.correlation import CorrelationSettings, Tables
@@ -124,8 +125,15 @@ _ASSETS = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is looked up once."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:
@@ -255,6 +263,14 @@ def _enriched_logs(hits: str) -> str:
     from {hits} h join devices d using (device_id)"""
 
 
+def _enriched_packets(hits: str) -> str:
+    return f"""select distinct *, make_id as id, src_ip as ip, 'packet' as type,
+      case when substr(make_id, 14, 2) = 'GE' then 'GE' else 'ABB' end as manufacturer_name,
+      packet_time as time_text, date_trunc('second', ts) as time,
+      strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || {_SQL_FRACTION} as milli_time
+    from {hits} where src_ip <> '' or dst_ip <> ''"""
+
+
 CTES: dict[str, str] = {
     "ev": f"select {_list(EVENT_COLUMNS)} from events",
     "logs": f"select {_list(_LOG_COLUMNS)}, {_SQL_LOG_TIME} as loged_time from events where {_LOG_TYPES}",
@@ -269,11 +285,12 @@ CTES: dict[str, str] = {
     "packet_hits": _hits("packets", PACKET),
     "all_logs": _enriched_logs("log_hits"),
     "log_e": "select * from all_logs where hash not in (select hash from log_hits where source = 'L009')",
-    "packet_e": f"""select distinct *, make_id as id, src_ip as ip, 'packet' as type,
-      case when substr(make_id, 14, 2) = 'GE' then 'GE' else 'ABB' end as manufacturer_name,
-      packet_time as time_text, date_trunc('second', ts) as time,
-      strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || {_SQL_FRACTION} as milli_time
-    from packet_hits where src_ip <> '' or dst_ip <> ''""",
+    "packet_e": _enriched_packets("packet_hits"),
+    "active_hits": _hits("logs", LOG, active_only=True),
+    "active_logs": _enriched_logs("active_hits"),
+    "active_e": "select * from active_logs where hash not in (select hash from active_hits where source = 'L009')",
+    "packet_act_hits": _hits("packets", PACKET, active_only=True),
+    "packet_act": _enriched_packets("packet_act_hits"),
     "mapped": """select distinct coalesce(l.multi_id, p.multi_id) as corr,
       coalesce(l.rule_id, 0) as single_rule_log, coalesce(p.rule_id, 0) as single_rule_packet
     from (select * from mapping where kind = 2) l full join (select * from mapping where kind = 1) p
@@ -300,7 +317,8 @@ _NEEDS = {
     "devices": ["raw_devices"], "log_hits": ["logs"], "packet_hits": ["packets"],
     "all_logs": ["log_hits", "devices"], "log_e": ["all_logs"], "packet_e": ["packet_hits"],
     "mapped": ["mapping"], "rule_pairs": ["mapped"], "known": ["rule_pairs"], "same_kind": ["mapping"],
-    "clean": ["readings"],
+    "clean": ["readings"], "active_hits": ["logs"], "active_logs": ["active_hits", "devices"],
+    "active_e": ["active_logs"], "packet_act_hits": ["packets"], "packet_act": ["packet_act_hits"],
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairwarden.operators.lookup import is_small, lookup_join
 from pairwarden.operators.ordering import number_rows
+from pairwarden.session import stage
 
 MISSING = "nan"  # category of a missing value
 
@@ -33,11 +34,10 @@ def onehot_fit(df: DataFrame, cols: Sequence[str]) -> OneHot:
         F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), _text(c).alias("value"))
                   for i, c in enumerate(cols)])
     )
-    found = df.select(cells.alias("c")).select("c.*").distinct()
+    found = stage(df.select(cells.alias("c")).select("c.*").distinct(), "vocabulary")
     if is_small(found):
         position = F.expr("row_number() over (order by place, value) - 1").cast("long")
-        vocab = found.withColumn("position", position)
-        size = found.count()
+        vocab, size = stage(found.withColumn("position", position), "vocabulary"), found.count()
     else:
         vocab, size = number_rows(found, ["place", "value"], "idx")
         vocab = vocab.withColumnRenamed("idx", "position")
@@ -51,7 +51,7 @@ def onehot_apply(model: OneHot, df: DataFrame, name: str = "positions") -> DataF
         words = model.vocab.filter(F.col("column") == c).select(
             F.col("value").alias(f"_v{i}"), F.col("position").alias(f"_p{i}")
         )
-        out = lookup_join(out.withColumn(f"_v{i}", _text(c)), words, [f"_v{i}"], "left")
+        out = lookup_join(out.withColumn(f"_v{i}", _text(c)), words, [f"_v{i}"], "left", known_rows=model.size)
     places = F.array(*[F.col(f"_p{i}") for i in range(len(model.cols))])
     return out.withColumn(name, F.filter(places, lambda p: p.isNotNull())).select(*df.columns, name)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwarden.operators.lookup import lookup_join
@@ -30,10 +30,13 @@ def label_pairs(pairs: DataFrame, rule_pairs: DataFrame) -> DataFrame:
     return lookup_join(pairs, rule_pairs, ["f_single_rule", "b_single_rule"], "left")
 
 
+def _moved(positions: str, shift: int) -> Column:
+    return F.transform(positions, lambda p: p + shift)
+
+
 def _side_features(features: DataFrame, side: str, shift: int) -> DataFrame:
-    moved = F.transform(F.col("positions"), lambda p: p + shift)
     return features.dropDuplicates(["hash"]).select(
-        F.col("hash").alias(f"{side}_hash"), moved.alias(f"_{side}")
+        F.col("hash").alias(f"{side}_hash"), _moved("positions", shift).alias(f"_{side}")
     )
 
 
@@ -49,9 +52,8 @@ def attach_features(
     kinds = {"log": (log_features, 0), "packet": (packet_features, log_size)}
     both = None
     for kind, (frame, shift) in kinds.items():
-        moved = F.transform(F.col("positions"), lambda p, s=shift: p + s)
         part = frame.dropDuplicates(["hash"]).select(
-            F.lit(kind).alias("kind"), "hash", moved.alias("part")
+            F.lit(kind).alias("kind"), "hash", _moved("positions", shift).alias("part")
         )
         both = part if both is None else both.unionByName(part)
     out = pairs

@@ -22,15 +22,16 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
-    rows: int = SMALL_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join that broadcasts ``right`` only when it is known to be small.
 
     A broadcast leaves ``left`` where it is, so hot keys (a rule that makes up a
     third of all hits) do no harm. A larger right side is joined by shuffle, where
-    adaptive execution splits hot partitions by map output.
+    adaptive execution splits hot partitions by map output. ``known_rows`` saves the
+    check where the size is already known.
     """
-    small = is_small(right, rows)
+    small = is_small(right) if known_rows is None else known_rows <= SMALL_ROWS
     if not null_safe:
         return left.join(F.broadcast(right) if small else right, list(on), how)
     renamed = right.select(

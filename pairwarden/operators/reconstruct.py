@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pairwarden.operators.lookup import lookup_join
 from pairwarden.operators.scoring import stable
+from pairwarden.session import stage
 
 
 @dataclass(frozen=True)
@@ -50,18 +51,23 @@ def _numbers(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _along(centred: Column, weights: Column) -> Column:
+    """Scalar product of two arrays."""
+    return F.aggregate(
+        F.zip_with(centred, weights, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
+    )
+
+
 def _restore(model: Linear, x: Column) -> Column:
     """Reconstruction of an array column."""
     means = _numbers(model.means)
     centred = F.zip_with(x, means, lambda a, m: a - m)
     out = means
-    for weights in model.components:
-        w = _numbers(weights)
-        part = F.aggregate(
-            F.zip_with(centred, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
+    for weights in map(_numbers, model.components):
+        step = F.zip_with(
+            weights, F.array_repeat(_along(centred, weights), len(model.means)), lambda w, p: w * p
         )
-        # the inner sum is a scalar per row: spread it over the weights
-        out = F.zip_with(out, F.transform(w, lambda b, p=part: b * p), lambda a, b: a + b)
+        out = F.zip_with(out, step, lambda a, b: a + b)
     return out
 
 
@@ -158,19 +164,23 @@ def fit_sparse(
     return Sparse(size, weights, float(mu @ mu), (mu @ top).tolist())
 
 
+def _weight_of(component: int):
+    return lambda term: F.coalesce(F.get(term["weights"], F.lit(component)), F.lit(0.0))
+
+
 def score_sparse(
     model: Sparse, df: DataFrame, features: str = "features", name: str = "ai_rmse"
 ) -> DataFrame:
     """Root mean squared reconstruction error of each row.
 
     Each distinct combination is scored once and joined back, so the work over the
-    rows is one lookup. Terms are added in position order: equal rows get equal scores.
+    rows is one lookup; ``df`` is read twice and should be a stored frame. Terms are added in position order: equal rows get equal scores.
     """
     cells = (
         df.select(F.col(features).alias("f")).distinct()
         .select("f", F.explode_outer("f").alias("position"))
     )
-    known = lookup_join(cells, model.weights, ["position"], "left")
+    known = lookup_join(cells, model.weights, ["position"], "left", known_rows=model.size)
     mean = F.coalesce("mean", F.lit(0.0))
     gain = F.when(F.col("position").isNotNull(), 1 - 2 * mean).otherwise(0.0)
     terms = F.array_sort(
@@ -178,14 +188,11 @@ def score_sparse(
     )
     error = F.aggregate(F.col("terms"), F.lit(model.base), lambda acc, t: acc + t["g"])
     for c, shift in enumerate(model.shift):
-        along = F.aggregate(
-            F.col("terms"),
-            F.lit(-shift),
-            lambda acc, t, c=c: acc + F.coalesce(F.get(t["weights"], F.lit(c)), F.lit(0.0)),
-        )
+        part = F.transform("terms", _weight_of(c))
+        along = F.aggregate(part, F.lit(-shift), lambda acc, w: acc + w)
         error = error - along * along
     rmse = stable(F.sqrt(F.greatest(error, F.lit(0.0)) / model.size))
     scores = known.groupBy("f").agg(terms.alias("terms")).select(
         F.col("f").alias(features), rmse.alias(name)
     )
-    return lookup_join(df, scores, [features])
+    return lookup_join(df, stage(scores, "scores"), [features])

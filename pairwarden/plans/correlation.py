@@ -17,7 +17,7 @@ from pairwarden.functions.columns import conform, cross_kind, exclude_patterns
 from pairwarden.operators.features import balance, onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs, same_asset
 from pairwarden.operators.reconstruct import fit_sparse, score_sparse
-from pairwarden.operators.reshape import score_counts, single_events
+from pairwarden.operators.reshape import single_events
 from pairwarden.operators.rules import LOG, PACKET, load_rules, rule_mapping, select_rules, symmetric_pairs
 from pairwarden.operators.scoring import label, mad_threshold, minmax_fit
 from pairwarden.operators.sequence import merge_excess, skip_pairs, split_pairs
@@ -95,6 +95,9 @@ def _encode(encoders, logs: DataFrame, packets: DataFrame) -> tuple[DataFrame, D
     )
 
 
+_TRAIN_COLS = ("type", "single_rule", "hash", "time_text")
+
+
 @dataclass(frozen=True)
 class Fitted:
     model: PairModel
@@ -109,7 +112,8 @@ def fit_pair_model(
 ) -> Fitted:
     """Fit, threshold and hold-out scores over pairs with ``features``.
 
-    Copies made to balance rule patterns are weights here. Copying all rows a fixed
+    After balancing, only the distinct feature combinations with their counts are
+    needed: the fit, the scores and the weighted medians run on those. Copies made to balance rule patterns are weights here. Copying all rows a fixed
     number of times would change no mean, direction or median and is left out.
     """
     if balanced:
@@ -117,21 +121,26 @@ def fit_pair_model(
         weighted = balance(train, key, ["f_hash", "b_hash", "corr"], seed, keep_original)
     else:
         weighted = train.withColumn("copies", F.lit(1).cast("long"))
-    weighted = stage(weighted, "train-pairs")
+    combos = stage(weighted.groupBy("features").agg(F.sum("copies").alias("copies")), "train-combos")
     losses = []
     for parts in range(k + 1):
-        sparse = fit_sparse(weighted, size, weight="copies", k=parts)
-        scored = score_sparse(sparse, weighted)
-        total = scored.agg(F.sum(F.col("ai_rmse") * F.col("copies")) / F.sum("copies")).first()[0]
-        losses.append(total)
-    scored = scored.select("ai_rmse", "copies").persist()
+        sparse = fit_sparse(combos, size, weight="copies", k=parts)
+        scored = score_sparse(sparse, combos).persist()
+        total, loss = scored.agg(
+            F.sum("copies"), F.sum(F.col("ai_rmse") * F.col("copies")) / F.sum("copies")
+        ).first()
+        losses.append(loss)
     threshold = mad_threshold(scored, "ai_rmse", weight="copies")
-    error_range = minmax_fit(scored, ["ai_rmse"])["ai_rmse"]
-    shape = (scored.agg(F.sum("copies")).first()[0], size)
-    train_scores = scored.groupBy("ai_rmse").agg(F.sum("copies").alias("n"))
-    model = PairModel(encoders, sparse, threshold, error_range)
-    history = fit_history(train.sparkSession, model_id, "corr", run_time, run_time, losses, shape)
-    return Fitted(model, history, train_scores, score_counts(score_sparse(sparse, held), "ai_rmse"))
+    model = PairModel(encoders, sparse, threshold, minmax_fit(scored, ["ai_rmse"])["ai_rmse"])
+    history = fit_history(
+        train.sparkSession, model_id, "corr", run_time, run_time, losses, (total, size)
+    )
+    rest = stage(held.groupBy("features").agg(F.count(F.lit(1)).alias("copies")), "holdout-combos")
+    return Fitted(model, history, _distribution(scored), _distribution(score_sparse(sparse, rest)))
+
+
+def _distribution(scored: DataFrame) -> DataFrame:
+    return scored.groupBy("ai_rmse").agg(F.sum("copies").alias("n"))
 
 
 def train_correlation(
@@ -141,6 +150,8 @@ def train_correlation(
     """Fit the pair model on multi-rule pairs of the time range."""
     logs, hits, packets = _events(tables, start, end)
     logs = without_source(logs, hits, settings.exclusion_source)
+    logs = stage(logs.select(*_TRAIN_COLS, *settings.log_cols), "train-logs")
+    packets = stage(packets.select(*_TRAIN_COLS, *settings.packet_cols), "train-packets")
     encoders = {
         "log": onehot_fit(logs, settings.log_cols),
         "packet": onehot_fit(packets, settings.packet_cols),
@@ -150,7 +161,8 @@ def train_correlation(
     rows = pair_rows(_encode(encoders, logs, packets), ["positions"])
     pairs = skip_pairs(rows, ["time_text", "hash", "single_rule"], cols, settings.skip_n)
     known = symmetric_pairs(rule_mapping(tables.mapping)).distinct()
-    train, held = split_pairs(label_pairs(pairs, known).withColumn("features", _features()))
+    labelled = label_pairs(pairs, known).withColumn("features", _features())
+    train, held = split_pairs(stage(labelled.drop("f_positions", "b_positions"), "train-pairs"))
     return fit_pair_model(train, held, encoders, size, k, model_id, run_time, balanced, seed=seed)
 
 
@@ -216,7 +228,7 @@ def score_pairs(
         .drop("f_positions", "b_positions", "f_src_ip", "f_dst_ip", "b_src_ip", "b_dst_ip")
         .na.drop("any")
     )
-    matched = same_asset(oriented, assets)
+    matched = stage(same_asset(oriented, assets), "asset-pairs")
     scored = score_sparse(model.sparse, matched).withColumn("ai_rmse_scaled", model.scaled("ai_rmse"))
     labelled = label(scored, "ai_rmse", model.threshold, "within").withColumn("version", F.lit(run_time))
     result = conform(labelled, PAIR_RESULT)

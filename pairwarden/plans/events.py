@@ -20,15 +20,19 @@ def log_hits(logs: DataFrame, rules: list[Rule], start, end) -> DataFrame:
 
 
 def enrich_logs(hits: DataFrame, devices: DataFrame) -> DataFrame:
-    """Logs with address, parsed time and common column names."""
+    """Logs with address, parsed time and common column names; copies are dropped.
+
+    The hash covers all source columns, so copies are found by it and the other
+    columns are free to be pruned.
+    """
     return (
         attach_address(hits, devices)
+        .dropDuplicates(["hash", "single_rule", "ip_address"])
         .withColumn("id", F.col("plant_id"))
         .withColumn("type", event_kind("message_id"))
         .withColumn("time_text", F.col("loged_time"))
         .withColumn("time", parse_second("loged_time"))
         .withColumn("milli_time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
-        .distinct()
     )
 
 
@@ -42,6 +46,7 @@ def packet_events(packets: DataFrame, rules: list[Rule], start, end) -> DataFram
     hits = match_rules(scan_range_text(packets, "packet_time", start, end), rules, "packet_time")
     return (
         any_nonempty(hits, ["src_ip", "dst_ip"])
+        .dropDuplicates(["hash", "single_rule"])
         .withColumn("id", F.col("make_id"))
         .withColumn("ip", F.col("src_ip"))
         .withColumn("type", event_kind("message_id"))
@@ -49,7 +54,6 @@ def packet_events(packets: DataFrame, rules: list[Rule], start, end) -> DataFram
         .withColumn("time_text", F.col("packet_time"))
         .withColumn("time", parse_second("packet_time"))
         .withColumn("milli_time", F.date_format(parse_fraction("packet_time"), "yyyy-MM-dd HH:mm:ss.SS"))
-        .distinct()
     )
 
 
@@ -64,7 +68,7 @@ PAIR_COLS = ("time", "ip", "type", "single_rule", "hash", "id", "milli_time")
 
 def pair_rows(frames: Sequence[DataFrame], extra: Sequence[str] = ()) -> DataFrame:
     """The columns that pairs need, logs and packets stacked (NULL where a kind lacks one)."""
-    keep = [*PAIR_COLS, "time_text", *extra]
+    keep = list(dict.fromkeys([*PAIR_COLS, "time_text", *extra]))
     out = None
     for df in frames:
         part = df.select(*[c for c in keep if c in df.columns])

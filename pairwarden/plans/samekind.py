@@ -19,6 +19,7 @@ from pairwarden.plans.correlation import Fitted, Tables, fit_pair_model
 from pairwarden.plans.events import enrich_logs, log_hits, pair_rows, without_source
 from pairwarden.plans.models import PairModel
 from pairwarden.schemas import SAME_KIND_RESULT
+from pairwarden.session import stage
 
 # Fixed value: score up to which a log pair counts as a known pattern.
 FIXED_THRESHOLD = 0.017396
@@ -46,13 +47,16 @@ def train_same_kind(
     Balancing adds its draws to the pairs themselves.
     """
     logs = _logs(tables, start, end, exclusion_source)
+    logs = stage(logs.select("type", "single_rule", "hash", "time_text", *log_cols), "train-logs")
     encoder = onehot_fit(logs, log_cols)
     rows = pair_rows([onehot_apply(encoder, logs)], ["positions"])
     cols = ["type", "single_rule", "hash", "positions"]
     pairs = skip_pairs(rows, ["time_text", "hash", "single_rule"], cols, skip_n)
-    labelled = label_pairs(pairs, same_kind_pairs(tables.mapping))
+    labelled = label_pairs(pairs, same_kind_pairs(tables.mapping)).withColumn(
+        "features", _features(encoder.size)
+    )
     train, held = split_pairs(
-        labelled.withColumn("features", _features(encoder.size)), cross_only=False
+        stage(labelled.drop("f_positions", "b_positions"), "train-pairs"), cross_only=False
     )
     return fit_pair_model(
         train, held, {"log": encoder}, 2 * encoder.size, k, model_id, run_time, balanced,
@@ -73,7 +77,8 @@ def predict_same_kind(
     labelled = label_pairs(pairs, same_kind_pairs(tables.mapping)).withColumn(
         "corr", F.coalesce("corr", F.lit(0).cast("long"))
     )
-    scored = score_sparse(model.sparse, labelled.withColumn("features", _features(encoder.size)))
+    labelled = stage(labelled.withColumn("features", _features(encoder.size)), "log-pairs")
+    scored = score_sparse(model.sparse, labelled)
     scored = label(scored, "ai_rmse", threshold, "within").withColumn(
         "ai_rmse_scaled", model.scaled("ai_rmse")
     )
