@@ -277,9 +277,9 @@ def similar_pairs(spark, folder):
 
 
 @query("similar_pairs_above", with_ctes("", """select lang, source, run, f_doc_id, b_doc_id, round(sim, 6) as sim
-from found where sim > 0.8""", **_DOC_CTES))
+from found where sim > 0.95""", **_DOC_CTES))
 def similar_pairs_above(spark, folder):
-    pairs = W.similar_pairs(_documents(spark, folder), _DOC_BUCKET, "doc_id", ["doc_id"], "text", 0.8)
+    pairs = W.similar_pairs(_documents(spark, folder), _DOC_BUCKET, "doc_id", ["doc_id"], "text", 0.95)
     return pairs.withColumn("sim", F.round("sim", 6))
 
 

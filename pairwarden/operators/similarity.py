@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairwarden.operators.features import tokens_of
@@ -77,63 +77,56 @@ def similar_bags(
     alone cannot reach the bound, so no pair is missed, and candidates are then
     compared in full.
     """
-    words = F.array_sort(tokens_of(text))
+    words = F.sort_array(tokens_of(text))
     rows = df.withColumn("_words", words).filter(F.size("_words") > 0).withColumn(
-        "bag", F.sha2(F.array_join("_words", " "), 256)
+        "bag", F.unhex(F.sha2(F.array_join("_words", " "), 256))
     )
-    members = rows.drop("_words")
+    # one shuffle by bag serves the collapse, the word counts and the norms
     bags = rows.groupBy(*bucket, "bag").agg(F.any_value("_words").alias("_words"))
     counts = (
         bags.select(*bucket, "bag", F.explode("_words").alias("word"))
         .groupBy(*bucket, "bag", "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    postings = stage(counts, "postings")
-    norms = postings.groupBy(*bucket, "bag").agg(F.sum(F.col("tf") * F.col("tf")).alias("n2"))
+    norm = F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*bucket, "bag"))
+    postings = stage(counts.withColumn("n2", norm), "postings")
     dots = _all_dots(postings, bucket, block) if min_sim <= 0 else _near_dots(
-        postings, norms, bucket, min_sim, block
+        postings, bucket, min_sim, block
     )
-    sizes = norms.select(*bucket, "bag", "n2")
-    scored = (
-        dots.join(sizes.withColumnsRenamed({"bag": "a", "n2": "_na"}), [*bucket, "a"])
-        .join(sizes.withColumnsRenamed({"bag": "b", "n2": "_nb"}), [*bucket, "b"])
-        .withColumn("sim", F.col("dot") / F.sqrt(F.col("_na").cast("double") * F.col("_nb")))
-        .filter(F.col("sim") > min_sim)
-        .select(*bucket, "a", "b", "sim")
-    )
-    return Similar(members, scored)
+    scored = dots.withColumn("sim", F.col("dot") / F.sqrt(F.col("nn").cast("double")))
+    pairs = scored.filter(F.col("sim") > min_sim).select(*bucket, "a", "b", "sim")
+    return Similar(rows.drop("_words"), pairs)
 
 
 def _all_dots(postings: DataFrame, bucket: Sequence[str], block: int) -> DataFrame:
-    met = _meet(postings, [*bucket, "word"], "bag", ["tf"], block)
-    first, second = F.least("a", "b"), F.greatest("a", "b")
-    return met.groupBy(*bucket, first.alias("a"), second.alias("b")).agg(
-        F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot")
+    met = _meet(postings, [*bucket, "word"], "bag", ["tf", "n2"], block)
+    return met.groupBy(*bucket, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot"),
+        F.max(F.col("a_n2") * F.col("b_n2")).alias("nn"),
     )
 
 
-def _near_dots(
-    postings: DataFrame, norms: DataFrame, bucket: Sequence[str], min_sim: float, block: int
-) -> DataFrame:
+def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block: int) -> DataFrame:
     spread = postings.groupBy(*bucket, "word").agg(F.count(F.lit(1)).alias("df"))
-    ranked = postings.join(spread, [*bucket, "word"]).join(norms, [*bucket, "bag"])
-    keys = ", ".join(f"`{c}`" for c in [*bucket, "bag"])
     # words from common to rare; a word is left out while all up to it stay under the bound
-    upto = F.expr(f"sum(tf * tf) over (partition by {keys} order by df desc, word desc)")
-    rare = ranked.withColumn("_upto", upto).filter(
-        F.col("_upto") >= F.lit(min_sim * min_sim * (1 - 1e-9)) * F.col("n2")
-    )
-    met = _meet(rare.select(*bucket, "bag", "word"), [*bucket, "word"], "bag", [], block)
+    common_first = Window.partitionBy(*bucket, "bag").orderBy(F.desc("df"), F.desc("word"))
+    upto = F.sum(F.col("tf") * F.col("tf")).over(common_first)
+    kept = F.col("_upto") >= F.lit(min_sim * min_sim * (1 - 1e-9)) * F.col("n2")
+    rare = postings.join(spread, [*bucket, "word"]).withColumn("_upto", upto).filter(kept)
+    met = _meet(stage(rare.select(*bucket, "bag", "word"), "rare-words"), [*bucket, "word"], "bag", [], block)
     candidates = met.select(
         *bucket, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
-    left = postings.withColumnsRenamed({"bag": "a", "tf": "_ta"})
-    right = postings.withColumnsRenamed({"bag": "b", "tf": "_tb"})
+    left = postings.withColumnsRenamed({"bag": "a", "tf": "a_tf", "n2": "a_n2"})
+    right = postings.withColumnsRenamed({"bag": "b", "tf": "b_tf", "n2": "b_n2"})
     return (
         candidates.join(left, [*bucket, "a"])
         .join(right, [*bucket, "b", "word"])
         .groupBy(*bucket, "a", "b")
-        .agg(F.sum(F.col("_ta") * F.col("_tb")).alias("dot"))
+        .agg(
+            F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot"),
+            F.max(F.col("a_n2") * F.col("b_n2")).alias("nn"),
+        )
     )
 
 
@@ -154,7 +147,10 @@ def similar_pairs(
     """
     found = similar_bags(df, bucket, text, min_sim, block)
     fields = list(dict.fromkeys([row_id, *cols]))
-    members = found.members.select(*bucket, "bag", F.struct(*fields).alias("r"), F.col(row_id).alias("_id"))
+    members = stage(
+        found.members.select(*bucket, "bag", F.struct(*fields).alias("r"), F.col(row_id).alias("_id")),
+        "members",
+    )
     met = (
         found.pairs.join(members.withColumnsRenamed({"bag": "a", "r": "a_r"}).drop("_id"), [*bucket, "a"])
         .join(members.withColumnsRenamed({"bag": "b", "r": "b_r"}).drop("_id"), [*bucket, "b"])
