@@ -305,9 +305,10 @@ def merge_excess(spark, folder):
   select *, row_number() over (partition by l_partkey, l_suppkey order by l_shipdate, l_orderkey, l_linenumber) as n
   from lineitem) where n = 1""")
 def keep_first(spark, folder):
-    items = t.table(spark, folder, "lineitem")
+    items = t.table(spark, folder, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
     first = S.keep_first(items, ["l_partkey", "l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"])
-    return first.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return first.drop("l_shipdate")
 
 
 @query("adjacent_pairs", """select event_id as f_event_id, event_type as f_event_type, b_event_id, b_event_type

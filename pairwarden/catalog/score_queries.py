@@ -75,7 +75,7 @@ def _ones_sql(rel, vocab, cols):
 
 @query("attach_features", with_ctes("log_e packet_e", """
 select f.hash as f_hash, b.hash as b_hash, f.single_rule as f_single_rule, b.single_rule as b_single_rule,
-  array_to_string(list_concat(l.ones, list_transform(p.ones, x -> x + (select count(*) from lv))), ',') as features
+  array_to_string(list_concat(l.ones, p.ones), ',') as features
 """ + EQ.numbered_pairs_sql(1) + """
 join lo l on l.hash = case when f.type = 'log' then f.hash else b.hash end
 join po p on p.hash = case when f.type = 'log' then b.hash else f.hash end

@@ -71,7 +71,7 @@ def route_rules(rules: DataFrame, sources=("L005", "L009", "L011")) -> DataFrame
 def _side(mapping: DataFrame, kind: int, name: str, active_only: bool) -> DataFrame:
     return select_rules(mapping, kind, active_only).select(
         F.col("multi_id").alias("corr"), F.col("rule_id").alias(name)
-    )
+    ).distinct()
 
 
 def rule_mapping(mapping: DataFrame, active_only: bool = False) -> DataFrame:

@@ -43,58 +43,50 @@ def masked_rmse(df: DataFrame, x: str, xhat: str, mask: float = -1.0) -> DataFra
     return cells.filter(F.col("c.x") != mask).agg(F.sqrt(error).alias("masked_rmse"))
 
 
-def _pick(part: DataFrame, rank: int) -> float:
-    """Value at a 0-based rank of a bounded frame of (v, n)."""
-    upto = F.expr("sum(n) over (order by v)")
-    return part.withColumn("_upto", upto).filter(F.col("_upto") > rank).agg(F.min("v")).first()[0]
+def _value_at(part: DataFrame, rank: int, few: int) -> float:
+    """Value at a 0-based rank of rows (v, n), each counted n times.
 
-
-def _value_at(counted: DataFrame, rank: int, few: int) -> float:
-    """Value at a rank: narrow the range by histograms until few values are left.
-
-    Every pass is one aggregation whose result has a fixed size, so the exact value
-    is found without sorting or gathering the column.
+    The range is narrowed by histograms of fixed size until few rows are left: every
+    pass is one aggregation that shuffles no values.
     """
-    part = counted
     while True:
-        lo, hi, distinct = part.agg(F.min("v"), F.max("v"), F.count("v")).first()
-        if distinct <= few or lo == hi:
-            return _pick(part, rank)
+        lo, hi, rows = part.agg(F.min("v"), F.max("v"), F.count("v")).first()
+        if lo == hi:
+            return lo
         width = hi / _BINS - lo / _BINS
-        slot = F.least(F.floor((F.col("v") - lo) / width), F.lit(_BINS)) if width > 0 else F.lit(0)
-        part = part.withColumn("_slot", slot)
-        bins = part.groupBy("_slot").agg(F.sum("n").alias("n")).collect()
-        for slot_row in sorted(bins, key=lambda r: r["_slot"]):
-            if rank < slot_row["n"]:
-                chosen = slot_row["_slot"]
+        if rows <= few or width == 0:
+            upto = part.groupBy("v").agg(F.sum("n").alias("n")).withColumn(
+                "_upto", F.expr("sum(n) over (order by v)")
+            )
+            return upto.filter(F.col("_upto") > rank).agg(F.min("v")).first()[0]
+        slot = F.least(F.floor((F.col("v") - lo) / width), F.lit(_BINS))
+        bins = part.groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).collect()
+        for found in sorted(bins):
+            if rank < found.n:
                 break
-            rank -= slot_row["n"]
-        narrowed = part.filter(F.col("_slot") == chosen).drop("_slot")
-        if len(bins) == 1:
-            return _pick(narrowed, rank)
-        part = narrowed
+            rank -= found.n
+        part = part.filter(slot == found.slot)
 
 
 def exact_median(df: DataFrame, value: Column, weight: Column | None = None, few: int = _FEW_VALUES):
-    """Exact median of a column, each row counted ``weight`` times; None without rows."""
-    counted = (
-        df.select(value.alias("v"), (F.lit(1) if weight is None else weight).cast("long").alias("n"))
-        .filter("v is not null")
-        .groupBy("v")
-        .agg(F.sum("n").alias("n"))
-        .persist()
-    )
-    try:
-        total, distinct = counted.agg(F.sum("n"), F.count("v")).first()
-        if not total:
-            return None
-        if distinct <= few:
-            half = F.percentile("v", F.lit(0.5), F.col("n"))
-            return counted.agg(half).first()[0]
-        low, high = _value_at(counted, (total - 1) // 2, few), _value_at(counted, total // 2, few)
-        return (low + high) / 2
-    finally:
-        counted.unpersist()
+    """Exact median of a column, each row counted ``weight`` times; None without rows.
+
+    Reads ``df`` a few times, so it should be a stored or cached frame.
+    """
+    count = F.lit(1) if weight is None else weight
+    part = df.select(value.alias("v"), count.cast("long").alias("n")).filter("v is not null")
+    total, rows = part.agg(F.sum("n"), F.count("v")).first()
+    if not total:
+        return None
+    if rows <= few:
+        return part.agg(F.percentile("v", F.lit(0.5), F.col("n"))).first()[0]
+    low = _value_at(part, (total - 1) // 2, few)
+    if total % 2:
+        return low
+    upto, above = part.agg(
+        F.sum(F.when(F.col("v") <= low, F.col("n"))), F.min(F.when(F.col("v") > low, F.col("v")))
+    ).first()
+    return low if upto > total // 2 else (low + above) / 2
 
 
 def mad_parts(df: DataFrame, col: str, weight: str | None = None) -> tuple[float, float]:

@@ -19,6 +19,7 @@ from pairwarden.operators.scoring import label, mad_threshold, minmax_fit, row_r
 from pairwarden.operators.similarity import similar_pairs
 from pairwarden.plans.models import DenseModel
 from pairwarden.schemas import SIMILAR_RESULT
+from pairwarden.session import stage
 from pairwarden.sources.sinks import fit_history, new_rows
 
 # Columns that make up the text of an event, the label threshold, model ids.
@@ -71,14 +72,15 @@ def similar_events(
     events: DataFrame, model: DenseModel, kind: str, min_sim: float = 0.0
 ) -> DataFrame:
     """Similar events of different sites and one rule inside anomalous buckets."""
-    marked = bucket_scores(events, model).filter("ai_label").select("bucket", "ai_rmse", "ai_label")
-    cols = ["time", "ip", "type", "single_rule", "hash", "id", "milli_time", "ai_rmse", "ai_label"]
+    cols = ["time", "ip", "type", "single_rule", "hash", "id", "milli_time"]
+    texts = stage(events.select(*cols, text_of(TEXT_COLS[kind]).alias("text")), f"{kind}-texts")
+    marked = bucket_scores(texts, model).filter("ai_label").select("bucket", "ai_rmse", "ai_label")
     raw = (
-        events.withColumn("bucket", bucket("time"))
+        texts.withColumn("bucket", bucket("time"))
         .join(marked, "bucket")
-        .withColumn("text", text_of(TEXT_COLS[kind]))
-        .select("bucket", *cols, "text", F.col("single_rule").alias("_rule"))
+        .withColumn("_rule", F.col("single_rule"))
     )
+    cols = [*cols, "ai_rmse", "ai_label"]
     pairs = similar_pairs(raw, ["bucket", "_rule"], "hash", cols, "text", min_sim)
     return (
         pairs.filter(different_site("f_id", "b_id") & (F.col("f_type") == F.col("b_type")))

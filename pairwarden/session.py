@@ -25,8 +25,8 @@ def local_session(cpus: int | str = "*", app: str = "pairwarden") -> SparkSessio
 
 
 @lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="pairwarden-")
+def _own_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="pairwarden-", ignore_cleanup_errors=True)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,13 +39,16 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder()
+    return _own_folder().name
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """Unused path below the shared folder, grouped by application for clean-up."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -55,3 +58,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this application; frames built on them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
