@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 SCORE_DIGITS = 9
 _BINS = 4096
-_FEW_VALUES = 1_000_000
+_FEW_VALUES = 50_000
 
 
 def stable(score: Column) -> Column:

@@ -77,9 +77,9 @@ def similar_bags(
     alone cannot reach the bound, so no pair is missed, and candidates are then
     compared in full.
     """
-    words = F.sort_array(tokens_of(text))
-    rows = df.withColumn("_words", words).filter(F.size("_words") > 0).withColumn(
-        "bag", F.unhex(F.sha2(F.array_join("_words", " "), 256))
+    # a row without words has no bag; a filter here would tokenise every text twice
+    rows = df.withColumn("_words", F.sort_array(tokens_of(text))).withColumn(
+        "bag", F.when(F.size("_words") > 0, F.unhex(F.sha2(F.array_join("_words", " "), 256)))
     )
     # one shuffle by bag serves the collapse, the word counts and the norms
     bags = rows.groupBy(*bucket, "bag").agg(F.any_value("_words").alias("_words"))
@@ -106,6 +106,45 @@ def _all_dots(postings: DataFrame, bucket: Sequence[str], block: int) -> DataFra
     )
 
 
+def _oriented(met: DataFrame, bucket: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Pairs with the smaller bag as ``a``."""
+    swap = F.col("a") > F.col("b")
+
+    def pick(first: str, second: str):
+        return F.when(swap, F.col(second)).otherwise(F.col(first))
+
+    return met.select(
+        *bucket,
+        F.least("a", "b").alias("a"),
+        F.greatest("a", "b").alias("b"),
+        *[pick(f"a_{v}", f"b_{v}").alias(f"a_{v}") for v in values],
+        *[pick(f"b_{v}", f"a_{v}").alias(f"b_{v}") for v in values],
+    )
+
+
+def _possible(met: DataFrame, bucket: Sequence[str], min_sim: float) -> DataFrame:
+    """Pairs that can still exceed the bound, given the rare words they share.
+
+    Of the two bags, let b leave out words up to the rarer limit. Then what both kept
+    is known, and the rest of the product is between a's other words and b's left-out
+    ones, so it is at most the product of their lengths. Which bag is which is open:
+    the larger of both estimates counts.
+    """
+    known = met.groupBy(*bucket, "a", "b").agg(
+        F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot"),
+        F.sum(F.col("a_tf") * F.col("a_tf")).alias("aa"),
+        F.sum(F.col("b_tf") * F.col("b_tf")).alias("bb"),
+        *[F.max(c).alias(c) for c in ("a_n2", "b_n2", "a_left", "b_left")],
+    )
+    size = {c: F.col(c).cast("double") for c in ("a_n2", "b_n2", "a_left", "b_left", "aa", "bb")}
+    rest = F.greatest(
+        F.sqrt((size["a_n2"] - size["aa"]) * size["b_left"]),
+        F.sqrt((size["b_n2"] - size["bb"]) * size["a_left"]),
+    )
+    needed = F.lit(min_sim * (1 - 1e-9)) * F.sqrt(size["a_n2"] * size["b_n2"])
+    return known.filter(F.col("dot") + rest >= needed).select(*bucket, "a", "b")
+
+
 def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block: int) -> DataFrame:
     spread = postings.groupBy(*bucket, "word").agg(F.count(F.lit(1)).alias("df"))
     # words from common to rare; a word is left out while all up to it stay under the bound
@@ -113,10 +152,11 @@ def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block
     upto = F.sum(F.col("tf") * F.col("tf")).over(common_first)
     kept = F.col("_upto") >= F.lit(min_sim * min_sim * (1 - 1e-9)) * F.col("n2")
     rare = postings.join(spread, [*bucket, "word"]).withColumn("_upto", upto).filter(kept)
-    met = _meet(stage(rare.select(*bucket, "bag", "word"), "rare-words"), [*bucket, "word"], "bag", [], block)
-    candidates = met.select(
-        *bucket, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+    rest = F.col("n2") - F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*bucket, "bag"))
+    rare = rare.withColumn("left", rest).select(*bucket, "bag", "word", "tf", "n2", "left")
+    values = ["tf", "n2", "left"]
+    met = _meet(stage(rare, "rare-words"), [*bucket, "word"], "bag", values, block)
+    candidates = _possible(_oriented(met, bucket, values), bucket, min_sim)
     left = postings.withColumnsRenamed({"bag": "a", "tf": "a_tf", "n2": "a_n2"})
     right = postings.withColumnsRenamed({"bag": "b", "tf": "b_tf", "n2": "b_n2"})
     return (
