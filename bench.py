@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
-Every query is run once to warm up and then three times; the median counts. All
-result rows are produced (``noop`` sink), nothing is collected.
+Every query is run once to warm up and then ``BENCH_REPEATS`` times; the median
+counts. All result rows are produced (``noop`` sink), nothing is collected.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ HEADLINE = [
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
