@@ -73,7 +73,7 @@ from (select event_id, ts, row_number() over (order by ts, event_id) as n from e
 def batch_stamp(spark, folder):
     events = t.table(spark, folder, "events").select("event_id", "ts")
     numbered = sinks.with_batch_no(events, ["ts", "event_id"], 1000)
-    return sinks.stamp_batches(numbered, F.lit(t.RUN_TIME).cast("timestamp_ntz"))
+    return sinks.stamp_batches(numbered, times.at(t.RUN_TIME))
 
 
 @query("latest_version", """select max(version) as version from (

@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def at(moment: datetime) -> Column:
+    """A zone-less time literal; a plain literal would depend on the session's zone."""
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def parse_second(col: str) -> Column:
     """First 14 digits of a time text."""
     return F.to_timestamp_ntz(F.substring(col, 1, 14), F.lit("yyyyMMddHHmmss"))
@@ -22,7 +27,7 @@ def parse_fraction(col: str) -> Column:
 def parse_lenient(col: str) -> Column:
     """As ``parse_second``, but an unparsable text is the epoch instead of an error."""
     parsed = F.try_to_timestamp(F.substring(col, 1, 14), F.lit("yyyyMMddHHmmss"))
-    return F.coalesce(parsed.cast("timestamp_ntz"), F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.coalesce(parsed.cast("timestamp_ntz"), at(datetime(1970, 1, 1)))
 
 
 def bucket(col: str, width: str = "10 minutes") -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwarden.functions.times import bucket
+from pairwarden.functions.times import at, bucket
 from pairwarden.operators.lookup import is_small
 
 
@@ -111,7 +111,7 @@ def single_events(df: DataFrame, kind: str, version) -> DataFrame:
         milli = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
     return df.select(
         "time", "ip", F.lit(kind).alias("type"), F.col("single_rule").cast("long").alias("single_rule"),
-        "hash", F.lit(version).cast("timestamp_ntz").alias("version"), "id", milli.alias("milli_time"),
+        "hash", at(version).alias("version"), "id", milli.alias("milli_time"),
     ).distinct()
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, cross_kind, exclude_patterns
+from pairwarden.functions.times import at
 from pairwarden.operators.features import balance, onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs, same_asset
 from pairwarden.operators.reconstruct import fit_sparse, score_sparse
@@ -230,6 +231,6 @@ def score_pairs(
     )
     matched = stage(same_asset(oriented, assets), "asset-pairs")
     scored = score_sparse(model.sparse, matched).withColumn("ai_rmse_scaled", model.scaled("ai_rmse"))
-    labelled = label(scored, "ai_rmse", model.threshold, "within").withColumn("version", F.lit(run_time))
+    labelled = label(scored, "ai_rmse", model.threshold, "within").withColumn("version", at(run_time))
     result = conform(labelled, PAIR_RESULT)
     return result if stored is None else new_rows(result, stored, ["f_hash", "b_hash"])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, demote, different_site, text_of
-from pairwarden.functions.times import bucket
+from pairwarden.functions.times import at, bucket
 from pairwarden.operators.features import rule_space
 from pairwarden.operators.joins import attach_multi
 from pairwarden.operators.reconstruct import fit_reconstructor, reconstruct
@@ -102,5 +102,5 @@ def predict_bucket_similarity(
     """
     found = stack([similar_events(events[kind], models[kind], kind, min_sim) for kind in events])
     labelled = demote(attach_multi(found, mapping), "cos_sim", threshold)
-    result = conform(labelled.withColumn("version", F.lit(run_time)), SIMILAR_RESULT).distinct()
+    result = conform(labelled.withColumn("version", at(run_time)), SIMILAR_RESULT).distinct()
     return result if stored is None else new_rows(result, stored, ["f_hash", "b_hash"])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, label_by_rule
+from pairwarden.functions.times import at
 from pairwarden.operators.features import onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs
 from pairwarden.operators.reconstruct import score_sparse
@@ -82,5 +83,5 @@ def predict_same_kind(
     scored = label(scored, "ai_rmse", threshold, "within").withColumn(
         "ai_rmse_scaled", model.scaled("ai_rmse")
     )
-    result = label_by_rule(scored).withColumn("version", F.lit(run_time))
+    result = label_by_rule(scored).withColumn("version", at(run_time))
     return conform(result, SAME_KIND_RESULT).distinct()

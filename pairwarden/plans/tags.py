@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import clean_value, conform, route_by_prefix
+from pairwarden.functions.times import at
 from pairwarden.operators.lookup import lookup_join
 from pairwarden.operators.reconstruct import fit_window_reconstructor, reconstruct_window
 from pairwarden.operators.reshape import complete_rows, tags_of_type, to_long, to_wide
@@ -87,7 +88,7 @@ def train_tags(
     )
     rows = wide.select("date_time", *cols).join(labelled, "date_time")
     ids = ["date_time", "ai_rmse", "ai_rmse_scaled", "ai_label"]
-    validation = to_long(rows, ids).withColumn("version", F.lit(run_time).cast("timestamp_ntz"))
+    validation = to_long(rows, ids).withColumn("version", at(run_time))
     shape = (scored.count(), steps, len(cols))
     history = fit_history(readings.sparkSession, model_id, unit_type, run_time, run_time, [loss], shape)
     model = DenseModel(cols, bounds, linear, threshold, error_range)
@@ -151,7 +152,7 @@ def score_tags(
         .withColumn("message_id", F.lit(MESSAGE_ID))
         .withColumn("trans_tag", F.col("unit_type"))
         .withColumn("time_line", F.col("date_time"))
-        .withColumn("version", F.lit(run_time))
+        .withColumn("version", at(run_time))
     )
     prepared = conform(scored.withColumn("tag_value", F.col("_x")), TAG_PREPARED)
     result = (

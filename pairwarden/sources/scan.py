@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwarden.functions.times import parse_lenient
+from pairwarden.functions.times import at, parse_lenient
 from pairwarden.schemas import CATALOGUE
 
 
@@ -19,7 +19,7 @@ def _moment(value) -> datetime:
 
 def scan_range(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows between two times, both ends included; the filter reaches the scan."""
-    lo, hi = (F.lit(_moment(v)).cast("timestamp_ntz") for v in (start, end))
+    lo, hi = (at(_moment(v)) for v in (start, end))
     return df.filter(F.col(col).between(lo, hi))
 
 
@@ -35,7 +35,7 @@ def scan_range_text(df: DataFrame, col: str, start, end) -> DataFrame:
 
 def scan_range_any(df: DataFrame, cols: Sequence[str], start, end) -> DataFrame:
     """Rows where any of several time texts lies in the range; bad text counts as epoch."""
-    lo, hi = (F.lit(_moment(v)).cast("timestamp_ntz") for v in (start, end))
+    lo, hi = (at(_moment(v)) for v in (start, end))
     hits = [parse_lenient(c).between(lo, hi) for c in cols]
     return df.filter(reduce(lambda a, b: a | b, hits))
 

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairwarden.functions.times import at
 from pairwarden.operators.ordering import number_rows
 from pairwarden.schemas import FIT_HISTORY
 
@@ -60,7 +61,7 @@ def load_snapshot(spark: SparkSession, root: str, version: str) -> DataFrame:
 def latest_version(versions: DataFrame, now: datetime, n_files: int, by: Sequence[str] = ()) -> DataFrame:
     """Newest complete version that is not later than ``now`` (per ``by`` group)."""
     usable = versions.filter(
-        (F.col("version") <= F.lit(now).cast("timestamp_ntz")) & (F.col("n_files") == n_files)
+        (F.col("version") <= at(now)) & (F.col("n_files") == n_files)
     )
     return usable.groupBy(*by).agg(F.max("version").alias("version"))
 

@@ -197,3 +197,14 @@ def test_text_range_is_pushed_down(spark, tmp_path):
     assert found.count() == 2
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t,20240101000000)" in plan
+
+
+def test_ranges_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1, 12),), (datetime(2024, 1, 1, 13),)], "t timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+        assert scan.scan_range(df, "t", "2024-01-01 12:00:00", "2024-01-01 12:30:00").count() == 1
+        assert df.select(times.at(datetime(2024, 1, 1, 12))).first()[0] == datetime(2024, 1, 1, 12)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
