@@ -59,7 +59,9 @@ def compare(df, con, sql: str) -> tuple[int, str | None]:
 
 def main() -> None:
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-    from pairwarden.catalog import ORACLES, QUERIES
+    import __spark_entry__
+
+    QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     from pairwarden.session import local_session
 
     folder = str(ROOT / (sys.argv[1] if len(sys.argv) > 1 else "sf0.01"))
