@@ -11,15 +11,24 @@ from pairwarden.llm.decontamination import mark_contamination
 from pairwarden.llm.exact_dedup import exact_duplicates
 from pairwarden.llm.line_dedup import drop_repeated_lines
 from pairwarden.llm.packing import pack_powers
+from pairwarden.llm.shipping import ship
+from pairwarden.llm.simhash_dedup import near_duplicates
+from pairwarden.llm.substring_dedup import remove_repeats
+from pairwarden.llm.suffix_dedup import remove_long_repeats
 from pairwarden.llm.token_counts import context_totals, encoded_lengths, length_histogram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_long_repeats(documents(spark, sf_dir), window=50, with_text=False)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(documents(spark, sf_dir), min_docs=10, min_chars=1, with_text=False)
 
@@ -28,6 +37,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_powers(documents(spark, sf_dir), longest=2048, end_id=1)
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=3, max_distance=3)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -36,6 +49,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_totals(length_histogram(encoded_lengths(documents(spark, sf_dir))))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), window=13, with_text=False)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -45,15 +62,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op2_line_dedup": sql.OP2,
     "op6_exact_dedup": sql.OP6,
+    "op9_substring_dedup": sql.OP9,
     "op10_decontamination": sql.OP10,
 }
