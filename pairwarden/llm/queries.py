@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairwarden.llm import sql
 from pairwarden.llm.decontamination import mark_contamination
 from pairwarden.llm.exact_dedup import exact_duplicates
+from pairwarden.llm.language_id import held_out, identify
 from pairwarden.llm.line_dedup import drop_repeated_lines
 from pairwarden.llm.packing import pack_powers
 from pairwarden.llm.shipping import ship
@@ -16,6 +18,7 @@ from pairwarden.llm.simhash_dedup import near_duplicates
 from pairwarden.llm.substring_dedup import remove_repeats
 from pairwarden.llm.suffix_dedup import remove_long_repeats
 from pairwarden.llm.token_counts import context_totals, encoded_lengths, length_histogram
+from pairwarden.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +40,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_powers(documents(spark, sf_dir), longest=2048, end_id=1)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", held_out("doc_id", 5, 0).alias("held_out"))
+    found = identify(docs.drop("lang"), docs.filter(~F.col("held_out")))
+    return found.select("doc_id", "held_out", *[f"language.{c}" for c in ("lang_pred", "score", "rejected")])
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=3, max_distance=3)
 
@@ -49,6 +58,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_totals(length_histogram(encoded_lengths(documents(spark, sf_dir))))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = score_toxicity(documents(spark, sf_dir), labels, held_out("doc_id", 3, 1), threshold=0.7)
+    return scored.drop("votes")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), window=13, with_text=False)
 
@@ -65,9 +80,11 @@ QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op4_language_id": op4_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
