@@ -158,6 +158,11 @@ def links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest id reachable) of every row."""
+    return _grouped(docs, shingle, max_distance).drop("root")
+
+
+def _grouped(docs: DataFrame, shingle: int, max_distance: int) -> DataFrame:
+    """The same, and the component's root, a fingerprint."""
     marked = stage(fingerprints(docs, shingle), "fingerprints")
     classes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     grouped = components(links(classes, max_distance))
@@ -168,7 +173,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) ->
         "rooted",
     )
     lowest = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
-    answer = stage(rooted.join(lowest, "root").select("fp", "component_id"), "answer")
+    answer = stage(rooted.join(lowest, "root").select("fp", "component_id", "root"), "answer")
     return marked.join(answer, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
+    )
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """The rows of ``docs`` (all its columns) with the smallest id of each component.
+
+    A component without any id keeps one of its rows; of rows that share the smallest id, one stays.
+    """
+    text = F.col("text").cast("string")
+    found = _grouped(docs, shingle, max_distance)
+    # one (id, fingerprint) per component: the smallest id, of its fingerprints the smallest
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("doc_id").alias("_keep_id"), F.min("fingerprint").alias("_keep_fp"), F.count("*").alias("_rows")
+    )
+    kept = stage(kept.drop("root"), "kept")
+    marked = docs.withColumn("_fp", _fingerprint_column(shingle)(text))
+    joined = marked.join(
+        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_fp") == F.col("_keep_fp"))
     )
+    if not kept.filter("_rows > 1").isEmpty():  # repeated ids
+        joined = joined.dropDuplicates(["_keep_id", "_keep_fp"])
+    return joined.select(*docs.columns)
+
+
+def _fingerprint_column(shingle: int):
+    @F.arrow_udf("string")
+    def take(texts: pa.Array) -> pa.Array:
+        own = [f"{fingerprint(t or b'', shingle):016x}" for t in texts.cast(pa.binary()).to_pylist()]
+        return pa.array(own, pa.string())
+
+    return take
