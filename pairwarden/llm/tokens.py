@@ -13,7 +13,7 @@ import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-MAX_CACHED_PIECES = 500_000
+MAX_CACHED_PIECES = 1_000_000
 
 # The splitting pattern of the word tokenizer, for letters and numbers of Latin-1.
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
@@ -33,29 +33,38 @@ class WordTokenizer:
 
     def __init__(self, path: str, most: int = MAX_CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.whole = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.whole.model)  # for pieces that are normalised and split already
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.most, self.known = most, {}
 
-    def _pieces(self, text: str) -> list[str]:
-        if "<|" in text:  # special tokens may hold anything: leave the whole text to the tokenizer
-            return [text]
-        if _LATIN.fullmatch(text):
-            return _PIECES.findall(text.lower())
-        return [p for p in _GAPS.split(text) if p]
+    def _learn(self, pieces: list[list[str]], tokenizer) -> None:
+        new = list(set().union(*pieces).difference(self.known))
+        for piece, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known[piece] = array("I", coded.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        pieces = [self._pieces(t) for t in texts]
         if len(self.known) > self.most:
             self.known = {}
-        new = list(set().union(*pieces).difference(self.known))
-        for piece, coded in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            self.known[piece] = array("I", coded.ids).tobytes()
+        split, others, every = [], [], []
+        for text in texts:
+            if "<|" in text:  # special tokens may hold anything: the whole text is one piece
+                pieces = [text]
+                others.append(pieces)
+            elif _LATIN.fullmatch(text):
+                pieces = _PIECES.findall(text.lower())
+                split.append(pieces)
+            else:
+                pieces = [p for p in _GAPS.split(text) if p]
+                others.append(pieces)
+            every.append(pieces)
+        self._learn(split, self.bare)
+        self._learn(others, self.whole)
         ids = self.known.__getitem__
-        return [b"".join(map(ids, p)) for p in pieces]
+        return [b"".join(map(ids, pieces)) for pieces in every]
 
 
 @lru_cache(maxsize=2)
