@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, mixed, twice_seen
+from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, distinct, mixed, twice_seen
 from pairwarden.llm.tables import NO_ID, cuts, narrow, power_of_two, rank, record, rows_of, text_bytes
 
 WINDOW = 13
@@ -147,7 +147,7 @@ def _send_windows(alive: Survivors, buckets: int):
             words = word_hashes(text.split())
             mine = alive(words)
             if mine.any():
-                own = np.unique(window_hashes(words, alive.window)[mine])
+                own = distinct(window_hashes(words, alive.window)[mine])
                 hashes.append(own)
                 ranks.append(NO_ID if doc is None else doc)
                 held += len(own)

@@ -16,7 +16,7 @@ Every ``window`` (50) bytes that also start in a document with a smaller id are
 5. Only a window's first document, its owner, hears about it. Every document then removes
    the suspected windows it does not own.
 
-Seeds that very many documents share (``hot_seeds``) would gather the text around them in
+Seeds that more than one in ``HOT_PARTS`` documents share would gather the text around them in
 one bucket. Their windows are segments of their own, spread by the hash of the whole window.
 
 Matches never cross documents. Null texts are empty. Rows that share an id are the same
@@ -31,11 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, mixed, twice_seen
-from pairwarden.llm.substring_dedup import smallest, window_hashes
+from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, twice_seen
+from pairwarden.llm.substring_dedup import smallest
 from pairwarden.llm.tables import NO_ID, cuts, narrow, power_of_two, rank, record, rows_of, text_bytes
 
 WINDOW = 50
@@ -44,26 +45,40 @@ LONGEST = 64  # windows of a segment; an owner's answer is one bit each
 HOT_PARTS = 512  # a seed in more than this part of the documents is hot
 _BLOCK = 1 << 20  # bytes hashed at once
 _FLUSH_BYTES = 16 << 20
-_BUCKET_BYTES = 4 << 20  # text per bucket
-_FLUSH_DOCS = 4096
+_BUCKET_BYTES = 1 << 20  # text per bucket; about half of it is indexed
 
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_ONE, _TWO, _HALF = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
+
+
+def grams(text: bytes, size: int) -> np.ndarray:
+    """Hash of every substring of ``size`` (at least 8) bytes, from its 8-byte words."""
+    n = len(text) - size + 1
+    words = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,)).copy()
+    h = words[:n] * _ONE
+    for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
+        h += words[at : at + n]
+        h *= _TWO
+        h ^= h >> _HALF
+    h *= _ONE
+    h ^= h >> _HALF
+    return h
 
 
 def seeds(text: bytes, window: int, seed: int) -> np.ndarray:
     """For each window of the text, the smallest hash of its substrings of ``seed`` bytes."""
-    out = []
-    for at in range(0, max(0, len(text) - window + 1), _BLOCK):
-        block = np.frombuffer(text[at : at + _BLOCK + window - 1], np.uint8)
-        out.append(smallest(window_hashes(_BYTE[block], seed), window - seed + 1))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    if len(text) < window:
+        return np.zeros(0, np.uint64)
+    if len(text) <= _BLOCK:
+        return smallest(grams(text, seed), window - seed + 1)
+    parts = [text[at : at + _BLOCK + window - 1] for at in range(0, len(text) - window + 1, _BLOCK)]
+    return np.concatenate([smallest(grams(part, seed), window - seed + 1) for part in parts])
 
 
 class Segments:
     """Cuts a document's suspected windows into segments."""
 
-    def __init__(self, seen: TwiceSeen, hot: np.ndarray, window: int, seed: int):
-        self.seen, self.hot, self.window, self.seed = seen, hot, window, seed
+    def __init__(self, seen: TwiceSeen, window: int, seed: int):
+        self.seen, self.window, self.seed = seen, window, seed
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and numbers of windows of the segments, and the hash that chooses their bucket
@@ -76,8 +91,8 @@ class Segments:
         suspect = self.seen(value)
         start, size, value = ends[:-1][suspect], np.diff(ends)[suspect], value[suspect]
         longest = np.full(len(value), LONGEST)
-        if len(self.hot):
-            hot = np.isin(value, self.hot)
+        if len(self.seen.hot):
+            hot = self.seen.is_hot(value)
             longest[hot], value[hot] = 1, 0
         parts = -(-size // longest)
         which = np.repeat(np.arange(len(start)), parts)
@@ -94,9 +109,11 @@ def _send_segments(cut: Segments, buckets: int):
     tail = cut.window - 1
 
     def flush(held: dict[bytes, int], chosen: dict[bytes, int]) -> pa.RecordBatch:
+        press = zstandard.ZstdCompressor(level=3).compress
         texts = list(held)
-        bucket = np.fromiter((chosen[t] for t in texts), np.int64, len(texts))
-        order = np.argsort(bucket, kind="stable")
+        value = np.fromiter(chosen.values(), np.uint64, len(texts))
+        bucket = (value >> np.uint64(40)).astype(np.int64) % buckets
+        order = np.lexsort((value, bucket))  # segments of one seed side by side
         bucket = bucket[order]
         docs = np.fromiter(held.values(), np.int64, len(texts))[order]
         texts = [texts[i] for i in order]
@@ -105,7 +122,7 @@ def _send_segments(cut: Segments, buckets: int):
         parts = list(zip(ends, ends[1:], strict=False))
         return record(
             ["bucket", "text", "sizes", "docs"],
-            [bucket[ends[:-1]], [b"".join(texts[a:b]) for a, b in parts],
+            [bucket[ends[:-1]], [press(b"".join(texts[a:b])) for a, b in parts],
              [sizes[a:b].tobytes() for a, b in parts], [docs[a:b].tobytes() for a, b in parts]],
             [pa.int32(), pa.binary(), pa.binary(), pa.binary()],
         )
@@ -117,13 +134,12 @@ def _send_segments(cut: Segments, buckets: int):
         for doc, text in rows_of(batches):
             me = NO_ID if doc is None else doc
             starts, counts, values = cut(text)
-            place = ((values >> np.uint64(40)) % np.uint64(buckets)).tolist()
-            for a, n, v, p in zip(starts.tolist(), counts.tolist(), values.tolist(), place, strict=True):
+            for a, n, v in zip(starts.tolist(), counts.tolist(), values.tolist(), strict=True):
                 segment = text[a : a + n + tail]
                 old = held.get(segment)
                 if old is None:
                     held[segment] = me
-                    chosen[segment] = p if v else _digest(segment) % buckets
+                    chosen[segment] = v or _digest(segment)
                     size += len(segment)
                 elif me < old:
                     held[segment] = me
@@ -137,95 +153,77 @@ def _send_segments(cut: Segments, buckets: int):
 
 
 class RunIndex:
-    """Run-compressed Burrows-Wheeler transform of a set of segments, to a fixed depth.
+    """Run-compressed Burrows-Wheeler transform of the windows of a set of segments.
 
-    Rows are all suffixes of the segments, sorted by their first ``depth`` symbols. ``start``
-    and the symbol of each run, ordered by symbol, answer a backward-search step; runs end
-    where the symbol or the depth-long context changes, and each run's end is sampled with
-    the smallest document of its context.
+    Rows are the suffixes that start a window, and the one after each segment's last window,
+    sorted by their first ``depth`` bytes (their context). Runs of the transform end where the
+    preceding symbol or the context changes. Each run keeps its first row and, sampled once for
+    the run, the smallest document of its context; suffixes and transform are dropped. The row
+    of each segment's last window is the foothold from which matching starts.
     """
 
     def __init__(self, segments: list[bytes], docs: np.ndarray, depth: int):
         self.depth = depth
+        text = b"\0".join([*segments, b""])  # one byte behind each segment
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
-        ends = np.cumsum(sizes + 1)
-        symbols = np.zeros(ends[-1], np.int64)  # byte + 1; 0 ends a segment
-        body = np.ones(ends[-1], bool)
-        body[ends - 1] = False
-        symbols[body] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
-        left = np.repeat(ends - 1, sizes + 1) - np.arange(ends[-1])  # symbols before the segment's end
-        order, context = self._sorted(symbols, left, depth)
-        # first document of each context that is a whole window
-        owner = np.where(left >= depth, np.repeat(docs, sizes + 1), NO_ID)[order]
-        group = cuts(context)
-        first = np.minimum.reduceat(owner, group[:-1])
-        before = symbols[order - 1]
-        before[order == 0] = 0
+        start = np.cumsum(sizes + 1) - sizes - 1
+        rows = sizes - depth + 2
+        segment = np.repeat(np.arange(len(segments)), rows)
+        place = np.arange(len(segment)) - np.repeat(np.cumsum(rows) - rows, rows)
+        at = start[segment] + place
+        whole = place < rows[segment] - 1  # a window, not the suffix behind the last one
+        contexts = np.ndarray((len(text) - depth + 1,), f"S{depth}", text, strides=(1,))[at]
+        order = np.argsort(contexts)
+        contexts = contexts[order]
+        group = np.flatnonzero(np.r_[True, contexts[1:] != contexts[:-1]])
+        context = np.zeros(len(order), np.int64)
+        context[group] = 1
+        context = np.cumsum(context) - 1
+        whole, place = whole[order], place[order]
+        owner = np.where(whole, docs[segment[order]], NO_ID)
+        first = np.minimum.reduceat(owner, group)
+        data = np.frombuffer(text, np.uint8)
+        before = np.where(place > 0, data[at[order] - 1].astype(np.int64) + 1, 0)
         run = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (context[1:] != context[:-1])])
-        self.row = run  # first row of each run
-        self.sample = np.repeat(first, np.diff(group))[run]
-        self.context = group[:-1][np.cumsum(np.r_[True, context[1:] != context[:-1]])[run] - 1]
+        self.window = (np.cumsum(whole) - whole)[run]  # windows before the run
+        self.context = group[context[run]]  # first row of the run's context
+        self.sample = first[context[run]]
         symbol, length = before[run], np.diff(np.r_[run, len(order)])
-        by_symbol = np.lexsort((run, symbol))
+        by_symbol = np.argsort(symbol, kind="stable")
         self.rows = len(order) + 1
         self.key = symbol[by_symbol] * self.rows + run[by_symbol]
         self.length = length[by_symbol]
-        self.total = np.r_[0, np.cumsum(self.length)]  # rows of smaller symbols and earlier runs
-
-    @staticmethod
-    def _sorted(symbols: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows by their first ``depth`` symbols, and the rank of each row's context, by doubling."""
-        n = len(symbols)
-        padded = np.r_[symbols, np.zeros(8, np.int64)].astype(np.uint64)
-        value = np.zeros(n, np.uint64)
-        width = min(7, depth)  # seven 9-bit symbols fit
-        for j in range(width):
-            value = value << np.uint64(9) | padded[j : j + n]
-        short = np.maximum(0, width - left)
-        value &= ~((np.uint64(1) << (np.uint64(9) * short.astype(np.uint64))) - np.uint64(1))
-        while True:
-            order = np.argsort(value)
-            ranked = value[order]
-            context = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
-            if width >= depth:
-                return order, context
-            ranks = np.empty(n, np.uint64)
-            ranks[order] = context + 1
-            step = min(width, depth - width)
-            later = np.zeros(n, np.uint64)
-            later[: n - step] = ranks[step:]
-            later[left <= step] = 0
-            value = ranks << np.uint64(32) | later
-            width += step
-
-    def step(self, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """First row whose context starts with ``symbol`` and goes on as the context of ``row``."""
+        # windows that start with smaller symbols, or with this one in earlier runs
+        self.total = np.cumsum(self.length) - self.length - length[symbol == 0].sum()
+        last = np.empty(len(order), np.int64)
+        last[order] = np.arange(len(order))
+        foot = context[last[np.cumsum(rows) - 2]]
+        self.foot, self.foot_sample = group[foot], first[foot]
+
+    def extend(self, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Backward-search step: the run of the context that is ``symbol`` before the one at ``row``."""
         wanted = symbol * self.rows + row
-        run = np.searchsorted(self.key, wanted, "left") - 1  # last run that begins before, of any symbol
-        safe = np.maximum(run, 0)
-        inside = np.minimum(wanted - self.key[safe], self.length[safe])  # whole run, if of a smaller symbol
-        return np.where(run < 0, 0, self.total[safe] + inside)
+        found = np.searchsorted(self.key, wanted, "left") - 1  # last run that begins before the row
+        inside = np.minimum(wanted - self.key[found], self.length[found])  # all of it, if of a smaller symbol
+        return np.searchsorted(self.window, self.total[found] + inside, "right") - 1
 
     def first_documents(self, segments: list[bytes]) -> list[np.ndarray]:
-        """Matching statistics cut at the depth: for each window of each segment, its first document."""
+        """Matching statistics cut at the depth, for the segments of the index in their order: the
+        smallest document of each window."""
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         by_size = np.argsort(-sizes, kind="stable")
-        sizes_down = sizes[by_size]
-        widest = int(sizes_down[0])
-        out = np.full((len(segments), widest - self.depth + 1), NO_ID)
-        text = np.frombuffer(b"".join(segments), np.uint8)
-        last = (np.cumsum(sizes) - 1)[by_size]
-        row = np.zeros(len(segments), np.int64)
-        live = len(segments)
-        for t in range(widest):
-            live = int(np.searchsorted(-sizes_down, -t, "left"))  # segments longer than t
-            symbol = text[last[:live] - t].astype(np.int64) + 1
-            row = self.step(row[:live], symbol)
-            if t + 1 >= self.depth:
-                run = np.searchsorted(self.row, row, "right") - 1
-                out[by_size[:live], sizes_down[:live] - t - 1] = self.sample[run]
-                row = self.context[run]  # back to the first row of the context
-        return [o[: n - self.depth + 1] for o, n in zip(out, sizes.tolist(), strict=True)]
+        windows = (sizes - self.depth + 1)[by_size]
+        out = np.full((len(segments), int(windows[0])), NO_ID)
+        data = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
+        last = (np.cumsum(sizes) - self.depth)[by_size]  # where the last windows start
+        out[by_size, windows - 1] = self.foot_sample[by_size]
+        row = self.foot[by_size]
+        for t in range(1, int(windows[0])):
+            live = int(np.searchsorted(-windows, -t, "left"))  # segments of more than t windows
+            run = self.extend(row[:live], data[last[:live] - t])
+            out[by_size[:live], windows[:live] - t - 1] = self.sample[run]
+            row = self.context[run]
+        return [o[:n] for o, n in zip(out, (sizes - self.depth + 1).tolist(), strict=True)]
 
 
 def _index(window: int):
@@ -251,9 +249,10 @@ def _index(window: int):
                       [pa.int64(), pa.binary()])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, {}
+        at, held, unpress = None, {}, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for bucket, text, sizes, docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = unpress(text)
                 if bucket != at and held:
                     yield answer(held)
                     held = {}
@@ -317,36 +316,6 @@ def _remove(cut: Segments | None, with_text: bool):
     return remove
 
 
-def hot_seeds(docs: DataFrame, window: int = WINDOW, seed: int = SEED, parts: int = HOT_PARTS) -> np.ndarray:
-    """Smallest hashes found in more than one in ``parts`` documents.
-
-    Tasks count per flush of documents and report what is frequent there; each hash above the
-    share must be so in some flush. Documents have a bounded number of hashes on average, so
-    the list is bounded by ``parts`` times that, whatever the number of documents.
-    """
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts_, n = [], 0
-
-        def flush():
-            h, c = np.unique(np.concatenate(parts_), return_counts=True)
-            often = c > max(8, n / (2 * parts))
-            return record(["seed", "n"], [h[often].view(np.int64), c[often]], [pa.int64(), pa.int64()])
-
-        for _, text in rows_of(batches):
-            parts_.append(np.unique(seeds(text, window, seed)))
-            n += 1
-            if n >= _FLUSH_DOCS:
-                yield flush()
-                parts_, n = [], 0
-        if parts_:
-            yield flush()
-
-    found = docs.mapInArrow(report, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    least = max(64, docs.count() / parts)
-    return np.array([r.seed for r in found.filter(F.col("n") > least).collect()], np.int64).view(np.uint64)
-
-
 def remove_long_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with_text: bool = True,
                         max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """Remove each byte covered by a ``window``-byte string that also starts in a document with a
@@ -358,13 +327,13 @@ def remove_long_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
     docs = narrow(docs)
     size = text_bytes(docs)
     expected = 2 * size / (window - seed + 2)
-    seen = twice_seen(docs, lambda text: seeds(text, window, seed), expected, max_filter_bytes)
+    seen = twice_seen(docs, lambda text: seeds(text, window, seed), expected, max_filter_bytes, HOT_PARTS)
     ranked = docs.withColumn("rank", rank())
     cut = None
     if seen is None:
         joined = ranked.withColumn("own", F.lit(None).cast("array<binary>"))
     else:
-        cut = Segments(seen, hot_seeds(docs, window, seed), window, seed)
+        cut = Segments(seen, window, seed)
         buckets = power_of_two(size / _BUCKET_BYTES, 8, 1 << 24)
         owners = (
             docs.mapInArrow(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Rank of a document without an id: after every id.
 NO_ID = 2**63 - 1
+_ROWS = 256
 
 
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -38,10 +39,11 @@ def power_of_two(n: float, least: int, most: int) -> int:
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
     """(first column, text in UTF-8) of each row; a null text is empty."""
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for doc, text in zip(ids, texts, strict=True):
-            yield doc, text or b""
+        for at in range(0, batch.num_rows, _ROWS):  # few texts at a time as Python objects
+            part = batch.slice(at, _ROWS)
+            texts = part.column(1).cast(pa.binary()).to_pylist()
+            for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
+                yield doc, text or b""
 
 
 def record(names: list[str], columns: list, types: list[pa.DataType]) -> pa.RecordBatch:

@@ -14,7 +14,7 @@ from pairwarden.llm.repeats import mixed, twice_seen
 from pairwarden.llm.simhash_dedup import fingerprint, links, near_duplicates
 from pairwarden.llm.simhash_dedup import keep_one as keep_one_near
 from pairwarden.llm.substring_dedup import levels, remove_repeats, smallest, window_hashes
-from pairwarden.llm.suffix_dedup import RunIndex, hot_seeds, remove_long_repeats
+from pairwarden.llm.suffix_dedup import RunIndex, remove_long_repeats, seeds
 from pairwarden.llm.tables import narrow
 
 
@@ -34,7 +34,7 @@ def test_suffix_dedup_splits_hot_seeds(make_docs, same):
     passage = "a passage that every second document holds, with its own words around it; " * 2
     rows = [(i, f"{rng.random()}" * 4 + passage * (i % 2) + f"{rng.random()}" * 4) for i in range(300)]
     docs = make_docs(rows)
-    assert len(hot_seeds(narrow(docs))) > 0
+    assert len(twice_seen(narrow(docs), lambda t: seeds(t, 50, 16), 10_000, hot_parts=512).hot) > 0
     same(remove_long_repeats(docs), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
          brute.long_repeats(rows))
 
@@ -72,7 +72,7 @@ def test_run_index_compresses_repetitive_text():
     text = bytes(random.Random(5).choice(b"abcdefgh") for _ in range(600))
     segments = [text[i:i + 100] for i in range(0, 500)]
     index = RunIndex(segments, np.arange(500), 50)
-    assert len(index.row) < 500 * 101 / 10
+    assert len(index.key) < 500 * 52 / 10
 
 
 @pytest.mark.parametrize("window, first", [(13, 7), (13, 2), (5, 3)])
