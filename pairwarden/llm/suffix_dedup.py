@@ -54,7 +54,7 @@ def grams(text: bytes, size: int) -> np.ndarray:
     """Hash of every substring of ``size`` (at least 8) bytes, from its 8-byte words."""
     n = len(text) - size + 1
     words = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,)).copy()
-    h = words[:n] * _ONE
+    h = words[:n] * _ONE + _TWO
     for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
         h += words[at : at + n]
         h *= _TWO
