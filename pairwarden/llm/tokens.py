@@ -13,7 +13,7 @@ import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-MAX_CACHED_PIECES = 1_000_000
+MAX_CACHED_PIECES = 400_000
 
 # The splitting pattern of the word tokenizer, for letters and numbers of Latin-1.
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
@@ -38,17 +38,20 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.bare = Tokenizer(self.whole.model)  # for pieces that are normalised and split already
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.most, self.known = most, {}
+        self.most, self.known, self.older = most, {}, {}
 
     def _learn(self, pieces: list[list[str]], tokenizer) -> None:
-        new = list(set().union(*pieces).difference(self.known))
+        new = set().union(*pieces).difference(self.known)
+        again = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        new = list(new - again)
         for piece, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.known[piece] = array("I", coded.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > self.most:
-            self.known = {}
+        if 2 * len(self.known) > self.most:  # what is not met again is forgotten
+            self.known, self.older = {}, self.known
         split, others, every = [], [], []
         for text in texts:
             if "<|" in text:  # special tokens may hold anything: the whole text is one piece

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from pairwarden.session import stage
 
 MAX_CANDIDATES = 20_000
 MIN_Z = 2.8
+MIN_SHARE = 0.01
 STEMS = (4, 5, 6)
 WORD_GROUPS = 6
 STEM_GROUPS = 4
@@ -91,6 +93,22 @@ def _count_features(wanted):
     return count
 
 
+def _family():
+    """Column function: smallest hash of three neighbouring words, the same for most near copies."""
+
+    @F.arrow_udf("long")
+    def family(texts: pa.Array) -> pa.Array:
+        of = xxhash.xxh3_64_intdigest
+        out = []
+        for text in texts.to_pylist():
+            words = tokens(text)
+            least = min((of(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
+            out.append(least - 2**63)
+        return pa.array(out, pa.int64())
+
+    return family
+
+
 def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
     return texts.mapInArrow(_count_features(wanted), "feature string, n long").groupBy("feature").agg(
         F.sum("n").alias("n")
@@ -100,16 +118,21 @@ def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
 def fit_lexicon(labelled: DataFrame, min_z: float = MIN_Z) -> Lexicon:
     """Lexicon from (text, toxic) rows: features whose log odds differ by ``min_z`` standard errors.
 
-    Candidates are the ``MAX_CANDIDATES`` features found in the most toxic texts; their counts are over
-    all labelled rows.
+    Near copies of a text (same smallest hash of three words) count once, else the rare words of a text
+    with many copies would look typical. Candidates are the ``MAX_CANDIDATES`` features found in the most toxic texts, in ``MIN_SHARE`` of them at least;
+    their counts are over all labelled texts.
     """
     spark = labelled.sparkSession
+    labelled = labelled.groupBy(_family()("text")).agg(
+        F.first("text").alias("text"), F.max("toxic").alias("toxic")
+    ).select("text", "toxic")
+    labelled = stage(labelled, "distinct-texts")
     sizes = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad:
         return Lexicon()
     toxic, clean = (labelled.filter(F.col("toxic") == y).select("text") for y in (1, 0))
-    found = _document_counts(toxic).filter(F.col("n") >= max(2, bad / 1000))
+    found = _document_counts(toxic).filter(F.col("n") >= max(4, MIN_SHARE * bad))
     found = found.orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).collect()
     counts = {r.feature: r.n for r in found}
     wanted = spark.sparkContext.broadcast(set(counts))
