@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 1. Lexicons. Words and word stems (prefixes) that are far more frequent in texts labelled
-   toxic than in others, from all labelled training rows, and fixed lists of insults.
+   toxic than in others, from the labelled training rows (a bounded number), and fixed
+   lists of insults.
 2. Voters. Each lexicon group and pattern votes on a text: *toxic* or abstain; one votes
    *clean*. A text's votes are one bit pattern, so everything below works on counts of
    patterns, at most 2**voters of them, whatever the number of rows.
@@ -39,6 +40,7 @@ STEMS = (4, 5, 6)
 WORD_GROUPS = 6
 STEM_GROUPS = 4
 MAX_LEXICON = 2_000
+MAX_LABELLED = 500_000
 _FLUSH_TOKENS = 200_000
 
 # Insults by language.
@@ -118,15 +120,10 @@ def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
 def fit_lexicon(labelled: DataFrame, min_z: float = MIN_Z) -> Lexicon:
     """Lexicon from (text, toxic) rows: features whose log odds differ by ``min_z`` standard errors.
 
-    Near copies of a text (same smallest hash of three words) count once, else the rare words of a text
-    with many copies would look typical. Candidates are the ``MAX_CANDIDATES`` features found in the most toxic texts, in ``MIN_SHARE`` of them at least;
+    Candidates are the ``MAX_CANDIDATES`` features found in the most toxic texts, in ``MIN_SHARE`` of them at least;
     their counts are over all labelled texts.
     """
     spark = labelled.sparkSession
-    labelled = labelled.groupBy(_family()("text")).agg(
-        F.first("text").alias("text"), F.max("toxic").alias("toxic")
-    ).select("text", "toxic")
-    labelled = stage(labelled, "distinct-texts")
     sizes = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad:
@@ -156,6 +153,25 @@ def fit_lexicon(labelled: DataFrame, min_z: float = MIN_Z) -> Lexicon:
     return lexicon
 
 
+def _families(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, toxic) of labelled rows, one of each family of near copies.
+
+    Near copies (same smallest hash of three words) count once, else the rare words of a text with many
+    copies would look typical. At most about ``MAX_LABELLED`` labels, chosen by hash, are used; so many
+    ids are broadcast, and no text is shuffled or written.
+    """
+    share = min(1.0, MAX_LABELLED / max(1, known.count()))
+    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    families = (
+        rows.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "toxic", _family()("text").alias("family"))
+        .groupBy("family")
+        .agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    )
+    one = stage(families.select("doc_id", "toxic"), "families")
+    return rows.join(F.broadcast(one), "doc_id").select("text", "toxic")
+
+
 #: Voters in the order of their bits; all vote toxic but the last.
 VOTERS = [
     *[f"insults_{lang}" for lang in INSULTS],
@@ -320,8 +336,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, threshold: floa
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")
     ).agg(F.max("toxic").alias("toxic"))
-    labelled = stage(rows.filter(~F.col("held_out")).join(known, "doc_id").select("text", "toxic"), "labelled")
-    lexicon = context.broadcast(fit_lexicon(labelled))
+    lexicon = context.broadcast(fit_lexicon(_families(rows.filter(~F.col("held_out")), known)))
     voted = stage(
         rows.select("doc_id", "held_out", _vote_column(lexicon)("text").alias("votes")), "votes"
     )
