@@ -13,7 +13,7 @@ import sys
 import time
 
 from pairwarden.catalog import QUERIES
-from pairwarden.session import local_session
+from pairwarden.session import drop_staged, local_session
 
 HEADLINE = [
     "match_rules",
@@ -41,13 +41,12 @@ def main() -> None:
     seconds = {}
     for name in HEADLINE:
         runs = []
-        for _ in range(repeats + 1):
+        for _ in range(repeats + 1):  # the first run warms up
             begin = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - begin)
-            if runs[-1] > 30:  # long runs need no warm-up
-                break
-        seconds[name] = round(statistics.median(runs[1:] or runs), 3)
+            drop_staged(spark)
+        seconds[name] = round(statistics.median(runs[1:]), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")

@@ -29,7 +29,7 @@ def all_logs(spark, folder):
 
 def kept_logs(spark, folder):
     hits = raw_log_hits(spark, folder)
-    return without_source(enrich_logs(hits, t.devices(spark, folder)), hits)
+    return without_source(enrich_logs(hits, t.devices(spark, folder)))
 
 
 def kept_packets(spark, folder):
@@ -72,7 +72,8 @@ def attach_address(spark, folder):
 
 @query("exclude_seen", with_ctes("log_e", "select hash, single_rule, ip from log_e"))
 def exclude_seen(spark, folder):
-    return kept_logs(spark, folder).select("hash", "single_rule", "ip")
+    seen = raw_log_hits(spark, folder).filter("source = 'L009'")
+    return J.exclude_seen(all_logs(spark, folder), seen).select("hash", "single_rule", "ip")
 
 
 @query("exclude_seen_time", with_ctes("readings", """select tag_name, date_time, tag_value from readings
@@ -223,9 +224,8 @@ def _rates_sql(by: str = "", where: str = "") -> str:
         f"select {keys}'{c}' as \"column\", cast({c} as varchar) as value from lineitem {where}" for c in _RATE_COLS)
     return f"""with v as ({values}), c as (select {keys}"column", value, count(*) as n from v
       where value is not null group by all),
-    r as (select *, row_number() over (partition by {keys}"column" order by n desc, value) as rank,
-      sum(n) over (partition by {keys}"column") as n_all from c)
-    select {keys}"column", rank, value, round(n / n_all, 9) as rate from r where rank <= 100"""
+    r as (select *, sum(n) over (partition by {keys}"column") as n_all from c)
+    select {keys}"column", value, n, round(n / n_all, 9) as rate from r"""
 
 
 def _rounded(df):
@@ -259,7 +259,7 @@ _SINGLE = """select distinct time, ip, type, single_rule, hash, timestamp '2024-
 
 
 @query("single_events", with_ctes("all_logs packet_e", _SINGLE.format("%Y-%m-%d %H:%M:%S", "all_logs")
-       + " union all " + _SINGLE.format("%Y-%m-%d %H:%M:%S.%f", "packet_e")))
+       + " union all " + _SINGLE.format("%Y-%m-%d %H:%M:%S", "packet_e")))
 def single_events(spark, folder):
     return E.stack([
         E.single_events(all_logs(spark, folder), "log", t.RUN_TIME),

@@ -12,7 +12,8 @@ from pairwarden.catalog.standins import with_ctes
 from pairwarden.functions.times import bucket
 from pairwarden.operators import rules as R
 from pairwarden.operators import scoring as S
-from pairwarden.plans import correlation, rulecount, samekind, tags
+from pairwarden.plans import correlation, rulecount, runs, samekind, tags
+from pairwarden.session import fresh_path
 from pairwarden.plans.events import enrich_logs, log_hits, packet_events, without_source
 
 # ---- log-packet correlation --------------------------------------------------------
@@ -22,15 +23,8 @@ def _fit_summary(fitted):
     """Score distributions of a fit: training pairs (with copies) and hold-out pairs."""
     train = fitted.train_scores.withColumn("part", F.lit("train"))
     held = fitted.holdout_scores.withColumn("part", F.lit("held"))
-    return train.unionByName(held.select("ai_rmse", "n", "part"))
-
-
-@query("corr_train")
-def corr_train(spark, folder):
-    """Balanced training with two principal directions (draws are random by hash)."""
-    fitted = correlation.train_correlation(
-        t.tables(spark, folder), t.SETTINGS, t.START, t.END, t.RUN_TIME, k=2, seed=11)
-    return _fit_summary(fitted)
+    both = train.unionByName(held.select("ai_rmse", "n", "part"))
+    return both.groupBy(F.round("ai_rmse", 6).alias("ai_rmse"), "part").agg(F.sum("n").alias("n"))
 
 
 def _feature(kind: str, cols) -> str:
@@ -84,7 +78,8 @@ _CORR_PAIRS = with_ctes(
     merged=f"""select * from safe where single_rule not in ({_EXCESS}) union all
       select * exclude (n) from (select *, row_number() over (partition by id, machine_no, manufacturer_name,
         single_rule, loged_time, ip order by hash) as n from safe where single_rule in ({_EXCESS})) where n = 1""",
-    unit_rows=f"""select {', '.join(_OUT)}, substr(unit_id, -1) as unit, manufacturer_name, {_LOG_X},
+    unit_rows=f"""select {', '.join(c if c != 'milli_time' else "milli_time || '.000' as milli_time" for c in _OUT)},
+        substr(unit_id, -1) as unit, manufacturer_name, {_LOG_X},
         cast(null as varchar) as src_ip, cast(null as varchar) as dst_ip from merged
       union all select {', '.join(_OUT)}, substr(unit_id, -1), manufacturer_name, {_PACKET_X}, src_ip, dst_ip
       from packet_e""",
@@ -118,14 +113,40 @@ def _rounded(df, *cols):
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
-# ---- log-log correlation -----------------------------------------------------------
+def _balanced_ctes(labelled: str, held: str, feats: list[str], vocab: str, again: int) -> dict[str, str]:
+    """Balanced training rows of labelled pairs, the model fitted to them, scores of both parts."""
+    return {
+        "labelled": labelled,
+        "placed": """select *, count(*) over (partition by f_single_rule, b_single_rule) as size,
+          row_number() over (partition by f_single_rule, b_single_rule order by f_hash, b_hash, corr) - 1 as place
+          from labelled where corr is not null""",
+        "counted": f"""select *, {again} + case when size = most then 1 else most // size + (place < most % size)::int end
+          as copies from placed, (select max(size) as most from placed)""",
+        "train": f"select {', '.join(feats)}, unnest(range(copies)) as copy from counted",
+        **_model_ctes("train", feats, vocab),
+        "held": f"select {', '.join(feats)} from labelled where corr is null{held}",
+        "held_combos": _scores_sql("held", feats),
+    }
 
 
-@query("samekind_train")
-def samekind_train(spark, folder):
-    fitted = samekind.train_same_kind(
-        t.tables(spark, folder), t.LOG_COLS, t.START, t.END, t.RUN_TIME, skip_n=2, k=2, seed=11)
-    return _fit_summary(fitted)
+_SUMMARY = f"""select round(ai_rmse, 6) as ai_rmse, part, count(*) as n from (
+    select ai_rmse, 'train' as part from train_scores
+    union all select ai_rmse, 'held' from held join held_combos using ({', '.join(_X)})) group by all"""
+_KNOWN_PAIR = "k.f_single_rule = f.single_rule and k.b_single_rule = b.single_rule"
+_PAIR_IDS = "f.hash as f_hash, b.hash as b_hash, f.single_rule as f_single_rule, b.single_rule as b_single_rule"
+
+
+@query("corr_train", with_ctes("log_e packet_e known", _SUMMARY, rows=_TRAIN_ROWS, **_balanced_ctes(
+    f"""select {_PAIR_IDS}, f.type as f_type, b.type as b_type, k.corr, {_PAIR_X}
+      {EQ.numbered_pairs_sql(2, 'time_text')} left join known k on {_KNOWN_PAIR}""",
+    " and f_type <> b_type", _X, _VOCAB, 0)))
+def corr_train(spark, folder):
+    """Score distributions of a balanced training: pairs with copies, hold-out pairs."""
+    return _fit_summary(correlation.train_correlation(
+        t.tables(spark, folder), t.SETTINGS, t.START, t.END, t.RUN_TIME))
+
+
+# ---- log-log correlation -----------------------------------------------------------
 
 
 _ACTIVE_ROWS = f"""select time, time_text, ip, type, single_rule, hash, id, {_LOG_X} from active_e"""
@@ -134,6 +155,14 @@ _SAME_SIDES = ", ".join(
     [f"'f:' || f.x{i} as f{i}" for i in range(3)] + [f"'b:' || b.x{i} as b{i}" for i in range(3)])
 
 
+@query("samekind_train", with_ctes("active_e same_kind", _SUMMARY, rows=_ACTIVE_ROWS, **_balanced_ctes(
+    f"""select {_PAIR_IDS}, k.corr, {_SAME_SIDES} {EQ.numbered_pairs_sql(2, 'time_text')}
+      left join same_kind k on {_KNOWN_PAIR}""", "", _X, f"select 2 * ({_VOCAB})", 1)))
+def samekind_train(spark, folder):
+    return _fit_summary(samekind.train_same_kind(
+        t.tables(spark, folder), t.LOG_COLS, t.START, t.END, t.RUN_TIME, skip_n=2))
+
+
 @query("samekind_pairs", with_ctes(
     "active_e same_kind",
     f"""select distinct {', '.join(f'f_{c}' for c in _SAME_OUT)}, {', '.join(f'b_{c}' for c in _SAME_OUT)},
@@ -173,28 +202,27 @@ def _space_sql(kind: int) -> str:
 
 @query("rulespace_train", with_ctes(
     "log_hits",
-    f"""select {', '.join(f'r{r}' for r in _USED[R.LOG])}, round(ai_rmse, 6) as ai_rmse, ai_rmse > x as ai_label,
-      count(n) as n_buckets from space left join seen using ({', '.join(f'r{r}' for r in _USED[R.LOG])}), thr
-    group by all""",
+    f"""select {', '.join(f'r{r}' for r in _USED[R.LOG])},
+      round(sqrt(({' + '.join(f'pow((select avg(r{r}) from space) - r{r}, 2)' for r in _USED[R.LOG])}) / {len(_USED[R.LOG])}), 6)
+        as ai_rmse,
+      round(sqrt(({' + '.join(f'pow((select avg(r{r}) from space) - r{r}, 2)' for r in _USED[R.LOG])}) / {len(_USED[R.LOG])}), 9)
+        > x as ai_label, count(*) as n_buckets from seen, thr group by all""",
     space=_space_sql(R.LOG), **mad_sql("space", "ai_rmse"),
-    seen=f"""select 1 as n, {', '.join(f'max(single_rule = {r})::int as r{r}' for r in _USED[R.LOG])} from log_hits
+    seen=f"""select {', '.join(f'count(*) filter (single_rule = {r}) as r{r}' for r in _USED[R.LOG])} from log_hits
       group by time_bucket(interval 10 minute, ts)"""))
 def rulespace_train(spark, folder):
-    """Scores of all rule combinations and how many buckets of the events show each."""
-    model, _, scored = rulecount.train_rule_space(
-        spark, t.rules(spark), t.mapping(spark), R.LOG, "log", t.RUN_TIME)
-    seen = EQ.raw_log_hits(spark, folder).groupBy(bucket("ts").alias("bucket")).agg(
-        *[F.max(F.col("single_rule") == int(c[1:])).cast("int").alias(c) for c in model.cols])
-    counts = seen.groupBy(*model.cols).agg(F.count(F.lit(1)).alias("n_buckets"))
-    labelled = S.label(scored, "ai_rmse", model.threshold, "above")
-    return _rounded(labelled.join(counts, model.cols, "left").na.fill(0, ["n_buckets"]), "ai_rmse")
+    """Rule counts that occur in a bucket, with their score and label and the number of buckets."""
+    model, _ = rulecount.train_rule_space(spark, t.rules(spark), t.mapping(spark), R.LOG, "log", t.RUN_TIME)
+    scored = rulecount.bucket_scores(EQ.raw_log_hits(spark, folder), model, "ts")
+    counted = scored.groupBy(*model.cols, "ai_rmse", "ai_label").agg(F.count(F.lit(1)).alias("n_buckets"))
+    return _rounded(counted, "ai_rmse")
 
 
 def _active(spark, folder):
     """Enriched log and packet events of active rules."""
     rules = t.rules(spark)
     hits = log_hits(t.logs(spark, folder), R.load_rules(R.select_rules(rules, R.LOG, True)), t.START, t.END)
-    logs = without_source(enrich_logs(hits, t.devices(spark, folder)), hits)
+    logs = without_source(enrich_logs(hits, t.devices(spark, folder)))
     packet_rules = R.load_rules(R.select_rules(rules, R.PACKET, True))
     return {"log": logs, "packet": packet_events(t.packets(spark, folder), packet_rules, t.START, t.END)}
 
@@ -235,7 +263,7 @@ def _kind_ctes(kind: str, code: int, rel: str, cols) -> dict[str, str]:
     "active_e packet_act mapping",
     """select distinct p.* exclude (sim, ai_rmse), round(ai_rmse, 6) as ai_rmse, round(sim, 6) as cos_sim, sim > 0.99 as ai_label,
       coalesce(multi_id, 0) as corr, timestamp '2024-02-01 09:30:00' as version, cast(0.99 as double) as threshold
-    from (select * from log_pairs union all select * from packet_pairs) p
+    from (select * from log_pairs where sim > 0.99 union all select * from packet_pairs where sim > 0.99) p
     left join (select distinct multi_id, rule_id from mapping) on rule_id = f_single_rule""",
     **_kind_ctes("log", R.LOG, "active_e", rulecount.TEXT_COLS["log"]),
     **_kind_ctes("packet", R.PACKET, "packet_act", rulecount.TEXT_COLS["packet"])))
@@ -286,9 +314,9 @@ def _tag_fit_ctes(unit: str, steps: int) -> dict[str, str]:
     from (unpivot err_turbine1 on click, error into name tag_name value tag_value), thr_turbine1, span_turbine1""",
     matrix=_MATRIX, **_tag_fit_ctes("Turbine1", 3)))
 def tag_train(spark, folder):
-    fit = tags.train_tags(
-        t.readings(spark, folder), t.catalogue(spark), "Turbine1", t.START, t.END, t.RUN_TIME, steps=3)
-    return _rounded(fit.validation, "ai_rmse", "ai_rmse_scaled")
+    fits = tags.train_tags(
+        t.readings(spark, folder), t.catalogue(spark), ["Turbine1"], t.START, t.END, t.RUN_TIME, steps=3)
+    return _rounded(fits["Turbine1"].validation, "ai_rmse", "ai_rmse_scaled")
 
 
 def _tag_score_sql(unit: str) -> str:
@@ -316,9 +344,31 @@ def _tag_score_sql(unit: str) -> str:
     matrix=_MATRIX, **_tag_fit_ctes("Turbine1", 1), **_tag_fit_ctes("Turbine2", 1)))
 def tag_score(spark, folder):
     rows, listed = t.readings(spark, folder), t.catalogue(spark)
-    models = {
-        unit: tags.train_tags(rows, listed, unit, t.START, t.END, t.RUN_TIME).model
-        for unit in ("Turbine1", "Turbine2")
-    }
+    fits = tags.train_tags(rows, listed, ["Turbine1", "Turbine2"], t.START, t.END, t.RUN_TIME)
+    models = {unit: fit.model for unit, fit in fits.items()}
     scores = tags.score_tags(rows, models, t.START, t.END, t.RUN_TIME, t.READING_UNITS)
     return _rounded(scores.result, "ai_rmse", "ai_rmse_scaled", "ai_threshold")
+
+
+# ---- fit history -------------------------------------------------------------------
+
+
+@query("fit_history", with_ctes(
+    "clean", "select 5::bigint as model_id, 'Turbine1' as model_type, 1 as epoch, round(avg(ai_rmse), 6) as loss, "
+    "'(' || count(*) || ', 1, 2)' as data_shape from err_turbine1 union all "
+    "select 5, 'Turbine2', 1, round(avg(ai_rmse), 6), '(' || count(*) || ', 1, 2)' from err_turbine2 union all "
+    + " union all ".join(f"select {rulecount.MODEL_IDS[name]}, '{name}', 1, 0.5, '({8 << len(_USED[kind])}, {len(_USED[kind])})'"
+                         for name, kind in (("log", R.LOG), ("packet", R.PACKET))),
+    matrix=_MATRIX, **_tag_fit_ctes("Turbine1", 1), **_tag_fit_ctes("Turbine2", 1)))
+def fit_history(spark, folder):
+    """History of the tag and rule trainings, appended twice: the second time adds nothing."""
+    results = fresh_path(spark, "results")
+    fits = tags.train_tags(
+        t.readings(spark, folder), t.catalogue(spark), ["Turbine1", "Turbine2"], t.START, t.END, t.RUN_TIME)
+    histories = [f.history for f in fits.values()] + [
+        rulecount.train_rule_space(spark, t.rules(spark), t.mapping(spark), kind, name, t.RUN_TIME)[1]
+        for name, kind in (("log", R.LOG), ("packet", R.PACKET))]
+    for history in [*histories, *histories]:
+        runs.store_history(history, results)
+    return _rounded(spark.read.parquet(f"{results}/fit_history"), "loss").select(
+        "model_id", "model_type", "epoch", "loss", "data_shape")

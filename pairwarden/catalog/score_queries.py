@@ -22,19 +22,21 @@ from pairwarden.streaming import streams as K
 
 # ---- features ----------------------------------------------------------------------
 
-_PATTERNS = """select event_type as f_event_type, lead(event_type) over (order by ts, event_id) as b_event_type
-  from events where user_id % 3 > 0 or event_type < 'f'"""
-
-
-@query("balance_counts", f"""with c as (select f_event_type, b_event_type, count(*) as n from ({_PATTERNS})
-  where b_event_type is not null group by all)
-select f_event_type, b_event_type, (select max(n) from c) as n_rows from c""")
+# an uneven key: every seventh user apart
+@query("balance_counts", """with r as (select event_id, event_type, user_id % 7 = 0 as seventh,
+    row_number() over (partition by event_type, user_id % 7 = 0 order by ts, event_id) - 1 as place from events),
+  c as (select event_type, seventh, count(*) as n from r group by all),
+  top as (select max(n) as t from c)
+select event_id, event_type, seventh, n as pattern_rows,
+  case when n = t then 1 else t // n + (place < t % n)::int end as copies
+from r join c using (event_type, seventh), top""")
 def balance_counts(spark, folder):
-    events = t.table(spark, folder, "events").filter("user_id % 3 > 0 or event_type < 'f'")
-    pairs = Q.adjacent_pairs(events, ["ts", "event_id"], ["event_id", "event_type"])
-    key = ["f_event_type", "b_event_type"]
-    drawn = P.balance(pairs, key, ["f_event_id"], seed=7)
-    return P.replicate(drawn, "copies").groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
+    events = t.table(spark, folder, "events").selectExpr(
+        "event_id", "ts", "event_type", "user_id % 7 = 0 as seventh")
+    key = ["event_type", "seventh"]
+    drawn = P.balance(events, key, ["ts", "event_id"])
+    sizes = events.groupBy(*key).agg(F.count(F.lit(1)).alias("pattern_rows"))
+    return drawn.join(sizes, key).drop("ts")
 
 
 def vocab_sql(rel: str, cols) -> str:
@@ -178,17 +180,20 @@ def reconstruct_mean(spark, folder):
                            F.round(S.row_rmse(F.col("x"), F.col("xhat")), 6).alias("rmse"))
 
 
-@query("reconstruct_parts")
+@query("reconstruct_parts", """with m as (select avg(l_quantity) as mq, avg(l_tax * 100) as mt,
+    var_pop(l_quantity) as a, var_pop(l_tax * 100) as c, covar_pop(l_quantity, l_tax * 100) as b from lineitem),
+  e as (select *, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) as top from m),
+  w as (select *, atan2(top - a, b) as angle from e)
+select l_orderkey, l_linenumber, l_partkey, round(sqrt((pow(l_quantity - mq, 2) + pow(l_tax * 100 - mt, 2)
+  - pow((l_quantity - mq) * cos(angle) + (l_tax * 100 - mt) * sin(angle), 2)) / 2), 5) as rmse from lineitem, w""")
 def reconstruct_parts(spark, folder):
-    """Mean error by the number of principal directions; it falls to 0."""
-    items = t.table(spark, folder, "lineitem").select(*_LINE)
-    out = None
-    for k in range(len(_LINE) + 1):
-        restored = M.reconstruct(M.fit_reconstructor(items, _LINE, k), items, _LINE)
-        part = restored.agg(F.round(F.avg(S.row_rmse(F.col("x"), F.col("xhat"))), 6).alias("rmse")).select(
-            F.lit(k).alias("parts"), "rmse")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Error of each row after one of two principal directions; the direction has a closed form."""
+    items = t.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", (F.col("l_tax") * 100).alias("tax"))
+    cols = ["l_quantity", "tax"]
+    restored = M.reconstruct(M.fit_reconstructor(items, cols, 1), items, cols)
+    return restored.select("l_orderkey", "l_linenumber", "l_partkey",
+                           F.round(S.row_rmse(F.col("x"), F.col("xhat")), 5).alias("rmse"))
 
 
 @query("window_reconstruct_mean", """with o as (select event_id, row_number() over (order by ts, event_id) as i,
@@ -269,18 +274,28 @@ def _documents(spark, folder):
     return t.table(spark, folder, "documents").withColumn("run", F.expr("doc_id div 1000"))
 
 
-@query("similar_pairs", with_ctes("", """select lang, source, run, f_doc_id, b_doc_id, round(sim, 6) as sim
-from found""", **_DOC_CTES))
+_CLASSES = """select lang, source, run, bag_id as f_id, doc_id as b_id, cast(1 as double) as sim from bags
+  where doc_id <> bag_id
+union all select lang, source, run, f_doc_id, b_doc_id, round(sim, 6) from found
+  where f_doc_id in (select bag_id from bags) and b_doc_id in (select bag_id from bags)
+    and (f_doc_id, b_doc_id) not in (select (f.doc_id, b.doc_id) from bags f join bags b using (bag_id)){}"""
+_DOC_CTES["bags"] = """select lang, source, run, doc_id, min(doc_id) over (partition by lang, source, run, bag) as bag_id
+  from (select lang, source, run, doc_id, string_agg(token || tf, ' ' order by token) as bag from tok group by all)"""
+
+
+def _similar(spark, folder, min_sim):
+    found = W.similar_classes(_documents(spark, folder), _DOC_BUCKET, "doc_id", "text", min_sim)
+    return found.withColumn("sim", F.round("sim", 6))
+
+
+@query("similar_pairs", with_ctes("", _CLASSES.format(""), **_DOC_CTES))
 def similar_pairs(spark, folder):
-    pairs = W.similar_pairs(_documents(spark, folder), _DOC_BUCKET, "doc_id", ["doc_id"], "text")
-    return pairs.withColumn("sim", F.round("sim", 6))
+    return _similar(spark, folder, 0.0)
 
 
-@query("similar_pairs_above", with_ctes("", """select lang, source, run, f_doc_id, b_doc_id, round(sim, 6) as sim
-from found where sim > 0.95""", **_DOC_CTES))
+@query("similar_pairs_above", with_ctes("", _CLASSES.format(" and sim > 0.95"), **_DOC_CTES))
 def similar_pairs_above(spark, folder):
-    pairs = W.similar_pairs(_documents(spark, folder), _DOC_BUCKET, "doc_id", ["doc_id"], "text", 0.95)
-    return pairs.withColumn("sim", F.round("sim", 6))
+    return _similar(spark, folder, 0.95)
 
 
 # ---- streams -----------------------------------------------------------------------
@@ -288,7 +303,7 @@ def similar_pairs_above(spark, folder):
 
 def _event_stream(spark, folder):
     schema = t.table(spark, folder, "events").schema
-    stream = K.read_stream(spark, folder, schema, "events.parquet")
+    stream = K.read_stream(spark, f"{folder}/events.parquet", schema)
     return stream.selectExpr(*t.EVENT_COLUMNS)
 
 
@@ -328,9 +343,9 @@ def stream_append_new(spark, folder):
     """The same stream stored twice, as after a lost checkpoint: the table holds it once."""
     path = fresh_path(spark, "stream-append")
     for _ in range(2):
-        events = _event_stream(spark, folder).select("hash", "event_id")
-        K.stream_append_new(events, path, fresh_path(spark, "append-progress"), ["hash"])
-    return spark.read.parquet(path)
+        events = _event_stream(spark, folder).select("hash", "event_id", "ts")
+        K.stream_append_new(events, path, fresh_path(spark, "append-progress"), ["hash"], "ts")
+    return spark.read.parquet(path).select("hash", "event_id")
 
 
 # ---- stored artefacts --------------------------------------------------------------

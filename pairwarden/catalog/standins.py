@@ -46,14 +46,15 @@ MAPPING = [
 LOG_COLS = ("unit_id", "manufacturer_name", "type01")
 PACKET_COLS = ("unit_id", "protocol_type", "anomaly_type")
 SETTINGS = CorrelationSettings(
-    LOG_COLS, PACKET_COLS, skip_n=2, excess_rules=(2, 4), security_servers=("10.3.", "10.1.0.2")
+    LOG_COLS, PACKET_COLS, skip_n=2, excess_rules=(2, 4), security_servers=("10.3.", "10.1.0.2"),
+    exclusion_source="L009", units=("1", "2"), makers=("ABB", "GE"),
 )
 
 HASH_COLS = ("event_id", "user_id", "event_type")
 _HASH = "md5(concat_ws('|', cast(event_id as string), cast(user_id as string), event_type))"
 _UNIT = "cast(user_id % 2 + 1 as string)"
 _MAKER = "case when user_id % 4 < 2 then 'GE' else 'ABB' end"
-_SITE = "'EWP_0' || cast(user_id % 3 + 1 as string)"
+_SITE = "'PLT_0' || cast(user_id % 3 + 1 as string)"
 
 
 def _net(prefix: str, key: str) -> str:
@@ -267,7 +268,7 @@ def _enriched_packets(hits: str) -> str:
     return f"""select distinct *, make_id as id, src_ip as ip, 'packet' as type,
       case when substr(make_id, 14, 2) = 'GE' then 'GE' else 'ABB' end as manufacturer_name,
       packet_time as time_text, date_trunc('second', ts) as time,
-      strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || {_SQL_FRACTION} as milli_time
+      strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || {_SQL_FRACTION} || '0' as milli_time
     from {hits} where src_ip <> '' or dst_ip <> ''"""
 
 

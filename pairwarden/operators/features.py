@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwarden.operators.lookup import is_small, lookup_join
+from pairwarden.operators.lookup import lookup_join
 from pairwarden.operators.ordering import number_rows
 from pairwarden.session import stage
 
+BROADCAST_VALUES = 100_000
+
 MISSING = "nan"  # category of a missing value
 
 
@@ -21,11 +23,18 @@ def _text(col: str) -> Column:
 
 @dataclass(frozen=True)
 class OneHot:
-    """Vocabulary of listed columns: (column, value, position), positions from 0."""
+    """Vocabulary of listed columns: (column, value, position), positions from 0.
+
+    ``values`` is the number of categories of each column, ``size`` of all.
+    """
 
     cols: tuple[str, ...]
     vocab: DataFrame
-    size: int
+    values: tuple[int, ...]
+
+    @property
+    def size(self) -> int:
+        return sum(self.values)
 
 
 def onehot_fit(df: DataFrame, cols: Sequence[str]) -> OneHot:
@@ -34,14 +43,11 @@ def onehot_fit(df: DataFrame, cols: Sequence[str]) -> OneHot:
         F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), _text(c).alias("value"))
                   for i, c in enumerate(cols)])
     )
-    found = stage(df.select(cells.alias("c")).select("c.*").distinct(), "vocabulary")
-    if is_small(found):
-        position = F.expr("row_number() over (order by place, value) - 1").cast("long")
-        vocab, size = stage(found.withColumn("position", position), "vocabulary"), found.count()
-    else:
-        vocab, size = number_rows(found, ["place", "value"], "idx")
-        vocab = vocab.withColumnRenamed("idx", "position")
-    return OneHot(tuple(cols), vocab.select("column", "value", "position"), size)
+    found = df.select(cells.alias("c")).select("c.*").distinct()
+    numbered, _ = number_rows(found, ["place", "value"], "position")
+    vocab = stage(numbered.select("column", "value", "position"), "vocabulary")
+    sizes = {r["column"]: r["count"] for r in vocab.groupBy("column").count().collect()}
+    return OneHot(tuple(cols), vocab, tuple(sizes.get(c, 0) for c in cols))
 
 
 def onehot_apply(model: OneHot, df: DataFrame, name: str = "positions") -> DataFrame:
@@ -51,7 +57,9 @@ def onehot_apply(model: OneHot, df: DataFrame, name: str = "positions") -> DataF
         words = model.vocab.filter(F.col("column") == c).select(
             F.col("value").alias(f"_v{i}"), F.col("position").alias(f"_p{i}")
         )
-        out = lookup_join(out.withColumn(f"_v{i}", _text(c)), words, [f"_v{i}"], "left", known_rows=model.size)
+        if model.values[i] <= BROADCAST_VALUES:  # a size known from the fit: a hot value stays where it is
+            words = F.broadcast(words)
+        out = out.withColumn(f"_v{i}", _text(c)).join(words, f"_v{i}", "left")
     places = F.array(*[F.col(f"_p{i}") for i in range(len(model.cols))])
     return out.withColumn(name, F.filter(places, lambda p: p.isNotNull())).select(*df.columns, name)
 
@@ -80,45 +88,36 @@ def replicate(df: DataFrame, copies) -> DataFrame:
 
 
 def balance(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], seed: int = 0, keep_original: bool = False
+    df: DataFrame, key: Sequence[str], order: Sequence[str], keep_original: bool = False
 ) -> DataFrame:
     """Balanced upsampling by pattern, as a ``copies`` column.
 
-    The largest pattern is kept as it is; every other one is drawn with replacement
-    up to that size. Draws hit rows by position, are counted before the join, and
-    stay counts: training weighs rows instead of storing copies, and ``replicate``
-    writes them out where rows are wanted. ``keep_original`` adds the rows themselves.
+    The largest pattern is kept as it is; the rows of every other one are drawn up to
+    that size in turn: each as often as the next, the first ones in ``order`` once more
+    to make up the rest. Draws stay counts: training weighs rows instead of storing
+    copies, and ``replicate`` writes them out where rows are wanted. ``keep_original``
+    adds the rows themselves.
     """
     indexed, _ = number_rows(df, [*key, *order])
-    patterns = indexed.groupBy(*key).agg(F.min("idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    top = patterns.agg(F.max("_n")).first()[0] or 0
-    draws = (
-        patterns.filter(F.col("_n") < top)
-        .withColumn("_block", F.explode(F.expr(f"sequence(0L, ({top}L - 1) div {_BLOCK})")))
-        .repartition(*key, "_block")
-        .withColumn(
-            "_k",
-            F.explode(F.expr(f"sequence(_block * {_BLOCK}, least((_block + 1) * {_BLOCK}, {top}L) - 1)")),
-        )
-        .withColumn("_hit", F.pmod(F.xxhash64(F.lit(seed), "_first", "_k"), F.col("_n")))
-        .groupBy((F.col("_first") + F.col("_hit")).alias("idx"))
-        .agg(F.count(F.lit(1)).alias("_drawn"))
-    )
-    counted = indexed.join(draws, "idx", "left")
-    sizes = lookup_join(counted, patterns, list(key))
-    copies = F.when(F.col("_n") == top, 1).otherwise(F.coalesce("_drawn", F.lit(0))).cast("long")
-    if keep_original:
-        copies = copies + 1
-    return (
-        sizes.withColumn("copies", copies).filter("copies > 0").select(*df.columns, "copies")
+    patterns = stage(
+        indexed.groupBy(*key).agg(F.min("idx").alias("_first"), F.count(F.lit(1)).alias("_n")), "patterns"
     )
+    top = patterns.agg(F.max("_n")).first()[0] or 0
+    sizes = lookup_join(indexed, patterns, list(key), null_safe=True)
+    place = F.col("idx") - F.col("_first")
+    turns = F.expr(f"{top}L div _n") + (place < F.expr(f"{top}L % _n")).cast("long")
+    copies = F.when(F.col("_n") == top, F.lit(1)).otherwise(turns).cast("long")
+    return sizes.withColumn("copies", copies + 1 if keep_original else copies).select(*df.columns, "copies")
 
 
-def rule_space(spark: SparkSession, rule_ids: Sequence[int], limit: int = 20) -> DataFrame:
-    """Every 0/1 combination of the rules (columns ``r<id>``), first rule most significant."""
+def rule_space(spark: SparkSession, rule_ids: Sequence[int]) -> DataFrame:
+    """Every 0/1 combination of the rules (columns ``r<id>``), first rule most significant.
+
+    The combinations are a lazy, distributed range; their number fits a long up to 62 rules.
+    """
     n = len(rule_ids)
-    if n > limit:
-        raise ValueError(f"{n} rules span 2^{n} rows; the limit is {limit} rules")
+    if n > 62:
+        raise ValueError(f"2^{n} combinations do not fit a long")
     bits = [
         F.shiftright("id", n - 1 - i).bitwiseAND(1).cast("int").alias(f"r{r}")
         for i, r in enumerate(rule_ids)

@@ -1,4 +1,4 @@
-"""Joins against a lookup side whose size is checked, not assumed."""
+"""Joins against lookup sides, left to adaptive execution."""
 
 from __future__ import annotations
 
@@ -8,38 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than it must."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
 
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    null_safe: bool = False,
-    known_rows: int | None = None,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
-    """Equi-join that broadcasts ``right`` only when it is known to be small.
+    """Equi-join without a probe or a hint.
 
-    A broadcast leaves ``left`` where it is, so hot keys (a rule that makes up a
-    third of all hits) do no harm. A larger right side is joined by shuffle, where
-    adaptive execution splits hot partitions by map output. ``known_rows`` saves the
-    check where the size is already known.
+    Spark broadcasts a side by its known or measured bytes; otherwise both sides are
+    shuffled and adaptive execution splits hot partitions.
     """
-    small = is_small(right) if known_rows is None else known_rows <= SMALL_ROWS
     if not null_safe:
-        return left.join(F.broadcast(right) if small else right, list(on), how)
+        return left.join(right, list(on), how)
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") for c in on],
         *[c for c in right.columns if c not in on],
     )
-    if small:
-        renamed = F.broadcast(renamed)
     test = reduce(
         lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on]
     )

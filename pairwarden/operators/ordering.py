@@ -84,7 +84,8 @@ def with_group_bounds(indexed: DataFrame, by: Sequence[str], total: int) -> Data
         return indexed.withColumn("_first", F.lit(0).cast("long")).withColumn(
             "_size", F.lit(total).cast("long")
         )
-    return lookup_join(indexed, group_bounds(indexed, by), list(by), null_safe=True)
+    bounds = stage(group_bounds(indexed, by), "groups")  # its size is then known to the join
+    return lookup_join(indexed, bounds, list(by), null_safe=True)
 
 
 def same_group(left: Column, right: Column, by: Sequence[str]) -> Column:

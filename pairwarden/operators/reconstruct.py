@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -117,51 +119,91 @@ def fit_sparse(
 ) -> Sparse:
     """Model over the positions of the ones of each row, rows counted ``weight`` times.
 
-    Equal rows are counted first; means and co-occurrences are plain aggregates over
-    the distinct combinations. Only with components is a size x size matrix formed
-    on the driver, as Spark's own PCA does.
+    Equal rows are counted first; means and directions are aggregates over the distinct
+    combinations. Directions come from block power iteration (``_directions``).
     """
     count = F.lit(1) if weight is None else F.col(weight)
-    combos = df.groupBy(F.col(features).alias("f")).agg(F.sum(count).alias("n")).persist()
+    combos = stage(df.groupBy(F.col(features).alias("f")).agg(F.sum(count).cast("long").alias("n")), "combos")
     total = combos.agg(F.sum("n")).first()[0]
     if not total:
-        combos.unpersist()
         raise ValueError("no rows to fit")
-    ones = combos.select(F.explode("f").alias("position"), "n").groupBy("position").agg(
-        F.sum("n").alias("n")
-    )
-    means = ones.select("position", (F.col("n") / F.lit(total)).alias("mean")).persist()
-    # added up in position order, so that every run gives the same number
-    squares = F.expr(
-        "aggregate(array_sort(collect_list(struct(position, mean))), 0D, (a, s) -> a + s.mean * s.mean)"
+    ones = stage(
+        combos.select(F.explode("f").alias("position"), "n").groupBy("position").agg(F.sum("n").alias("n")),
+        "ones",
     )
+    # counts are added exactly, so that every run gives the same number
+    exact = F.col("n").cast("decimal(19,0)")
+    squares = ones.agg(F.sum((exact * exact).cast("decimal(38,0)")).cast("decimal(38,0)")).first()[0] or 0
+    base = float(Fraction(int(squares), total * total))
+    means = ones.select("position", (F.col("n") / F.lit(total)).alias("mean"))
     if not k:
-        base = means.agg(squares.alias("b")).first().b if size <= 100_000 else means.agg(
-            F.sum(F.col("mean") * F.col("mean"))
-        ).first()[0]
-        weights = means.withColumn("weights", F.array().cast("array<double>"))
-        return Sparse(size, weights, float(base or 0.0), [])
+        return Sparse(size, means.withColumn("weights", F.array().cast("array<double>")), base, [])
+    if size * k > MAX_DIRECTION_NUMBERS:
+        raise ValueError(f"{size} positions x {k} directions exceed {MAX_DIRECTION_NUMBERS} numbers")
     mu = np.zeros(size)
-    for r in means.collect():
+    for r in means.collect():  # at most size numbers, checked above
         mu[r.position] = r["mean"]
-    both = (
-        combos.withColumn("i", F.explode("f"))
-        .withColumn("j", F.explode("f"))
-        .groupBy("i", "j")
-        .agg(F.sum("n").alias("n"))
-    )
-    matrix = np.zeros((size, size))
-    for r in both.collect():
-        matrix[r.i, r.j] = r.n / total
-    combos.unpersist()
-    matrix -= np.outer(mu, mu)
-    _, vectors = np.linalg.eigh(matrix)
-    top = vectors[:, ::-1][:, :k]
+    top = _directions(combos, mu, total, k)
     rows = [(i, float(mu[i]), top[i].tolist()) for i in range(size)]
     weights = df.sparkSession.createDataFrame(
         rows, "position long, mean double, weights array<double>"
     )
-    return Sparse(size, weights, float(mu @ mu), (mu @ top).tolist())
+    return Sparse(size, weights, base, (mu @ top).tolist())
+
+
+MAX_DIRECTION_NUMBERS = 8_000_000  # of the size x k block that is broadcast
+_ROUNDS, _EXTRA, _CLOSE = 200, 4, 1e-12
+
+
+def _directions(combos: DataFrame, mu: np.ndarray, total: int, k: int) -> np.ndarray:
+    """First ``k`` principal directions of counted one-hot rows (size x k, largest variance first).
+
+    Each round multiplies a block of directions with the covariance: one job over the
+    distinct combinations, to which the block is broadcast. Nothing of size x size exists.
+    """
+    context = combos.sparkSession.sparkContext
+    size, width = len(mu), min(len(mu), k + _EXTRA)
+    block, _ = np.linalg.qr(np.random.default_rng(7).standard_normal((size, width)))
+    last = np.zeros(width)
+    for _ in range(_ROUNDS):
+        sent = context.broadcast(block)
+        parts = combos.mapInArrow(_multiply(sent), "position long, v array<double>")
+        summed = parts.groupBy("position").agg(
+            F.array(*[F.sum(F.col("v")[i]) for i in range(width)]).alias("v")
+        )
+        image = -np.outer(mu, mu @ block)
+        for r in summed.collect():
+            image[r.position] += np.array(r.v) / total
+        sent.unpersist()
+        inner = block.T @ image  # width x width
+        values, turn = np.linalg.eigh((inner + inner.T) / 2)
+        block, _ = np.linalg.qr(image @ turn[:, ::-1])
+        values = values[::-1]
+        if np.abs(values[:k] - last[:k]).max() <= _CLOSE * max(1e-300, abs(values[0])):
+            break
+        last = values
+    first = block[np.abs(block).argmax(axis=0), np.arange(width)]
+    return (block * np.where(first < 0, -1, 1))[:, :k]
+
+
+def _multiply(block):
+    """Per task: sum of n x (x . block) over its rows, at the positions of the rows' ones."""
+
+    def multiply(batches):
+        directions = block.value
+        image = np.zeros_like(directions)
+        for batch in batches:
+            lists, n = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            for positions, weight in zip(lists.to_pylist(), n, strict=True):
+                if positions:
+                    image[positions] += weight * directions[positions].sum(axis=0)
+        some = np.flatnonzero(image.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int64()), pa.array(list(image[some]), pa.list_(pa.float64()))],
+            names=["position", "v"],
+        )
+
+    return multiply
 
 
 def _weight_of(component: int):
@@ -180,7 +222,7 @@ def score_sparse(
         df.select(F.col(features).alias("f")).distinct()
         .select("f", F.explode_outer("f").alias("position"))
     )
-    known = lookup_join(cells, model.weights, ["position"], "left", known_rows=model.size)
+    known = lookup_join(cells, model.weights, ["position"], "left")
     mean = F.coalesce("mean", F.lit(0.0))
     gain = F.when(F.col("position").isNotNull(), 1 - 2 * mean).otherwise(0.0)
     terms = F.array_sort(

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairwarden.functions.times import at, bucket
-from pairwarden.operators.lookup import is_small
 
 
 def to_wide(df: DataFrame, time: str, tag: str, value: str, tags: Sequence[str]) -> DataFrame:
@@ -66,14 +65,13 @@ def to_long(wide: DataFrame, ids: Sequence[str], name: str = "tag_name", value:
     return wide.unpivot(list(ids), cells, name, value).filter(F.col(value).isNotNull())
 
 
-TOP_VALUES = 100
-
-
-def value_rates(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent values of each column with their share, at most 100 per column.
+def value_rates(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), top: int | None = None
+) -> DataFrame:
+    """Count and share of all values of each column.
 
-    Ranking filters inside the map tasks first (window group limit), so a column
-    with very many values does not gather in one task.
+    ``top`` keeps the most frequent values of each column only and adds their ``rank``;
+    map tasks then drop what cannot be among them (window group limit).
     """
     texts = df.select(*by, *[F.col(c).cast("string").alias(c) for c in cols])
     counts = (
@@ -83,20 +81,20 @@ def value_rates(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy(*by, "column").agg(F.sum("n").alias("n_all"))
-    keys = ", ".join([*by, "`column`"])
-    rank = F.expr(f"row_number() over (partition by {keys} order by n desc, value)")
-    top = counts.withColumn("rank", rank).filter(F.col("rank") <= TOP_VALUES)
-    return top.join(totals, [*by, "column"]).select(
-        *by, "column", F.col("rank").cast("long").alias("rank"), "value",
-        (F.col("n") / F.col("n_all")).alias("rate"),
-    )
+    rates = ["value", "n", (F.col("n") / F.col("n_all")).alias("rate")]
+    if top is not None:
+        keys = ", ".join([*by, "`column`"])
+        rank = F.expr(f"row_number() over (partition by {keys} order by n desc, value)")
+        counts = counts.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
+        rates = ["rank", *rates]
+    return counts.join(totals, [*by, "column"]).select(*by, "column", *rates)
 
 
-def value_rates_by(df: DataFrame, key: str, keys: DataFrame, cols: Sequence[str]) -> DataFrame:
+def value_rates_by(
+    df: DataFrame, key: str, keys: DataFrame, cols: Sequence[str], top: int | None = None
+) -> DataFrame:
     """``value_rates`` for each listed key value."""
-    listed = keys.select(key).distinct()
-    listed = F.broadcast(listed) if is_small(listed) else listed
-    return value_rates(df.join(listed, key, "left_semi"), cols, by=[key])
+    return value_rates(df.join(keys.select(key).distinct(), key, "left_semi"), cols, [key], top)
 
 
 def score_counts(df: DataFrame, score: str, digits: int = 6) -> DataFrame:
@@ -105,10 +103,8 @@ def score_counts(df: DataFrame, score: str, digits: int = 6) -> DataFrame:
 
 
 def single_events(df: DataFrame, kind: str, version) -> DataFrame:
-    """Result rows of single events; ``milli_time`` repeats the parsed time as text."""
-    milli = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    if kind == "log":
-        milli = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
+    """Result rows of single events; ``milli_time`` repeats the time, cut to the second, as text."""
+    milli = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
     return df.select(
         "time", "ip", F.lit(kind).alias("type"), F.col("single_rule").cast("long").alias("single_rule"),
         "hash", at(version).alias("version"), "id", milli.alias("milli_time"),

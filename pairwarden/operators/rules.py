@@ -45,8 +45,10 @@ def match_rules(df: DataFrame, rules: list[Rule], time: str = "time") -> DataFra
     """One row per (event, rule) that holds, in a single scan for all rules.
 
     Works on batches and streams alike. ``df`` already carries ``hash``; ``time``
-    names its time column.
+    names its time column. The scan gets the rules' conditions, joined by OR, as a filter.
     """
+    if rules and all(r.source or r.predicate for r in rules):
+        df = df.filter(" or ".join(f"({r.condition()})" for r in rules))
     hits = [F.when(F.expr(r.condition()), F.lit(r.rule_id).cast("long")) for r in rules]
     if not hits:
         hits = [F.lit(None).cast("long")]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 SCORE_DIGITS = 9
 _BINS = 4096
-_FEW_VALUES = 50_000
 
 
 def stable(score: Column) -> Column:
@@ -43,50 +42,71 @@ def masked_rmse(df: DataFrame, x: str, xhat: str, mask: float = -1.0) -> DataFra
     return cells.filter(F.col("c.x") != mask).agg(F.sqrt(error).alias("masked_rmse"))
 
 
-def _value_at(part: DataFrame, rank: int, few: int) -> float:
-    """Value at a 0-based rank of rows (v, n), each counted n times.
+def _finite_at(part: DataFrame, rank: int, lo: float, hi: float) -> float:
+    """Value at a 0-based rank of finite rows (v, n) between ``lo`` and ``hi``, each counted n times.
 
-    The range is narrowed by histograms of fixed size until few rows are left: every
-    pass is one aggregation that shuffles no values.
+    The range is narrowed by histograms of fixed size until it is one value or holds no
+    more representable numbers than a histogram has bins: every pass is one aggregation
+    that shuffles no values.
     """
-    while True:
-        lo, hi, rows = part.agg(F.min("v"), F.max("v"), F.count("v")).first()
-        if lo == hi:
-            return lo
+    while lo < hi:
         width = hi / _BINS - lo / _BINS
-        if rows <= few or width == 0:
-            upto = part.groupBy("v").agg(F.sum("n").alias("n")).withColumn(
-                "_upto", F.expr("sum(n) over (order by v)")
-            )
-            return upto.filter(F.col("_upto") > rank).agg(F.min("v")).first()[0]
-        slot = F.least(F.floor((F.col("v") - lo) / width), F.lit(_BINS))
-        bins = part.groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).collect()
-        for found in sorted(bins):
+        if lo + width == lo or hi - width == hi or width == 0:
+            counts = sorted(part.groupBy("v").agg(F.sum("n").alias("n")).collect())
+            for found in counts:
+                if rank < found.n:
+                    return found.v
+                rank -= found.n
+        slot = F.least(F.floor(F.col("v") / width - F.lit(lo / width)), F.lit(_BINS))
+        bins = part.groupBy(F.greatest(slot, F.lit(0)).alias("slot")).agg(
+            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
+        for found in sorted(bins.collect()):
             if rank < found.n:
                 break
             rank -= found.n
-        part = part.filter(slot == found.slot)
+        if (found.lo, found.hi) == (lo, hi):
+            raise ArithmeticError(f"no progress between {lo} and {hi}")
+        lo, hi = found.lo, found.hi
+        part = part.filter(F.col("v").between(lo, hi))
+    return lo
 
 
-def exact_median(df: DataFrame, value: Column, weight: Column | None = None, few: int = _FEW_VALUES):
+def exact_median(df: DataFrame, value: Column, weight: Column | None = None) -> float | None:
     """Exact median of a column, each row counted ``weight`` times; None without rows.
 
-    Reads ``df`` a few times, so it should be a stored or cached frame.
+    NaN and the infinities are counted apart, in Spark's order (NaN last); only finite
+    values are narrowed. Reads ``df`` a few times, so it should be a stored frame.
     """
     count = F.lit(1) if weight is None else weight
-    part = df.select(value.alias("v"), count.cast("long").alias("n")).filter("v is not null")
-    total, rows = part.agg(F.sum("n"), F.count("v")).first()
+    part = df.select(value.cast("double").alias("v"), count.cast("long").alias("n")).filter("v is not null and n > 0")
+    v, n, inf = F.col("v"), F.col("n"), float("inf")
+    finite = ~F.isnan("v") & (F.abs("v") < inf)
+    sizes = part.agg(
+        F.sum(n), F.sum(F.when(v == -inf, n)), F.sum(F.when(finite, n)), F.sum(F.when(v == inf, n)),
+        F.min(F.when(finite, v)), F.max(F.when(finite, v)),
+    ).first()
+    total, below, within, above = (x or 0 for x in sizes[:4])
     if not total:
         return None
-    if rows <= few:
-        return part.agg(F.percentile("v", F.lit(0.5), F.col("n"))).first()[0]
-    low = _value_at(part, (total - 1) // 2, few)
-    if total % 2:
+    lo, hi = sizes[4:]
+
+    def at(rank: int) -> float:
+        if rank < below:
+            return -inf
+        if rank < below + within:
+            return _finite_at(part.filter(finite), rank - below, lo, hi)
+        return inf if rank < below + within + above else float("nan")
+
+    low = at((total - 1) // 2)
+    if total % 2 or total // 2 < below or total // 2 >= below + within + above:
         return low
-    upto, above = part.agg(
-        F.sum(F.when(F.col("v") <= low, F.col("n"))), F.min(F.when(F.col("v") > low, F.col("v")))
-    ).first()
-    return low if upto > total // 2 else (low + above) / 2
+    if total // 2 >= below + within or abs(low) == inf:
+        high = at(total // 2)
+    else:
+        upto, after = part.agg(F.sum(F.when(v <= low, n)), F.min(F.when(v > low, v))).first()
+        high = low if upto > total // 2 else after
+    return low if low == high else low / 2 + high / 2
 
 
 def mad_parts(df: DataFrame, col: str, weight: str | None = None) -> tuple[float, float]:

@@ -41,9 +41,12 @@ def _meet(
     The rows of a frequent key are cut into blocks and go to the cells (own block,
     other block) of a triangle; a key with a single block is not repeated.
     """
-    frequent = frame.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks")
-    ).filter("_blocks > 1")
+    frequent = stage(
+        frame.groupBy(*keys).agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks")
+        ).filter("_blocks > 1"),
+        "frequent",
+    )
     cut = (
         lookup_join(frame, frequent, list(keys), "left")
         .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
@@ -77,9 +80,12 @@ def similar_bags(
     alone cannot reach the bound, so no pair is missed, and candidates are then
     compared in full.
     """
-    # a row without words has no bag; a filter here would tokenise every text twice
-    rows = df.withColumn("_words", F.sort_array(tokens_of(text))).withColumn(
-        "bag", F.when(F.size("_words") > 0, F.unhex(F.sha2(F.array_join("_words", " "), 256)))
+    # staged, so that every text is tokenised once; a row without words has no bag
+    rows = stage(
+        df.withColumn("_words", F.sort_array(tokens_of(text))).drop(text).withColumn(
+            "bag", F.when(F.size("_words") > 0, F.unhex(F.sha2(F.array_join("_words", " "), 256)))
+        ),
+        "bags",
     )
     # one shuffle by bag serves the collapse, the word counts and the norms
     bags = rows.groupBy(*bucket, "bag").agg(F.any_value("_words").alias("_words"))
@@ -170,6 +176,34 @@ def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block
     )
 
 
+def similar_classes(
+    df: DataFrame,
+    bucket: Sequence[str],
+    row_id: str,
+    text: str,
+    min_sim: float = 0.0,
+    block: int = BLOCK_BAGS,
+) -> DataFrame:
+    """The same result in a space that grows with the rows: bucket, ``f_id``, ``b_id``, ``sim``.
+
+    Rows with the same words are one class, named by its smallest ``row_id``. Each other
+    row of a class is linked to that one (similarity 1), and similar classes are linked by
+    their names; two rows are as similar as their classes.
+    """
+    found = similar_bags(df.select(*bucket, row_id, text), bucket, text, min_sim, block)
+    named = stage(
+        found.members.filter("bag is not null").groupBy(*bucket, "bag").agg(F.min(row_id).alias("_name")), "classes"
+    )
+    members = found.members.join(named, [*bucket, "bag"]).filter(F.col(row_id) != F.col("_name")).select(
+        *bucket, F.col("_name").alias("f_id"), F.col(row_id).alias("b_id"), F.lit(1.0).alias("sim")
+    )
+    one, two = (named.select(*bucket, F.col("bag").alias(x), F.col("_name").alias(f"_{x}")) for x in ("a", "b"))
+    linked = found.pairs.join(one, [*bucket, "a"]).join(two, [*bucket, "b"]).select(
+        *bucket, F.least("_a", "_b").alias("f_id"), F.greatest("_a", "_b").alias("b_id"), "sim"
+    )
+    return members.unionByName(linked) if min_sim < 1 else linked
+
+
 def similar_pairs(
     df: DataFrame,
     bucket: Sequence[str],

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwarden.functions.columns import conform, cross_kind, exclude_patterns
+from pairwarden.functions.columns import conform, cross_kind, exclude_patterns, fill_missing
 from pairwarden.functions.times import at
 from pairwarden.operators.features import balance, onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs, same_asset
@@ -32,9 +32,9 @@ from pairwarden.plans.events import (
     without_source,
 )
 from pairwarden.plans.models import PairModel
-from pairwarden.schemas import PAIR_RESULT
+from pairwarden.schemas import PAIR_RESULT, SINGLE_EVENT
 from pairwarden.session import stage
-from pairwarden.sources.sinks import fit_history, new_rows
+from pairwarden.sources.sinks import fit_history, new_rows, stamp_batches, with_batch_no
 
 # Rules whose repeated hits are merged.
 EXCESS_RULES = (
@@ -52,11 +52,18 @@ class CorrelationSettings:
     log_cols: Sequence[str]
     packet_cols: Sequence[str]
     skip_n: int = 1
-    excess_rules: Sequence[int] = EXCESS_RULES
-    security_servers: Sequence[str] = SECURITY_SERVERS
-    exclusion_source: str = "L009"
-    units: Sequence[str] = ("1", "2")
-    makers: Sequence[str] = ("ABB", "GE")
+    excess_rules: Sequence[int] = ()
+    security_servers: Sequence[str] = ()
+    exclusion_source: str | None = None
+    units: Sequence[str] | None = None
+    makers: Sequence[str] | None = None
+
+
+def plant_settings(log_cols: Sequence[str], packet_cols: Sequence[str], skip_n: int = 1) -> CorrelationSettings:
+    """The settings of the plants the fixed values above belong to."""
+    return CorrelationSettings(
+        log_cols, packet_cols, skip_n, EXCESS_RULES, SECURITY_SERVERS, "L009", ("1", "2"), ("ABB", "GE")
+    )
 
 
 @dataclass(frozen=True)
@@ -71,11 +78,11 @@ class Tables:
     assets: DataFrame | None = None
 
 
-def _events(tables: Tables, start, end) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all enriched logs, raw log hits, enriched packets)."""
+def _events(tables: Tables, start, end) -> tuple[DataFrame, DataFrame]:
+    """(all enriched logs, enriched packets)."""
     hits = log_hits(tables.logs, load_rules(select_rules(tables.rules, LOG)), start, end)
     packet_rules = load_rules(select_rules(tables.rules, PACKET))
-    return enrich_logs(hits, tables.devices), hits, packet_events(tables.packets, packet_rules, start, end)
+    return enrich_logs(hits, tables.devices), packet_events(tables.packets, packet_rules, start, end)
 
 
 def _features() -> Column:
@@ -109,7 +116,7 @@ class Fitted:
 
 def fit_pair_model(
     train: DataFrame, held: DataFrame, encoders, size: int, k: int, model_id: int, run_time: datetime,
-    balanced: bool = True, keep_original: bool = False, seed: int = 0,
+    balanced: bool = True, keep_original: bool = False,
 ) -> Fitted:
     """Fit, threshold and hold-out scores over pairs with ``features``.
 
@@ -119,14 +126,14 @@ def fit_pair_model(
     """
     if balanced:
         key = ["f_single_rule", "b_single_rule"]
-        weighted = balance(train, key, ["f_hash", "b_hash", "corr"], seed, keep_original)
+        weighted = balance(train, key, ["f_hash", "b_hash", "corr"], keep_original)
     else:
         weighted = train.withColumn("copies", F.lit(1).cast("long"))
     combos = stage(weighted.groupBy("features").agg(F.sum("copies").alias("copies")), "train-combos")
     losses = []
     for parts in range(k + 1):
         sparse = fit_sparse(combos, size, weight="copies", k=parts)
-        scored = score_sparse(sparse, combos).persist()
+        scored = stage(score_sparse(sparse, combos), "train-scores")
         total, loss = scored.agg(
             F.sum("copies"), F.sum(F.col("ai_rmse") * F.col("copies")) / F.sum("copies")
         ).first()
@@ -146,11 +153,12 @@ def _distribution(scored: DataFrame) -> DataFrame:
 
 def train_correlation(
     tables: Tables, settings: CorrelationSettings, start, end, run_time: datetime,
-    k: int = 0, balanced: bool = True, model_id: int = 1, seed: int = 0,
+    k: int = 0, balanced: bool = True, model_id: int = 1,
 ) -> Fitted:
     """Fit the pair model on multi-rule pairs of the time range."""
-    logs, hits, packets = _events(tables, start, end)
-    logs = without_source(logs, hits, settings.exclusion_source)
+    logs, packets = _events(tables, start, end)
+    if settings.exclusion_source:
+        logs = without_source(logs, settings.exclusion_source)
     logs = stage(logs.select(*_TRAIN_COLS, *settings.log_cols), "train-logs")
     packets = stage(packets.select(*_TRAIN_COLS, *settings.packet_cols), "train-packets")
     encoders = {
@@ -164,27 +172,50 @@ def train_correlation(
     known = symmetric_pairs(rule_mapping(tables.mapping)).distinct()
     labelled = label_pairs(pairs, known).withColumn("features", _features())
     train, held = split_pairs(stage(labelled.drop("f_positions", "b_positions"), "train-pairs"))
-    return fit_pair_model(train, held, encoders, size, k, model_id, run_time, balanced, seed=seed)
+    return fit_pair_model(train, held, encoders, size, k, model_id, run_time, balanced)
 
 
 @dataclass(frozen=True)
 class Predicted:
+    """Single events (stamped by batch), prepared events and pairs of a run."""
+
     single_logs: DataFrame
     single_packets: DataFrame
     prepared: DataFrame
     pairs: DataFrame
 
 
+@dataclass(frozen=True)
+class Stored:
+    """What earlier runs have stored; rows found there are left out."""
+
+    singles: DataFrame | None = None
+    prepared: DataFrame | None = None
+    pairs: DataFrame | None = None
+
+
+def _unseen(df: DataFrame, stored: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    return df if stored is None else new_rows(df, stored, keys)
+
+
+def _stamped(df: DataFrame, run_time: datetime) -> DataFrame:
+    """The write time of each batch as version."""
+    numbered = with_batch_no(df.drop("version"), ["time", "hash", "single_rule", "ip"])
+    return conform(stamp_batches(numbered, at(run_time)), SINGLE_EVENT)
+
+
+def _blank(df: DataFrame) -> DataFrame:
+    """A space for missing texts."""
+    return fill_missing(df, {}, [c for c, kind in df.dtypes if kind == "string"])
+
+
 def predict_correlation(
     tables: Tables, settings: CorrelationSettings, model: PairModel, start, end, run_time: datetime,
-    stored: DataFrame | None = None,
+    stored: Stored = Stored(),
 ) -> Predicted:
-    """Single events, prepared events and scored same-asset pairs of a time range.
-
-    ``stored`` holds the pair results of earlier runs; pairs found there are left out.
-    """
-    all_logs, hits, packets = _events(tables, start, end)
-    logs = without_source(all_logs, hits, settings.exclusion_source)
+    """Single events, prepared events and scored same-asset pairs of a time range, without what is stored."""
+    all_logs, packets = _events(tables, start, end)
+    logs = without_source(all_logs, settings.exclusion_source) if settings.exclusion_source else all_logs
     if settings.security_servers:
         logs = exclude_patterns(logs, "ip", settings.security_servers)
     logs = merge_excess(logs, settings.excess_rules, EXCESS_KEYS)
@@ -192,11 +223,17 @@ def predict_correlation(
     log_rows, packet_rows = _encode(model.encoders, logs, packets)
     rows = pair_rows(
         [
-            log_rows.withColumn("unit", unit_of()),
+            # the two kinds share a column of thousandths here
+            log_rows.withColumn("unit", unit_of()).withColumn(
+                "milli_time", F.concat("milli_time", F.lit(".000"))
+            ),
             packet_rows.withColumn("unit", F.expr("right(unit_id, 1)")),
         ],
         extra,
-    ).filter(F.col("unit").isin(*settings.units) & F.col("manufacturer_name").isin(*settings.makers))
+    )
+    for col, wanted in (("unit", settings.units), ("manufacturer_name", settings.makers)):
+        if wanted is not None:
+            rows = rows.filter(F.col(col).isin(*wanted))
     pairs = skip_pairs(
         rows,
         ["time", "hash", "single_rule"],
@@ -208,11 +245,14 @@ def predict_correlation(
     labelled = label_pairs(cross_kind(pairs), known).withColumn(
         "corr", F.coalesce("corr", F.lit(0).cast("long"))
     )
+    single_logs, single_packets = (
+        _stamped(_unseen(single_events(df, kind, run_time), stored.singles, ["hash"]), run_time)
+        for kind, df in (("log", all_logs), ("packet", packets))
+    )
+    prepared = _blank(_unseen(rows.drop("positions"), stored.prepared, ["hash"]))
     return Predicted(
-        single_events(all_logs, "log", run_time),
-        single_events(packets, "packet", run_time),
-        rows.drop("positions"),
-        score_pairs(labelled, tables.assets, model, run_time, stored),
+        single_logs, single_packets, prepared.withColumn("version", at(run_time)),
+        score_pairs(labelled, tables.assets, model, run_time, stored.pairs),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import any_nonempty, event_kind, maker
 from pairwarden.functions.times import parse_fraction, parse_second
-from pairwarden.operators.joins import attach_address, exclude_seen
+from pairwarden.operators.joins import attach_address
 from pairwarden.operators.rules import Rule, match_rules
 from pairwarden.sources.scan import scan_range_text
 
@@ -36,9 +36,9 @@ def enrich_logs(hits: DataFrame, devices: DataFrame) -> DataFrame:
     )
 
 
-def without_source(logs: DataFrame, hits: DataFrame, source: str = "L009") -> DataFrame:
-    """Logs whose hash is not hit by a rule on the exclusion source."""
-    return exclude_seen(logs, hits.filter(F.col("source") == source), "hash")
+def without_source(logs: DataFrame, source: str = "L009") -> DataFrame:
+    """Rule hits that are not of the exclusion source; a row says so itself, no join is needed."""
+    return logs.filter(~F.col("source").eqNullSafe(source))
 
 
 def packet_events(packets: DataFrame, rules: list[Rule], start, end) -> DataFrame:
@@ -53,7 +53,7 @@ def packet_events(packets: DataFrame, rules: list[Rule], start, end) -> DataFram
         .withColumn("manufacturer_name", maker("make_id"))
         .withColumn("time_text", F.col("packet_time"))
         .withColumn("time", parse_second("packet_time"))
-        .withColumn("milli_time", F.date_format(parse_fraction("packet_time"), "yyyy-MM-dd HH:mm:ss.SS"))
+        .withColumn("milli_time", F.date_format(parse_fraction("packet_time"), "yyyy-MM-dd HH:mm:ss.SSS"))
     )
 
 

@@ -65,8 +65,8 @@ def save_pair_model(spark: SparkSession, model: PairModel, root: str, version: d
         part = encoder.vocab.withColumn("kind", F.lit(kind))
         vocab = part if vocab is None else vocab.unionByName(part)
     vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    cols = [(k, i, c, e.size) for k, e in model.encoders.items() for i, c in enumerate(e.cols)]
-    spark.createDataFrame(cols, "kind string, place int, column string, size long").write.mode(
+    cols = [(k, i, c, e.values[i]) for k, e in model.encoders.items() for i, c in enumerate(e.cols)]
+    spark.createDataFrame(cols, "kind string, place int, column string, values long").write.mode(
         "overwrite"
     ).parquet(f"{path}/columns")
     model.sparse.weights.write.mode("overwrite").parquet(f"{path}/weights")
@@ -89,9 +89,54 @@ def load_pair_model(spark: SparkSession, root: str, version: datetime) -> PairMo
     for kind in {r.kind for r in settings}:
         mine = sorted((r for r in settings if r.kind == kind), key=lambda r: r.place)
         words = vocab.filter(F.col("kind") == kind).drop("kind")
-        encoders[kind] = OneHot(tuple(r["column"] for r in mine), words, mine[0].size)
+        encoders[kind] = OneHot(
+            tuple(r["column"] for r in mine), words, tuple(r["values"] for r in mine)
+        )
     n = spark.read.parquet(f"{path}/numbers").first()
     weights = spark.read.parquet(f"{path}/weights")
     return PairModel(
         encoders, Sparse(n.size, weights, n.base, list(n.shift)), n.threshold, (n.lo, n.hi)
     )
+
+
+def save_dense_models(
+    spark: SparkSession, models: dict[str, DenseModel], root: str, version: datetime
+) -> None:
+    """Store dense models by name (unit type or kind), three artefacts each; listed once all are written."""
+    path = _folder(root, version)
+    scaling, parts, numbers = [], [], []
+    for name, m in models.items():
+        scaling += [(name, i, c, *m.bounds.get(c, (None, None))) for i, c in enumerate(m.cols)]
+        weights = list(zip(*m.linear.components, strict=True)) or [()] * len(m.linear.means)
+        parts += [(name, i, mean, list(map(float, w))) for i, (mean, w) in
+                  enumerate(zip(m.linear.means, weights, strict=True))]
+        numbers.append((name, m.threshold, *m.error_range))
+    tables = {
+        "scaling": (scaling, "name string, place int, column string, lo double, hi double"),
+        "parts": (parts, "name string, place int, mean double, weights array<double>"),
+        "numbers": (numbers, "name string, threshold double, lo double, hi double"),
+    }
+    for artefact, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/{artefact}")
+    _register(spark, root, version, [f"{artefact}-{name}" for artefact in tables for name in models])
+
+
+DENSE_MODEL_FILES = 3  # of each model
+
+
+def load_dense_models(spark: SparkSession, root: str, version: datetime) -> dict[str, DenseModel]:
+    path = _folder(root, version)
+
+    def rows(artefact):
+        return spark.read.parquet(f"{path}/{artefact}").collect()  # a row per input column
+
+    scaling, parts = (sorted(rows(a), key=lambda r: r.place) for a in ("scaling", "parts"))
+    models = {}
+    for n in rows("numbers"):
+        cols = [r for r in scaling if r.name == n.name]
+        bounds = {r["column"]: (r.lo, r.hi) for r in cols if r.lo is not None}
+        mine = [r for r in parts if r.name == n.name]
+        components = [list(c) for c in zip(*(r.weights for r in mine), strict=True)]
+        linear = Linear([r["mean"] for r in mine], components)
+        models[n.name] = DenseModel([r["column"] for r in cols], bounds, linear, n.threshold, (n.lo, n.hi))
+    return models

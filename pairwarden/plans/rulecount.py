@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, demote, different_site, text_of
 from pairwarden.functions.times import at, bucket
-from pairwarden.operators.features import rule_space
 from pairwarden.operators.joins import attach_multi
-from pairwarden.operators.reconstruct import fit_reconstructor, reconstruct
+from pairwarden.operators.reconstruct import Linear, reconstruct
 from pairwarden.operators.reshape import count_matrix, stack
 from pairwarden.operators.rules import load_rules, rules_in_use, select_rules
-from pairwarden.operators.scoring import label, mad_threshold, minmax_fit, row_rmse, stable
+from pairwarden.operators.scoring import label, row_rmse, stable
 from pairwarden.operators.similarity import similar_pairs
 from pairwarden.plans.models import DenseModel
 from pairwarden.schemas import SIMILAR_RESULT
@@ -34,24 +33,23 @@ MODEL_IDS = {"log": 3, "packet": 4}
 def train_rule_space(
     spark: SparkSession, rules: DataFrame, mapping: DataFrame, kind: int, name: str,
     run_time: datetime, k: int = 0,
-) -> tuple[DenseModel, DataFrame, DataFrame]:
-    """Model over all 0/1 combinations of the rules in use: (model, history, scores).
+) -> tuple[DenseModel, DataFrame]:
+    """Model over all 0/1 combinations of the rules in use: (model, history).
 
-    Storing every combination eight times changes nothing and is left out.
+    Over all combinations every mean is 1/2, and every combination is as far from the
+    means: each has the error 1/2, which is also the threshold and the whole range. No
+    direction explains more than another, so ``k`` must be 0. A bucket is then anomalous
+    exactly when its counts are further from 1/2 than 0 and 1 are: when a rule hits twice.
     """
+    if k:
+        raise ValueError("the rule space has no principal directions")
     used = load_rules(rules_in_use(select_rules(rules, kind), mapping))
     if not used:
         raise ValueError(f"no {name} rule occurs in a multi-rule")
-    space = rule_space(spark, [r.rule_id for r in used])
-    cols = space.columns
-    linear = fit_reconstructor(space, cols, k)
-    scored = score_counts_matrix(linear, space, cols)
-    threshold = mad_threshold(scored, "ai_rmse")
-    error_range = minmax_fit(scored, ["ai_rmse"])["ai_rmse"]
-    loss = scored.agg(F.avg("ai_rmse")).first()[0]
+    cols = [f"r{r.rule_id}" for r in used]
     shape = (8 * (1 << len(cols)), len(cols))
-    history = fit_history(spark, MODEL_IDS[name], name, run_time, run_time, [loss], shape)
-    return DenseModel(cols, {}, linear, threshold, error_range), history, scored
+    history = fit_history(spark, MODEL_IDS[name], name, run_time, run_time, [0.5], shape)
+    return DenseModel(cols, {}, Linear([0.5] * len(cols)), 0.5, (0.5, 0.5)), history
 
 
 def score_counts_matrix(linear, matrix: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -91,15 +89,16 @@ def similar_events(
 
 def predict_bucket_similarity(
     events: dict[str, DataFrame], models: dict[str, DenseModel], mapping: DataFrame,
-    run_time: datetime, min_sim: float = 0.0, threshold: float = SIMILARITY_THRESHOLD,
+    run_time: datetime, min_sim: float | None = None, threshold: float = SIMILARITY_THRESHOLD,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Similarity results of all kinds with multi-rule ids and demoted labels.
 
-    The default keeps every pair with any similarity, labelled False up to the
-    threshold. With ``min_sim`` at the threshold only the pairs that stay labelled
-    True are looked for, which needs far fewer comparisons.
+    Only pairs above the threshold, which stay labelled True, are looked for. A smaller
+    ``min_sim`` also gives the pairs down to it, labelled False; 0 gives every pair that
+    shares a word, and their number grows with the square of a bucket.
     """
+    min_sim = threshold if min_sim is None else min_sim
     found = stack([similar_events(events[kind], models[kind], kind, min_sim) for kind in events])
     labelled = demote(attach_multi(found, mapping), "cos_sim", threshold)
     result = conform(labelled.withColumn("version", at(run_time)), SIMILAR_RESULT).distinct()

@@ -29,7 +29,7 @@ FIXED_THRESHOLD = 0.017396
 def _logs(tables: Tables, start, end, exclusion_source: str) -> DataFrame:
     rules = load_rules(select_rules(tables.rules, LOG, active_only=True))
     hits = log_hits(tables.logs, rules, start, end)
-    return without_source(enrich_logs(hits, tables.devices), hits, exclusion_source)
+    return enrich_logs(without_source(hits, exclusion_source), tables.devices)
 
 
 def _features(size: int):
@@ -41,7 +41,7 @@ def _features(size: int):
 
 def train_same_kind(
     tables: Tables, log_cols: Sequence[str], start, end, run_time: datetime, skip_n: int = 1,
-    k: int = 0, balanced: bool = True, model_id: int = 2, exclusion_source: str = "L009", seed: int = 0,
+    k: int = 0, balanced: bool = True, model_id: int = 2, exclusion_source: str = "L009",
 ) -> Fitted:
     """Fit the pair model on log pairs of a common multi-rule.
 
@@ -61,7 +61,7 @@ def train_same_kind(
     )
     return fit_pair_model(
         train, held, {"log": encoder}, 2 * encoder.size, k, model_id, run_time, balanced,
-        keep_original=True, seed=seed,
+        keep_original=True,
     )
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pairwarden.functions.columns import clean_value, conform, route_by_prefix
 from pairwarden.functions.times import at
 from pairwarden.operators.lookup import lookup_join
-from pairwarden.operators.reconstruct import fit_window_reconstructor, reconstruct_window
-from pairwarden.operators.reshape import complete_rows, tags_of_type, to_long, to_wide
+from pairwarden.operators.ordering import number_rows
+from pairwarden.operators.reconstruct import Linear, fit_window_reconstructor, reconstruct_window
+from pairwarden.operators.reshape import complete_rows, to_wide
 from pairwarden.operators.scoring import (
     label,
     mad_threshold,
@@ -52,47 +53,117 @@ class TagFit:
     history: DataFrame
 
 
-def catalogue_tags(readings: DataFrame, catalogue: DataFrame) -> list[str]:
-    """Tags of the catalogue that occur in the readings, in name order."""
-    listed = catalogue.select("tag_name").distinct()
-    present = lookup_join(readings.select("tag_name").distinct(), listed, ["tag_name"], "left_semi")
-    return sorted(r.tag_name for r in present.collect())
+def training_cells(readings: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Sum per time and tag of the catalogue, for times at which every tag that occurs has a value.
 
-
-def tag_matrix(readings: DataFrame, tags: Sequence[str]) -> DataFrame:
-    """Complete rows of the sensor matrix: one row per time, one column per tag."""
-    cleaned = readings.filter(F.col("tag_name").isin(*tags)).withColumn("v", clean_value("tag_value"))
-    return complete_rows(to_wide(cleaned, "date_time", "tag_name", "v", tags))
+    Long form: date_time, tag_name, type, v.
+    """
+    listed = catalogue.select("tag_name", "type").distinct()
+    value = F.coalesce(clean_value("tag_value"), F.lit(0.0))
+    cells = (
+        lookup_join(readings, listed, ["tag_name"])
+        .groupBy("date_time", "tag_name", "type")
+        .agg(F.sum(value).alias("v"))
+    )
+    cells = stage(cells, "tag-cells")
+    per_time = cells.groupBy("date_time").agg(F.countDistinct("tag_name").alias("n"))
+    wanted = cells.select("tag_name").distinct().count()
+    return cells.join(per_time.filter(F.col("n") == wanted).select("date_time"), "date_time")
 
 
 def train_tags(
-    readings: DataFrame, catalogue: DataFrame, unit_type: str, start, end, run_time: datetime,
+    readings: DataFrame, catalogue: DataFrame, unit_types: Sequence[str], start, end, run_time: datetime,
     steps: int = 1, k: int = 0, model_id: int = 5,
-) -> TagFit:
-    """Fit one unit type and label its own training rows."""
+) -> dict[str, TagFit]:
+    """Fit all unit types from one pass over the readings and label their training rows.
+
+    Rows stay in long form: bounds, means and errors are aggregates per tag or per time. Only
+    directions (``k`` > 0) need a matrix with a column per tag of one type.
+    """
+    spark = readings.sparkSession
     in_range = scan_range(readings, "date_time", start, end)
-    wide = stage(tag_matrix(in_range, catalogue_tags(in_range, catalogue)), "tag-matrix")
-    cols = [t for t in tags_of_type(catalogue, unit_type) if t in wide.columns]
-    bounds = minmax_fit(wide, cols)
-    scaled = minmax_apply(wide.select("date_time", *cols), bounds)
+    cells = stage(
+        training_cells(in_range, catalogue).filter(F.col("type").isin(list(unit_types))), "tag-training"
+    )
+    indexed, n = number_rows(cells.select("date_time").distinct(), ["date_time"])
+    bounds = stage(
+        cells.groupBy("type", "tag_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi")), "tag-bounds"
+    )
+    span = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
+    scaled = cells.join(bounds, ["type", "tag_name"]).join(indexed, "date_time").withColumn(
+        "s", (F.col("v") - F.col("lo")) / span
+    )
+    # row i of a window, counted from its newest step, is the value ``back`` times earlier;
+    # times without enough predecessors have windows of zeros, the last time has none
+    inside = F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("back")
+    terms = stage(
+        scaled.select("type", "tag_name", "idx", "s", inside)
+        .withColumn("i", F.col("idx") + F.col("back"))
+        .filter((F.col("i") >= steps - 1) & (F.col("i") < n - 1)),
+        "tag-windows",
+    )
+    means = stage(
+        terms.groupBy("type", "tag_name", "back").agg((F.sum("s") / F.lit(max(n - 1, 1))).alias("mean")),
+        "tag-means",
+    )
+    known = {(r.type, r.tag_name): (r.lo, r.hi) for r in bounds.collect()}  # one row per tag
+    mean = {(r.type, r.tag_name, r.back): r["mean"] for r in means.collect()}
+    error = terms.join(means, ["type", "tag_name", "back"]).groupBy("type", "i").agg(
+        F.sum((F.col("s") - F.col("mean")) * (F.col("s") - F.col("mean"))).alias("e")
+    )
+    fits = {}
+    for unit_type in unit_types:
+        cols = sorted(tag for kind, tag in known if kind == unit_type)
+        linear = Linear([
+            mean.get((unit_type, c, back), 0.0) for back in range(steps - 1, -1, -1) for c in cols
+        ])
+        mine = cells.filter(F.col("type") == unit_type)
+        if k:
+            linear, scored = _fit_directions(mine, cols, {c: known[unit_type, c] for c in cols}, steps, k)
+        else:
+            empty = sum(m * m for m in linear.means)
+            places = indexed.filter(F.col("idx") < n - 1).join(
+                error.filter(F.col("type") == unit_type), indexed["idx"] == F.col("i"), "left"
+            )
+            scored = places.select("date_time", stable(
+                F.coalesce("e", F.lit(empty)) / F.lit(max(1, len(linear.means)))).alias("ai_rmse"))
+        scored = stage(scored, "tag-scores")
+        fits[unit_type] = _tag_fit(
+            spark, mine, scored, cols, {c: known[unit_type, c] for c in cols}, linear, unit_type, run_time,
+            steps, model_id,
+        )
+    return fits
+
+
+def _fit_directions(cells: DataFrame, cols: Sequence[str], bounds: dict, steps: int, k: int):
+    """Directions of the windows of one unit type, and the training errors."""
+    wide = complete_rows(to_wide(cells, "date_time", "tag_name", "v", cols))
+    scaled = minmax_apply(wide, bounds)
     windows = stage(lookback(scaled, ["date_time"], cols, steps, inclusive=True), "tag-windows")
     linear = fit_window_reconstructor(windows, "window", k)
     restored = reconstruct_window(linear, windows, steps, len(cols))
-    scored = restored.withColumn("ai_rmse", stable(window_mse(F.col("window"), F.col("window_hat"))))
-    scored = scored.select("date_time", "ai_rmse").persist()
+    return linear, restored.select(
+        "date_time", stable(window_mse(F.col("window"), F.col("window_hat"))).alias("ai_rmse")
+    )
+
+
+def _tag_fit(
+    spark, cells: DataFrame, scored: DataFrame, cols, bounds, linear: Linear, unit_type: str,
+    run_time: datetime, steps: int, model_id: int,
+) -> TagFit:
     threshold = mad_threshold(scored, "ai_rmse")
     error_range = minmax_fit(scored, ["ai_rmse"])["ai_rmse"]
-    loss = scored.agg(F.avg("ai_rmse")).first()[0]
+    rows, loss = scored.agg(F.count("*"), F.avg("ai_rmse")).first()
     labelled = label(scored, "ai_rmse", threshold, "above").withColumn(
         "ai_rmse_scaled", minmax_of("ai_rmse", error_range)
     )
-    rows = wide.select("date_time", *cols).join(labelled, "date_time")
-    ids = ["date_time", "ai_rmse", "ai_rmse_scaled", "ai_label"]
-    validation = to_long(rows, ids).withColumn("version", at(run_time))
-    shape = (scored.count(), steps, len(cols))
-    history = fit_history(readings.sparkSession, model_id, unit_type, run_time, run_time, [loss], shape)
-    model = DenseModel(cols, bounds, linear, threshold, error_range)
-    return TagFit(model, validation, history)
+    validation = (
+        cells.select("date_time", "tag_name", F.col("v").alias("tag_value"))
+        .join(labelled, "date_time")
+        .withColumn("version", at(run_time))
+    )
+    history = fit_history(spark, model_id, unit_type, run_time, run_time, [loss], (rows, steps, len(cols)))
+    return TagFit(DenseModel(list(cols), bounds, linear, threshold, error_range), validation, history)
 
 
 def _tag_settings(readings: DataFrame, models: dict[str, DenseModel]) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,26 +22,14 @@ def local_session(cpus: int | str = "*", app: str = "pairwarden") -> SparkSessio
     )
 
 
-@lru_cache(maxsize=1)
-def _own_folder() -> tempfile.TemporaryDirectory:
-    return tempfile.TemporaryDirectory(prefix="pairwarden-", ignore_cleanup_errors=True)
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local-mode session without that setting gets a folder of its own.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder().name
+    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session, else its warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
 def _application_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

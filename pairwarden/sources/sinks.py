@@ -8,10 +8,12 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from pairwarden.functions.times import at
 from pairwarden.operators.ordering import number_rows
 from pairwarden.schemas import FIT_HISTORY
+from pairwarden.session import stage
 
 
 def new_rows(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,20 +25,41 @@ def new_rows(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.distinct().join(known, list(keys), "left_anti")
 
 
-def read_stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The stored table, or an empty one of the same schema before the first write."""
+DAY = "day"
+
+
+def read_stored(spark: SparkSession, path: str, like: DataFrame, days: Sequence | None = None) -> DataFrame:
+    """The stored table, or an empty one of the same schema before the first write.
+
+    ``days`` limits a table that is partitioned by day to those days; others are not read.
+    """
+    schema = like.schema
+    if days is not None:
+        schema = StructType([*schema.fields, StructField(DAY, DateType())])
     try:
-        return spark.read.schema(like.schema).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return like.limit(0)
+    return stored if days is None else stored.filter(F.col(DAY).isin(list(days))).drop(DAY)
+
 
+def append_new(df: DataFrame, path: str, keys: Sequence[str], time: str | None = None) -> None:
+    """Append the rows that ``new_rows`` lets through; repeating it adds nothing.
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Append the rows that ``new_rows`` lets through; repeating it adds nothing."""
-    stored = read_stored(df.sparkSession, path, df)
-    new_rows(df, stored, keys).write.mode("append").parquet(path)
+    With ``time``, a column that is the same for all rows of a key, the table is
+    partitioned by its day, and only the days of the new rows are read again.
+    """
+    spark = df.sparkSession
+    if time is None:
+        new_rows(df, read_stored(spark, path, df), keys).write.mode("append").parquet(path)
+        return
+    fresh = stage(df.distinct(), "append")
+    day = F.to_date(F.col(time))
+    days = [r[0] for r in fresh.select(day).distinct().collect()]  # the days of one run
+    known = read_stored(spark, path, fresh, [d for d in days if d is not None])
+    new_rows(fresh, known, keys).withColumn(DAY, day).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def with_batch_no(df: DataFrame, order: Sequence[str], rows: int = 1000) -> DataFrame:

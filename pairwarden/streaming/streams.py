@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pairwarden.operators.rules import Rule, match_rules
-from pairwarden.session import fresh_path
+from pairwarden.session import fresh_path, stage
 from pairwarden.sources.sinks import append_new
 
 
-def read_stream(spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet") -> DataFrame:
-    """Parquet files of a folder as a stream; the schema is declared, not inferred."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+def read_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table, one file or a folder of part files, as a stream; the schema is declared.
+
+    A path that does not exist is an error, not an empty stream.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema)
+    if not files.getFileStatus(target).isDirectory():  # a stream source is a folder: take this file of it
+        reader = reader.option("pathGlobFilter", target.getName())
+        path = target.getParent().toString()
+    return reader.parquet(path)
 
 
 def stream_match_rules(stream: DataFrame, rules: list[Rule], time: str = "ts") -> DataFrame:
@@ -45,18 +54,33 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str] = ("hash",), time: str =
     return _watermarked(stream, time, delay).dropDuplicatesWithinWatermark(list(keys)).drop("_at")
 
 
-def stream_append_new(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], wait: int = 600) -> None:
-    """Append what is new of a stream; a restart or a repeated batch adds nothing twice."""
+def stream_append_new(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str | None = None,
+    wait: int | None = None,
+) -> None:
+    """Append what is new of a stream; a restart or a repeated batch adds nothing twice.
+
+    ``keys`` must tell rows apart: rows of one key may lie in different batches, and the
+    later ones would count as stored. A batch with two rows of one key is an error.
+    ``time`` keeps the table by day, see ``append_new``.
+    """
+
+    def store(batch: DataFrame, _: int) -> None:
+        fresh = stage(batch.distinct(), "batch")
+        if not fresh.groupBy(*keys).count().filter("count > 1").isEmpty():
+            raise ValueError(f"{list(keys)} do not tell the rows of a stream apart")
+        append_new(fresh, path, keys, time)
+
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, _: append_new(batch, path, keys))
+        .foreachBatch(store)
         .start()
     )
     _finish(query, wait)
 
 
-def run_available(stream: DataFrame, name: str, wait: int = 600) -> DataFrame:
+def run_available(stream: DataFrame, name: str, wait: int | None = None) -> DataFrame:
     """Process what is available into a fresh table of the shared folder and read it."""
     spark = stream.sparkSession
     out = fresh_path(spark, name)
@@ -72,8 +96,11 @@ def run_available(stream: DataFrame, name: str, wait: int = 600) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _finish(query, wait: int) -> None:
-    if not query.awaitTermination(wait):
+def _finish(query, wait: int | None) -> None:
+    """Wait to the end, or at most ``wait`` seconds if a caller sets a limit."""
+    if wait is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(wait):
         query.stop()
         raise TimeoutError(f"stream did not finish within {wait} s")
     if query.exception():

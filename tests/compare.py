@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -66,7 +67,7 @@ def main() -> None:
 
     folder = str(ROOT / (sys.argv[1] if len(sys.argv) > 1 else "sf0.01"))
     names = sys.argv[2:] or list(QUERIES)
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CPUS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(folder)
     bad = 0

@@ -11,7 +11,9 @@ from pairwarden.catalog import plan_queries as PQ
 from pairwarden.catalog import standins as t
 from pairwarden.functions.columns import clean_value
 from pairwarden.operators import rules as R
-from pairwarden.plans import correlation, models, rulecount, tags
+from pairwarden.plans import correlation, models, rulecount, samekind, tags
+from pairwarden.operators.reshape import complete_rows, to_wide
+from pairwarden.plans import runs as whole_runs
 from pairwarden.sources import sinks
 from pairwarden.streaming import streams as K
 
@@ -20,7 +22,7 @@ SMALL, MIDDLE = str(ROOT / "sf0.001"), str(ROOT / "sf0.01")
 
 def test_correlation_round_trip(spark, tmp_path):
     tables = t.tables(spark, SMALL)
-    fitted = correlation.train_correlation(tables, t.SETTINGS, t.START, t.END, t.RUN_TIME, k=1, seed=3)
+    fitted = correlation.train_correlation(tables, t.SETTINGS, t.START, t.END, t.RUN_TIME, k=1)
     assert [r.epoch for r in fitted.history.collect()] == [1, 2]
     assert fitted.holdout_scores.agg(F.sum("n")).first()[0] > 0
     root = str(tmp_path / "models")
@@ -37,9 +39,13 @@ def test_correlation_round_trip(spark, tmp_path):
     first, second = (sorted(map(str, df.collect())) for df in runs)
     assert first and first == second
     again = correlation.predict_correlation(
-        tables, t.SETTINGS, loaded, t.START, t.END, t.RUN_TIME, stored=runs[0])
+        tables, t.SETTINGS, loaded, t.START, t.END, t.RUN_TIME, stored=correlation.Stored(pairs=runs[0]))
     assert again.pairs.count() == 0
     assert again.single_logs.count() and again.single_packets.count() and again.prepared.count()
+    texts = [c for c, kind in again.prepared.dtypes if kind == "string"]
+    assert again.prepared.filter(" or ".join(f"{c} is null" for c in texts)).count() == 0
+    stamps = again.single_logs.groupBy("version").count().orderBy("version").collect()
+    assert all(s["count"] == 1000 for s in stamps[:-1]) and stamps[0].version == t.RUN_TIME
 
 
 def test_more_directions_do_not_raise_the_error(spark):
@@ -57,8 +63,8 @@ def test_similarity_bound_finds_the_pairs_that_stay_true(spark):
         for name, kind in (("log", R.LOG), ("packet", R.PACKET))
     }
     events = PQ._active(spark, MIDDLE)
-    every = rulecount.predict_bucket_similarity(events, fits, mapping, t.RUN_TIME)
-    near = rulecount.predict_bucket_similarity(events, fits, mapping, t.RUN_TIME, min_sim=0.99)
+    every = rulecount.predict_bucket_similarity(events, fits, mapping, t.RUN_TIME, min_sim=0.0)
+    near = rulecount.predict_bucket_similarity(events, fits, mapping, t.RUN_TIME)
     kept = {(r.f_hash, r.b_hash, r["corr"]) for r in every.filter("ai_label").collect()}
     assert kept and kept == {(r.f_hash, r.b_hash, r["corr"]) for r in near.collect()}
 
@@ -66,10 +72,13 @@ def test_similarity_bound_finds_the_pairs_that_stay_true(spark):
 @pytest.mark.parametrize("k", [0, 1])
 def test_long_form_tag_scores_equal_the_dense_model(spark, k):
     rows = t.readings(spark, MIDDLE)
-    fit = tags.train_tags(rows, t.catalogue(spark), "Turbine1", t.START, t.END, t.RUN_TIME, k=k)
+    fit = tags.train_tags(rows, t.catalogue(spark), ["Turbine1"], t.START, t.END, t.RUN_TIME, k=k)["Turbine1"]
     scores = tags.score_tags(rows, {"Turbine1": fit.model}, t.START, t.END, t.RUN_TIME, t.READING_UNITS)
     found = {(r.date_time, r.tag_name): r.ai_rmse for r in scores.result.collect()}
-    wide = tags.tag_matrix(rows, fit.model.cols).collect()
+    cells = tags.training_cells(rows, t.catalogue(spark)).filter(F.col("tag_name").isin(fit.model.cols))
+    every = rows.filter(F.col("tag_name").isin(fit.model.cols)).withColumn("v", clean_value("tag_value"))
+    assert cells.count() <= every.count()
+    wide = complete_rows(to_wide(every, "date_time", "tag_name", "v", fit.model.cols)).collect()
     lo = np.array([fit.model.bounds[c][0] for c in fit.model.cols])
     hi = np.array([fit.model.bounds[c][1] for c in fit.model.cols])
     v = np.array(fit.model.linear.components).reshape(k, len(lo))
@@ -99,7 +108,7 @@ def test_stream_equals_batch_after_restart(spark, tmp_path):
 
     def run():
         stream = K.stream_match_rules(K.read_stream(spark, source, schema), rules)
-        K.stream_append_new(stream.select("hash", "single_rule"), out, progress, ["hash"])
+        K.stream_append_new(stream.select("hash", "single_rule"), out, progress, ["hash", "single_rule"])
 
     events.filter("event_id % 2 = 0").write.parquet(source)
     run()
@@ -118,3 +127,92 @@ def test_stream_dedup_drops_repeats(spark, tmp_path):
     df.write.parquet(source)
     found = K.run_available(K.stream_dedup(K.read_stream(spark, source, df.schema)), "dedup-test")
     assert sorted(r.hash for r in found.collect()) == ["a", "b"]
+
+
+def test_keys_that_lie_in_two_batches_are_both_stored(spark, tmp_path):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    day = datetime(2024, 1, 1)
+    schema = "date_time timestamp_ntz, tag string"
+    for tag in ("a", "b"):  # one time, two micro-batches
+        spark.createDataFrame([(day, tag), (day, tag)], schema).write.mode("append").parquet(source)
+        stream = K.read_stream(spark, source, spark.createDataFrame([], schema).schema)
+        K.stream_append_new(stream, out, progress, ["date_time", "tag"], "date_time")
+    assert sorted(r.tag for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    with pytest.raises(Exception, match="apart"):
+        spark.createDataFrame([(day, "c"), (day, "d")], schema).write.mode("append").parquet(source)
+        K.stream_append_new(K.read_stream(spark, source, spark.createDataFrame([], schema).schema),
+                            out, progress, ["date_time"], "date_time")
+
+
+def test_append_reads_the_days_of_the_new_rows_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "hash string, time timestamp_ntz"
+    first = spark.createDataFrame([("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 2))], schema)
+    sinks.append_new(first, path, ["hash"], "time")
+    more = spark.createDataFrame([("b", datetime(2024, 1, 2)), ("c", datetime(2024, 1, 2))], schema)
+    sinks.append_new(more, path, ["hash"], "time")
+    assert sorted(r.hash for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
+    stored = sinks.read_stored(spark, path, more, [datetime(2024, 1, 2).date()])
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert sorted(r.hash for r in stored.collect()) == ["b", "c"]
+
+
+def _counts(spark, results):
+    return {p.name: spark.read.parquet(str(p)).count() for p in results.iterdir()}
+
+
+def test_runs_load_the_newest_model_and_add_nothing_twice(spark, tmp_path):
+    tables, times = t.tables(spark, SMALL), (t.START, t.END, t.RUN_TIME)
+    mapping, rules = t.mapping(spark), t.rules(spark)
+    roots = {n: str(tmp_path / n) for n in ("pair", "log", "rule", "tag")}
+    models.save_pair_model(
+        spark, correlation.train_correlation(tables, t.SETTINGS, *times).model, roots["pair"], t.RUN_TIME)
+    models.save_pair_model(
+        spark, samekind.train_same_kind(tables, t.LOG_COLS, *times).model, roots["log"], t.RUN_TIME)
+    models.save_dense_models(spark, {
+        name: rulecount.train_rule_space(spark, rules, mapping, kind, name, t.RUN_TIME)[0]
+        for name, kind in (("log", R.LOG), ("packet", R.PACKET))}, roots["rule"], t.RUN_TIME)
+    readings = t.readings(spark, MIDDLE)
+    fits = tags.train_tags(readings, t.catalogue(spark), ["Turbine1", "Turbine2"], *times)
+    models.save_dense_models(spark, {n: f.model for n, f in fits.items()}, roots["tag"], t.RUN_TIME)
+    loaded = models.load_dense_models(spark, roots["tag"], t.RUN_TIME)
+    assert loaded == {n: f.model for n, f in fits.items()}
+    results = tmp_path / "results"
+    found = []
+    for _ in range(2):
+        whole_runs.run_correlation(tables, t.SETTINGS, roots["pair"], str(results), *times)
+        whole_runs.run_same_kind(tables, roots["log"], str(results), *times)
+        whole_runs.run_bucket_similarity(PQ._active(spark, MIDDLE), mapping, roots["rule"], str(results), t.RUN_TIME)
+        whole_runs.run_tags(readings, 2, roots["tag"], str(results), *times, t.READING_UNITS)
+        found.append(_counts(spark, results))
+    assert found[0] == found[1]
+    assert set(found[0]) == {"single_logs", "single_packets", "prepared", "pairs", "log_pairs", "similar",
+                             "tag_prepared", "tag_result"}
+    assert all(found[0].values())
+    with pytest.raises(whole_runs.NoModelError):
+        whole_runs.run_same_kind(tables, roots["log"], str(results), t.START, t.END, datetime(2023, 1, 1))
+
+
+def test_milli_time_of_both_kinds(spark):
+    """Seconds in single events; thousandths in the joint column of pairs; by kind in similar events."""
+    tables = t.tables(spark, SMALL)
+    fitted = correlation.train_correlation(tables, t.SETTINGS, t.START, t.END, t.RUN_TIME, balanced=False)
+    found = correlation.predict_correlation(tables, t.SETTINGS, fitted.model, t.START, t.END, t.RUN_TIME)
+    for singles in (found.single_logs, found.single_packets):
+        assert singles.filter("milli_time not rlike '^[-0-9]{10} [0-9:]{8}$'").count() == 0
+    pairs = found.prepared.select("type", "milli_time").collect()
+    assert {r.type for r in pairs} == {"log", "packet"}
+    assert all(len(r.milli_time) == 23 and r.milli_time[19] == "." for r in pairs)
+    assert all(r.milli_time.endswith("000") for r in pairs if r.type == "log")
+    events = PQ._active(spark, SMALL)
+    assert {len(r.milli_time) for r in events["log"].select("milli_time").collect()} == {19}
+    assert {len(r.milli_time) for r in events["packet"].select("milli_time").collect()} == {23}
+
+
+def test_no_single_partition_exchange_in_the_joins(spark):
+    from pairwarden.catalog import QUERIES
+
+    for name in ("attach_address", "label_pairs", "same_asset", "attach_multi", "corr_pairs"):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan, name

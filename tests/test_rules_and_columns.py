@@ -11,7 +11,9 @@ from pairwarden.operators import joins as J
 from pairwarden.operators import reshape as E
 from pairwarden.operators import rules as R
 from pairwarden.operators.lookup import lookup_join
+from pairwarden.operators.rules import Rule, match_rules
 from pairwarden.schemas import RULE_MAP
+from pairwarden.session import stage
 from pairwarden.sources import scan, sinks
 
 
@@ -144,20 +146,45 @@ def test_features_put_the_log_first(spark):
     assert J.attach_same_kind_features(same, logs, 3).first().features == [0, 1, 3, 4]
 
 
-def test_lookup_join_both_ways(spark):
+def test_lookup_join_is_left_to_spark(spark):
     left = spark.range(50).selectExpr("id % 3 as k", "id")
-    right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
-    small = lookup_join(left, right, ["k"])
-    large = lookup_join(left, right, ["k"], known_rows=10**9)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    right = stage(spark.createDataFrame([(0, "a"), (1, "b"), (None, "n")], "k long, v string"), "lookup")
+    joined = lookup_join(left, right, ["k"])
+    assert joined.count() == 34
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SinglePartition" not in plan
+    safe = lookup_join(left.unionByName(left.limit(1).selectExpr("cast(null as long) as k", "id")), right, ["k"],
+                       null_safe=True)
+    assert safe.filter("v = 'n'").count() == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rule_conditions_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.createDataFrame([("a", 5.0, "x"), ("b", 500.0, "y"), ("c", None, None)],
+                          "hash string, value double, source string").write.parquet(path)
+    rules = [Rule(1, 2, None, "A", "value > 400"), Rule(2, 2, "x", "A", None)]
+    hits = match_rules(spark.read.parquet(path), rules, "hash")
+    pushed = next(line for line in _plan(hits).splitlines() if "PushedFilters" in line)
+    assert "Or(" in pushed and "GreaterThan(value,400.0)" in pushed
+    assert sorted((r.hash, r.single_rule) for r in hits.collect()) == [("a", 2), ("b", 1)]
+    every = match_rules(spark.read.parquet(path), [*rules, Rule(3, 2, None, "A", None)], "hash")
+    assert every.filter("single_rule = 3").count() == 3
 
 
 def test_value_rates_ignore_null_and_break_ties_by_value(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string")
-    found = [(r.rank, r.value, r.rate) for r in E.value_rates(df, ["v"]).orderBy("rank").collect()]
-    assert found == [(1, "c", 0.5), (2, "a", 0.25), (3, "b", 0.25)]
+    found = [(r.rank, r.value, r.n, r.rate) for r in E.value_rates(df, ["v"], top=2).orderBy("rank").collect()]
+    assert found == [(1, "c", 2, 0.5), (2, "a", 1, 0.25)]
+    assert {(r.value, r.n) for r in E.value_rates(df, ["v"]).collect()} == {("a", 1), ("b", 1), ("c", 2)}
+
+
+def test_value_rates_keep_every_value(spark):
+    df = spark.range(1000).selectExpr("cast(id as string) as v")
+    assert E.value_rates(df, ["v"]).count() == 1000
 
 
 def test_wide_cells(spark):

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,12 +51,37 @@ def test_weights_count_like_copies(spark):
 def test_median_by_narrowing_is_exact(spark, size):
     points = np.random.default_rng(size).lognormal(sigma=4.0, size=size)
     df = column(spark, points.tolist())
-    assert S.exact_median(df, F.col("x"), few=10) == pytest.approx(np.median(points), rel=1e-15)
+    assert S.exact_median(df, F.col("x")) == pytest.approx(np.median(points), rel=1e-15)
+
+
+@pytest.mark.parametrize("extra, want", [
+    ([float("inf")], "finite"), ([float("-inf")], "finite"), ([float("nan")], "finite"),
+    ([float("inf")] * 70_001, float("inf")), ([float("-inf")] * 70_001, float("-inf")),
+    ([float("nan")] * 70_001, float("nan")), ([1e308, -1e308, 5e-324, 1e15, 1e15 + 0.125], "finite"),
+])
+def test_median_ends_on_any_input(spark, extra, want):
+    points = np.random.default_rng(1).normal(size=70_000).tolist() + extra
+    got = S.exact_median(spark.createDataFrame(pd.DataFrame({"x": points})), F.col("x"))
+    if want == "finite":
+        middle = sorted(points, key=lambda v: (v != v, v))
+        n = len(points)
+        want = middle[n // 2] if n % 2 else middle[n // 2 - 1] / 2 + middle[n // 2] / 2
+    assert got == want or got != got and want != want
+
+
+@pytest.mark.parametrize("points", [[7.0], [1e308, -1e308], [1e15, 1e15 + 0.125, 1e15 + 0.25], [5e-324, 0.0, 1e-323],
+                                    [float("inf"), float("-inf"), 2.0], [float("nan")], [-0.0, 0.0]])
+def test_median_of_few_odd_values(spark, points):
+    got = S.exact_median(column(spark, points), F.col("x"))
+    middle = sorted(points, key=lambda v: (v != v, v))
+    n = len(middle)
+    want = middle[n // 2] if n % 2 else middle[n // 2 - 1] / 2 + middle[n // 2] / 2
+    assert got == want or got != got and want != want
 
 
 def test_median_with_a_hot_value_and_nulls(spark):
     df = column(spark, [None, *[3.0] * 400, *[float(i) for i in range(100)]])
-    assert S.exact_median(df, F.col("x"), few=5) == 3.0
+    assert S.exact_median(df, F.col("x")) == 3.0
     assert S.exact_median(df.limit(0), F.col("x")) is None
 
 
@@ -143,23 +169,26 @@ def test_onehot_unknown_and_missing(spark):
 def test_balance_fills_up_to_the_largest_pattern(spark):
     rows = [("x", i) for i in range(9000)] + [("y", i) for i in range(10)] + [("z", 0)]
     df = spark.createDataFrame(rows, "k string, i int")
-    drawn = P.balance(df, ["k"], ["i"], seed=1)
+    drawn = P.balance(df, ["k"], ["i"])
     sums = {r.k: (r.n, r.rows) for r in drawn.groupBy("k").agg(
         F.sum("copies").alias("n"), F.count("*").alias("rows")).collect()}
     assert sums["x"] == (9000, 9000) and sums["y"][0] == 9000 and sums["z"] == (9000, 1)
     assert sums["y"][1] == 10
+    assert {r.copies for r in drawn.filter("k = 'y'").collect()} == {900}
     written = P.replicate(drawn, "copies")
     assert {r.k: r["count"] for r in written.groupBy("k").count().collect()} == dict.fromkeys("xyz", 9000)
-    kept = P.balance(df, ["k"], ["i"], seed=1, keep_original=True)
+    kept = P.balance(df, ["k"], ["i"], keep_original=True)
     assert {r.k: r.n for r in kept.groupBy("k").agg(F.sum("copies").alias("n")).collect()} == {
         "x": 18000, "y": 9010, "z": 9001}
 
 
-def test_rule_space_order_and_limit(spark):
+def test_rule_space_is_lazy_and_ordered(spark):
     rows = [tuple(r) for r in P.rule_space(spark, [5, 9]).collect()]
     assert rows == [(0, 0), (0, 1), (1, 0), (1, 1)]
-    with pytest.raises(ValueError, match="limit"):
-        P.rule_space(spark, range(21))
+    many = P.rule_space(spark, range(40))
+    assert len(many.columns) == 40 and many.first() == tuple([0] * 40)
+    with pytest.raises(ValueError, match="long"):
+        P.rule_space(spark, range(63))
 
 
 def test_tokens(spark):

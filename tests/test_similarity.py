@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from pairwarden.operators.similarity import similar_bags, similar_pairs
+from pairwarden.operators.similarity import similar_bags, similar_classes, similar_pairs
 
 
 def brute(rows, min_sim):
@@ -48,3 +48,23 @@ def test_copies_share_a_bag(spark):
     found = similar_bags(df, ["g"], "t")
     assert found.pairs.count() == 0
     assert found.members.select("bag").distinct().count() == 1
+
+
+@pytest.mark.parametrize("min_sim", [0.0, 0.95])
+def test_a_burst_of_equal_texts_makes_as_many_rows(spark, min_sim):
+    df = spark.range(100_000).selectExpr("id", "'g' as g", "'the same words here' as t").unionByName(
+        spark.createDataFrame([(200_000, "g", "the same words there"), (200_001, "g", "!")], "id long, g string, t string"))
+    found = similar_classes(df, ["g"], "id", "t", min_sim)
+    links = found.groupBy("f_id").count().collect()
+    assert [(r.f_id, r["count"]) for r in links] == [(0, 99_999 + (min_sim == 0.0))]
+
+
+def test_classes_are_the_pairs_in_less_space(spark):
+    df = spark.createDataFrame(texts(), "id int, g string, t string")
+    links = [(r.g, r.f_id, r.b_id, r.sim) for r in similar_classes(df, ["g"], "id", "t").collect()]
+    pairs = similar_pairs(df, ["g"], "id", ["id"], "t").collect()
+    name = {b: f for _, f, b, s in links if s == 1.0}
+    sims = {(f, b): s for _, f, b, s in links}
+    for r in pairs:
+        f, b = name.get(r.f_id, r.f_id), name.get(r.b_id, r.b_id)
+        assert r.sim == pytest.approx(1.0 if f == b else sims[min(f, b), max(f, b)])
