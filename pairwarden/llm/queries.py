@@ -90,6 +90,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": sql.OP1,
     "op2_line_dedup": sql.OP2,
     "op6_exact_dedup": sql.OP6,
     "op9_substring_dedup": sql.OP9,

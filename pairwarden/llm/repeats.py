@@ -22,6 +22,7 @@ MAX_FILTER_BYTES = 64 << 20
 _SEGMENT_BITS = 20  # bits of one segment, as a power of two
 _SENT_BYTES = 6  # of each hash; the two highest bytes only choose the segment
 _FLUSH_HASHES = 1 << 20
+_PLACE = np.uint64((1 << _SEGMENT_BITS) - 1)
 
 Hasher = Callable[[bytes], np.ndarray]
 
@@ -35,8 +36,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def _places(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of a hash within its segment."""
-    mask = np.uint64((1 << _SEGMENT_BITS) - 1)
-    return (low & mask).astype(np.int64), ((low >> np.uint64(24)) & mask).astype(np.int64)
+    return (low & _PLACE).astype(np.int64), ((low >> np.uint64(24)) & _PLACE).astype(np.int64)
 
 
 def _folded(h: np.ndarray, segments: int) -> np.ndarray:
@@ -58,11 +58,12 @@ class TwiceSeen:
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         bits = self.bits.value
-        base = (hashes >> np.uint64(48)).astype(np.int64) % self.segments << _SEGMENT_BITS
-        hit = np.ones(len(hashes), bool)
-        for place in _places(hashes):
-            at = base + place
-            hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        base = (hashes >> np.uint64(48) & np.uint64(self.segments - 1)) << np.uint64(_SEGMENT_BITS)
+        hit = np.zeros(len(hashes), bool)
+        first = (base | hashes & _PLACE).view(np.int64)
+        maybe = np.flatnonzero(bits[first >> 3] >> (first & 7) & 1)  # the second bit of few is looked up
+        second = (base[maybe] | hashes[maybe] >> np.uint64(24) & _PLACE).view(np.int64)
+        hit[maybe] = bits[second >> 3] >> (second & 7) & 1
         return hit
 
 

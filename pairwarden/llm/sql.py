@@ -4,6 +4,42 @@ from __future__ import annotations
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+OP1 = """
+with bytes as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), starts as (
+  select doc_id, h, unnest(range(0, len(h) // 2 - 49)) as i from bytes where len(h) >= 100
+), windows as (
+  select doc_id, i, md5(substr(h, 2 * i + 1, 100)) as w from starts
+), first as (
+  select w, min(doc_id) as d from windows group by w having count(*) > 1
+), gone as (
+  select doc_id, i from windows join first on windows.w = first.w where first.d < windows.doc_id
+), edges as (
+  select doc_id, i as p, 1 as step from gone union all select doc_id, i + 50, -1 from gone
+), depth as (
+  select doc_id, p, sum(sum(step)) over (partition by doc_id order by p) as n,
+    lead(p) over (partition by doc_id order by p) as until from edges group by doc_id, p
+), runs as (
+  select doc_id, min(p) as a, max(until) as b from (
+    select *, sum(case when n > 0 and (before is null or before = 0) then 1 else 0 end)
+      over (partition by doc_id order by p) as run
+    from (select *, lag(n) over (partition by doc_id order by p) as before from depth))
+  where n > 0 group by doc_id, run
+), pieces as (
+  select runs.doc_id, a, b, substr(h, 2 * coalesce(lag(b) over (partition by runs.doc_id order by a), 0) + 1,
+    2 * (a - coalesce(lag(b) over (partition by runs.doc_id order by a), 0))) as kept
+  from runs join bytes on runs.doc_id = bytes.doc_id
+), cut as (
+  select doc_id, count(*) as n_spans, sum(b - a) as n_removed, string_agg(kept, '' order by a) as kept, max(b) as last
+  from pieces group by doc_id
+)
+select bytes.doc_id, len(h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(case when n_spans is null then h else kept || substr(h, 2 * last + 1) end)) as kept_sha256
+from bytes left join cut on bytes.doc_id = cut.doc_id
+"""
+
 OP2 = rf"""
 with split as (
   select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents

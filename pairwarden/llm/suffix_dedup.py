@@ -44,7 +44,7 @@ SEED = 16
 LONGEST = 64  # windows of a segment; an owner's answer is one bit each
 HOT_PARTS = 512  # a seed in more than this part of the documents is hot
 _BLOCK = 1 << 20  # bytes hashed at once
-_FLUSH_BYTES = 16 << 20
+_FLUSH_SEGMENTS = 320_000
 _BUCKET_BYTES = 1 << 20  # text per bucket; about half of it is indexed
 
 _ONE, _TWO, _HALF = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
@@ -95,27 +95,28 @@ class Segments:
             hot = self.seen.is_hot(value)
             longest[hot], value[hot] = 1, 0
         parts = -(-size // longest)
+        if parts.max(initial=0) <= 1:
+            return start, size, value
         which = np.repeat(np.arange(len(start)), parts)
         inside = (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * longest[which]
         return start[which] + inside, np.minimum(size[which] - inside, longest[which]), value[which]
 
 
-def _digest(segment: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(segment)
+_digest = xxhash.xxh3_64_intdigest
 
 
 def _send_segments(cut: Segments, buckets: int):
     """Per task: distinct segments with their smallest document, by bucket."""
     tail = cut.window - 1
 
-    def flush(held: dict[bytes, int], chosen: dict[bytes, int]) -> pa.RecordBatch:
+    def flush(held: dict[bytes, int], docs: list[int], chosen: list[int]) -> pa.RecordBatch:
         press = zstandard.ZstdCompressor(level=3).compress
         texts = list(held)
-        value = np.fromiter(chosen.values(), np.uint64, len(texts))
+        value = np.array(chosen, np.uint64)
         bucket = (value >> np.uint64(40)).astype(np.int64) % buckets
         order = np.lexsort((value, bucket))  # segments of one seed side by side
         bucket = bucket[order]
-        docs = np.fromiter(held.values(), np.int64, len(texts))[order]
+        docs = np.array(docs, np.int64)[order]
         texts = [texts[i] for i in order]
         sizes = np.fromiter(map(len, texts), np.uint8, len(texts))
         ends = cuts(bucket)
@@ -123,31 +124,30 @@ def _send_segments(cut: Segments, buckets: int):
         return record(
             ["bucket", "text", "sizes", "docs"],
             [bucket[ends[:-1]], [press(b"".join(texts[a:b])) for a, b in parts],
-             [sizes[a:b].tobytes() for a, b in parts], [docs[a:b].tobytes() for a, b in parts]],
+             [press(sizes[a:b].tobytes()) for a, b in parts], [press(docs[a:b].tobytes()) for a, b in parts]],
             [pa.int32(), pa.binary(), pa.binary(), pa.binary()],
         )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
-        chosen: dict[bytes, int] = {}
-        size = 0
+        held: dict[bytes, int] = {}  # number of each distinct segment
+        docs: list[int] = []
+        chosen: list[int] = []
         for doc, text in rows_of(batches):
             me = NO_ID if doc is None else doc
             starts, counts, values = cut(text)
-            for a, n, v in zip(starts.tolist(), counts.tolist(), values.tolist(), strict=True):
-                segment = text[a : a + n + tail]
-                old = held.get(segment)
-                if old is None:
-                    held[segment] = me
-                    chosen[segment] = v or _digest(segment)
-                    size += len(segment)
-                elif me < old:
-                    held[segment] = me
-            if size > _FLUSH_BYTES:
-                yield flush(held, chosen)
-                held, chosen, size = {}, {}, 0
+            for a, b, v in zip(starts.tolist(), (starts + counts + tail).tolist(), values.tolist(), strict=True):
+                segment = text[a:b]
+                number = held.setdefault(segment, len(docs))
+                if number == len(docs):
+                    docs.append(me)
+                    chosen.append(v or _digest(segment))
+                elif me < docs[number]:
+                    docs[number] = me
+            if len(docs) > _FLUSH_SEGMENTS:
+                yield flush(held, docs, chosen)
+                held, docs, chosen = {}, [], []
         if held:
-            yield flush(held, chosen)
+            yield flush(held, docs, chosen)
 
     return send
 
@@ -207,9 +207,9 @@ class RunIndex:
         inside = np.minimum(wanted - self.key[found], self.length[found])  # all of it, if of a smaller symbol
         return np.searchsorted(self.window, self.total[found] + inside, "right") - 1
 
-    def first_documents(self, segments: list[bytes]) -> list[np.ndarray]:
+    def first_documents(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics cut at the depth, for the segments of the index in their order: the
-        smallest document of each window."""
+        smallest document of each window, and the number of windows of each segment."""
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         by_size = np.argsort(-sizes, kind="stable")
         windows = (sizes - self.depth + 1)[by_size]
@@ -223,7 +223,8 @@ class RunIndex:
             run = self.extend(row[:live], data[last[:live] - t])
             out[by_size[:live], windows[:live] - t - 1] = self.sample[run]
             row = self.context[run]
-        return [o[:n] for o, n in zip(out, (sizes - self.depth + 1).tolist(), strict=True)]
+        windows = sizes - self.depth + 1
+        return out[np.arange(out.shape[1]) < windows[:, None]], windows
 
 
 def _index(window: int):
@@ -232,9 +233,8 @@ def _index(window: int):
     def answer(held: dict[bytes, int]) -> pa.RecordBatch:
         segments = list(held)
         docs = np.fromiter(held.values(), np.int64, len(segments))
-        found = RunIndex(segments, docs, window).first_documents(segments)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate(found) == np.repeat(docs, sizes)
+        found, sizes = RunIndex(segments, docs, window).first_documents(segments)
+        flat = found == np.repeat(docs, sizes)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         bits = np.where(flat, np.uint64(1) << place.astype(np.uint64), np.uint64(0))
         mask = np.bitwise_or.reduceat(bits, np.cumsum(sizes) - sizes)
@@ -252,7 +252,7 @@ def _index(window: int):
         at, held, unpress = None, {}, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for bucket, text, sizes, docs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = unpress(text)
+                text, sizes, docs = unpress(text), unpress(sizes), unpress(docs)
                 if bucket != at and held:
                     yield answer(held)
                     held = {}
@@ -274,18 +274,21 @@ def _remove(cut: Segments | None, with_text: bool):
         starts, counts, _ = cut(text)
         if not len(starts):
             return None
-        pairs = np.frombuffer(b"".join(own or ()), np.uint64).reshape(-1, 2)
-        owned = dict(zip(pairs[:, 0].tolist(), pairs[:, 1].tolist(), strict=True))
-        tail = cut.window - 1
-        masks = np.fromiter(
-            (owned.get(_digest(text[a : a + n + tail]), 0)
-             for a, n in zip(starts.tolist(), counts.tolist(), strict=True)), np.uint64, len(starts))
+        ends = starts + counts + (cut.window - 1)
+        digest = np.array([_digest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
+        masks = np.zeros(len(starts), np.uint64)
+        if own:
+            owned = dict(np.frombuffer(b"".join(own), np.uint64).reshape(-1, 2).tolist())
+            masks = np.array([owned.get(d, 0) for d in digest.tolist()], np.uint64)
+        whole = np.uint64(2**64 - 1) >> (np.uint64(64) - counts.astype(np.uint64))
+        some = np.flatnonzero(masks != whole)  # segments with a window that another document owns
+        if not len(some):
+            return None
+        starts, counts, masks = starts[some], counts[some], masks[some]
         which = np.repeat(np.arange(len(starts)), counts)
         inside = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
         gone = masks[which] >> inside.astype(np.uint64) & np.uint64(1) == 0
         at = (starts[which] + inside)[gone]
-        if not len(at):
-            return None
         edge = np.zeros(len(text) + 1, np.int32)
         edge[at] += 1
         edge[at + cut.window] -= 1  # windows start at distinct places

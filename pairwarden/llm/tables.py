@@ -57,4 +57,8 @@ def cuts(keys: np.ndarray) -> np.ndarray:
     """Starts of runs of equal values in a sorted array, and its length."""
     if not len(keys):
         return np.zeros(1, np.int64)
-    return np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+    change = np.flatnonzero(keys[1:] != keys[:-1])
+    out = np.empty(len(change) + 2, np.int64)
+    out[0], out[-1] = 0, len(keys)
+    np.add(change, 1, out=out[1:-1])
+    return out

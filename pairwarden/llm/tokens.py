@@ -7,6 +7,7 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -41,7 +42,7 @@ class WordTokenizer:
         self.most, self.known, self.older = most, {}, {}
 
     def _learn(self, pieces: list[list[str]], tokenizer) -> None:
-        new = set().union(*pieces).difference(self.known)
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(pieces)))
         again = new & self.older.keys()
         self.known.update((p, self.older[p]) for p in again)
         new = list(new - again)

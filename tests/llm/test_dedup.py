@@ -64,8 +64,9 @@ def test_run_index_against_all_windows():
             for i in range(len(text) - depth + 1):
                 first[text[i:i + depth]] = min(first.get(text[i:i + depth], 99), doc)
         index = RunIndex(list(segments), np.array(list(segments.values())), depth)
-        for text, found in zip(segments, index.first_documents(list(segments))):
-            assert found.tolist() == [first[text[i:i + depth]] for i in range(len(text) - depth + 1)]
+        found, windows = index.first_documents(list(segments))
+        assert windows.tolist() == [len(text) - depth + 1 for text in segments]
+        assert found.tolist() == [first[text[i:i + depth]] for text in segments for i in range(len(text) - depth + 1)]
 
 
 def test_run_index_compresses_repetitive_text():

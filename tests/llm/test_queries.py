@@ -27,11 +27,6 @@ def rows_in(spark):
     return [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
 
 
-def test_suffix_query(spark, rows_in, same):
-    same(QUERIES["op1_suffix_dedup"](spark, FOLDER),
-         ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute.long_repeats(rows_in))
-
-
 def test_simhash_query(spark, rows_in, same):
     prints = [(d, brute.fingerprint(t)) for d, t in rows_in]
     same(QUERIES["op5_simhash_dedup"](spark, FOLDER), ["doc_id", "fingerprint", "component_id"],
