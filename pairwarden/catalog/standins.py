@@ -16,7 +16,7 @@ from pairwarden.plans.correlation import CorrelationSettings, Tables
 from pairwarden.schemas import RULE_MAP
 from pairwarden.sources.scan import scan_dim
 
-START, END = datetime(2024, 1, 1), datetime(2024, 2, 1)
+START, END = datetime(1970, 1, 1), datetime(2200, 1, 1)  # whatever the tables hold
 RUN_TIME = datetime(2024, 2, 1, 9, 30)
 
 RULES = [
