@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pairwarden.llm.tables import narrow
 from pairwarden.llm.tokens import BYTE_BPE, byte_tokenizer
 
-_BLOCK = 1024  # lengths per window
+_BLOCK = 128  # lengths per window
 
 
 def encoded_lengths(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
