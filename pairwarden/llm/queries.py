@@ -13,7 +13,7 @@ from pairwarden.llm.exact_dedup import exact_duplicates
 from pairwarden.llm.language_id import held_out, identify
 from pairwarden.llm.line_dedup import drop_repeated_lines
 from pairwarden.llm.packing import pack_powers
-from pairwarden.llm.shipping import ship
+from pairwarden.llm.shipping import prepare
 from pairwarden.llm.simhash_dedup import near_duplicates
 from pairwarden.llm.substring_dedup import remove_repeats
 from pairwarden.llm.suffix_dedup import remove_long_repeats
@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

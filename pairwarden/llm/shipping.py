@@ -1,4 +1,4 @@
-"""Sends this package to executors that do not have it installed."""
+"""Prepares a session: small Arrow batches, and the package for executors that do not have it."""
 
 from __future__ import annotations
 
@@ -12,8 +12,13 @@ import pairwarden
 from pairwarden.session import fresh_path
 
 
-def ship(spark: SparkSession) -> None:
-    """Once per application: the package as a zip in the shared folder, like ``--py-files``."""
+ARROW_BATCH = "4m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes, since Python workers hold some of them at a time and keep
+    the memory; once per application the package as a zip in the shared folder, like ``--py-files``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     context = spark.sparkContext
     if any("pairwarden" in f and f.endswith(".zip") for f in context._python_includes):
         return

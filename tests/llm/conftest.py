@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pairwarden.llm.shipping import ship  # noqa: E402
+from pairwarden.llm.shipping import prepare  # noqa: E402
 
 #: Names that operators use inside; extra columns of a table may be called so.
 CLASHING = "rank own key fp bucket digest row mark line hashes lang rank_ text_ share n label"
@@ -50,7 +50,7 @@ def rows():
 
 @pytest.fixture(scope="session")
 def shipped(spark):
-    ship(spark)
+    prepare(spark)
     return spark
 
 
