@@ -14,33 +14,33 @@ from pairwarden.llm.decontamination import mark_contamination
 from pairwarden.llm.exact_dedup import keep_one as keep_one_copy
 from pairwarden.llm.language_id import held_out, identify
 from pairwarden.llm.packing import pack_powers
-from pairwarden.llm.shipping import ship
+from pairwarden.llm.shipping import prepare
 from pairwarden.llm.simhash_dedup import keep_one as keep_one_near_copy
 from pairwarden.session import stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is rejected: no letters, or a narrow margin."""
-    ship(spark)
+    prepare(spark)
     found = identify(docs, docs.filter(~held_out("doc_id", 5, 0)), column="_language")
     return found.filter(~F.col("_language.rejected")).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the largest id of equal texts."""
-    ship(spark)
+    prepare(spark)
     return keep_one_copy(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of each SimHash component."""
-    ship(spark)
+    prepare(spark)
     return keep_one_near_copy(docs, shingle=3, max_distance=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    ship(spark)
+    prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     marked = mark_contamination(docs, benchmark, column="_contamination")
     return marked.filter(~F.col("_contamination.contaminated")).select(*docs.columns)
@@ -48,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents that are left; see ``pack_powers``."""
-    ship(spark)
+    prepare(spark)
     return pack_powers(docs, longest=2048, end_id=1)
 
 
