@@ -195,3 +195,40 @@ def test_tokens(spark):
     df = spark.createDataFrame([(1, "A bb BB, c_d 호기 x"), (2, "!"), (3, None)], "i int, t string")
     found = {(r.i, r.token): r.tf for r in P.token_counts(df, ["i"], "t").collect()}
     assert found == {(1, "bb"): 2, (1, "c_d"): 1, (1, "호기"): 1}
+
+
+@pytest.mark.parametrize("k", [0, 1, 4])
+def test_window_directions_match_numpy(spark, k):
+    points = np.random.default_rng(3).normal(size=(60, 4)) @ np.diag([3.0, 2.0, 1.0, 0.5])
+    rows = [(i, [[float(a), float(b)], [float(c), float(d)]]) for i, (a, b, c, d) in enumerate(points)]
+    df = spark.createDataFrame([*rows, (99, None)], "i int, window array<array<double>>")
+    model = M.fit_window_reconstructor(df, "window", k)
+    found = M.reconstruct_window(model, df, 2, 2).withColumn(
+        "mse", S.window_mse(F.col("window"), F.col("window_hat"))).collect()
+    centred = points - points.mean(axis=0)
+    _, vectors = np.linalg.eigh(centred.T @ centred)
+    top = vectors[:, ::-1][:, :k]
+    want = ((centred - centred @ top @ top.T) ** 2).mean(axis=1)
+    for r in found:
+        assert r.mse is None if r.i == 99 else r.mse == pytest.approx(want[r.i], abs=1e-9)
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_block_power_iteration_matches_numpy(spark, k):
+    rng = np.random.default_rng(5)
+    x = (rng.random((400, 7)) < [0.5, 0.4, 0.1, 0.8, 0.3, 0.05, 0.6]).astype(float)
+    x[:, 4] = np.where(rng.random(400) < 0.9, x[:, 0], x[:, 4])
+    rows = [([int(j) for j in np.flatnonzero(r)], int(n)) for r, n in zip(x, rng.integers(1, 4, 400), strict=True)]
+    df = spark.createDataFrame(rows, "features array<long>, n long").repartition(3)
+    model = M.fit_sparse(df, 7, weight="n", k=k)
+    weight = np.array([n for _, n in rows], float)
+    mean = (weight[:, None] * x).sum(0) / weight.sum()
+    centred = x - mean
+    _, vectors = np.linalg.eigh((centred * weight[:, None]).T @ centred / weight.sum())
+    top = vectors[:, ::-1][:, :k]
+    got = np.array([r.weights for r in model.weights.orderBy("position").collect()])
+    assert np.abs(got @ got.T - top @ top.T).max() < 1e-4
+    error = M.score_sparse(model, df).select("features", "ai_rmse").distinct().collect()
+    want = {tuple(f): np.sqrt(((c - c @ top @ top.T) ** 2).mean()) for (f, _), c in zip(rows, centred, strict=True)}
+    for r in error:
+        assert r.ai_rmse == pytest.approx(want[tuple(r.features)], abs=1e-4)
