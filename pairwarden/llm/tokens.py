@@ -6,6 +6,7 @@ import base64
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, filterfalse
 
@@ -22,6 +23,10 @@ _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 _LATIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")
 _GAPS = re.compile(r"[ \t\n\r]+")
+# Byte-level vocabularies spell a byte as the Latin-1 letter of its number if that is visible, the others
+# in turn from letter 256 on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELLING = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class WordTokenizer:
@@ -34,20 +39,29 @@ class WordTokenizer:
 
     def __init__(self, path: str, most: int = MAX_CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.bare = Tokenizer(self.whole.model)  # for pieces that are normalised and split already
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.whole.model
         self.most, self.known, self.older = most, {}, {}
 
-    def _learn(self, pieces: list[list[str]], tokenizer) -> None:
+    def _whole(self, pieces: list[str]) -> Iterator[list[int]]:
+        return (c.ids for c in self.whole.encode_batch_fast(pieces, add_special_tokens=False))
+
+    def _bare(self, pieces: list[str]) -> Iterator[list[int]]:
+        """For pieces that are normalised and split already: only their bytes' letters are looked up."""
+        merge = self.model.tokenize
+        for p in pieces:
+            spelt = p if p.isascii() else p.encode().decode("latin-1").translate(_SPELLING)
+            yield [t.id for t in merge(spelt)]
+
+    def _learn(self, pieces: list[list[str]], ids_of) -> None:
         new = set(filterfalse(self.known.__contains__, chain.from_iterable(pieces)))
         again = new & self.older.keys()
         self.known.update((p, self.older[p]) for p in again)
         new = list(new - again)
-        for piece, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[piece] = array("I", coded.ids).tobytes()
+        for piece, ids in zip(new, ids_of(new), strict=True):
+            self.known[piece] = array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
@@ -65,8 +79,8 @@ class WordTokenizer:
                 pieces = [p for p in _GAPS.split(text) if p]
                 others.append(pieces)
             every.append(pieces)
-        self._learn(split, self.bare)
-        self._learn(others, self.whole)
+        self._learn(split, self._bare)
+        self._learn(others, self._whole)
         ids = self.known.__getitem__
         return [b"".join(map(ids, pieces)) for pieces in every]
 
