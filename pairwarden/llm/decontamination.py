@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairwarden.session import stage
 
@@ -112,60 +111,66 @@ def _pattern_blocks(benchmark: DataFrame, id_col: str, text_col: str, max_words:
         yield [(r.item, r.text.encode()) for r in (items if n == 1 else items.filter(block == k)).collect()]
 
 
-_FOUND = "n_words long, spans array<int>, items array<string>"
+def _find(machines: list[WuManber], text: bytes | None) -> tuple[int, list, set]:
+    """Words of a text, spans of occurrences, items met (as text)."""
+    doc = words(text or b"")
+    spans, items = [], set()
+    for machine in machines:
+        machine.search(doc, spans, items)
+    return len(doc), spans, {str(i) for i in items if i is not None}
 
 
 def _search(patterns, window: int):
-    """Column function: words of a text, spans of occurrences (flat), items met."""
+    """Column function: spans (flat) and items of one block of patterns."""
 
-    @F.arrow_udf(_FOUND)
+    @F.arrow_udf("spans array<int>, items array<string>")
     def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machines = searchers(patterns.value, window)
         for batch in texts:
-            counts, spans, items = [], [], []
-            for text in batch.cast(pa.binary()).to_pylist():
-                doc = words(text or b"")
-                own_spans, own_items = [], set()
-                for machine in machines:
-                    machine.search(doc, own_spans, own_items)
-                counts.append(len(doc))
-                spans.append([x for span in own_spans for x in span])
-                items.append([str(i) for i in own_items if i is not None])
+            found = [_find(machines, t) for t in batch.cast(pa.binary()).to_pylist()]
             yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())),
-                 pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
+                [pa.array([[x for span in f[1] for x in span] for f in found], pa.list_(pa.int32())),
+                 pa.array([sorted(f[2]) for f in found], pa.list_(pa.string()))], names=["spans", "items"])
 
     return search
 
 
-_SETTLED = T.StructType([
-    T.StructField("n_hit", T.LongType()),
-    T.StructField("n_items", T.LongType()),
-    T.StructField("items_sha256", T.StringType()),
-    T.StructField("items", T.ArrayType(T.StringType())),
+_SETTLED = pa.struct([
+    ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()),
+    ("items", pa.list_(pa.string())), ("contaminated", pa.bool_()),
 ])
 
 
-@F.arrow_udf(_SETTLED)
-def _settle(spans: pa.Array, items: pa.Array) -> pa.Array:
-    """Words covered by any span; the items in string order."""
-    hits, counts, digests, ordered = [], [], [], []
-    for own, found in zip(spans.to_pylist(), items.to_pylist(), strict=True):
-        edges = np.array(own, np.int64).reshape(-1, 2)
-        if len(edges):
-            cover = np.zeros(edges.max() + 1, np.int64)
-            np.add.at(cover, edges[:, 0], 1)
-            np.add.at(cover, edges[:, 1], -1)
-            hits.append(int((np.cumsum(cover) > 0).sum()))
-        else:
-            hits.append(0)
-        found = sorted(set(found))
-        counts.append(len(found))
-        digests.append(hashlib.sha256(",".join(found).encode()).hexdigest())
-        ordered.append(found)
-    return pa.StructArray.from_arrays(
-        [pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
-         pa.array(ordered, pa.list_(pa.string()))], names=["n_hit", "n_items", "items_sha256", "items"])
+def _last_search(patterns, window: int):
+    """Column function: the last block, and all findings together with those of the blocks before."""
+
+    @F.arrow_udf("n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, "
+                 "contaminated boolean")
+    def settle(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        machines = searchers(patterns.value, window)
+        for texts, spans, items in columns:
+            out = []
+            for text, earlier, known in zip(
+                texts.cast(pa.binary()).to_pylist(), spans.to_pylist(), items.to_pylist(), strict=True
+            ):
+                n, own, found = _find(machines, text)
+                hit = _covered(np.array([*earlier, *(x for span in own for x in span)], np.int64))
+                ids = sorted(found.union(known))
+                out.append({"n_words": n, "n_hit": hit, "n_items": len(ids), "items": ids, "contaminated": hit > 0,
+                            "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest()})
+            yield pa.array(out, _SETTLED)
+
+    return settle
+
+
+def _covered(edges: np.ndarray) -> int:
+    """Words inside any of the spans (start, end, start, end ...)."""
+    if not len(edges):
+        return 0
+    cover = np.zeros(edges.max() + 1, np.int64)
+    np.add.at(cover, edges[::2], 1)
+    np.add.at(cover, edges[1::2], -1)
+    return int((np.cumsum(cover) > 0).sum())
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "contamination",
@@ -177,23 +182,17 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "con
     No row is shuffled: patterns are broadcast, at most ``max_words`` words a pass.
     """
     context = docs.sparkSession.sparkContext
-    found = docs
-    text = F.col(text_col).cast("string")
+    found, text = docs, F.col(text_col).cast("string")
+    spans, items = F.array().cast("array<int>"), F.array().cast("array<string>")
     passes: list[str] = []
-    for patterns in _pattern_blocks(benchmark, "item_id", "text", max_words):
-        if passes:
-            found = stage(found, "searched")
+    blocks = _pattern_blocks(benchmark, "item_id", "text", max_words)
+    patterns = next(blocks)
+    for following in blocks:
         passes.append(f"_found_{column}_{len(passes)}")
-        found = found.withColumn(passes[-1], _search(context.broadcast(patterns), window)(text))
-    settled = _settle(
-        F.flatten(F.array(*[f"{p}.spans" for p in passes])), F.flatten(F.array(*[f"{p}.items" for p in passes]))
-    )
-    done = f"_settled_{column}"
-    return found.withColumn(done, settled).select(
-        *docs.columns,
-        F.struct(
-            F.col(f"{passes[0]}.n_words"), F.col(f"{done}.n_hit"), F.col(f"{done}.n_items"),
-            F.col(f"{done}.items_sha256"), F.col(f"{done}.items"),
-            (F.col(f"{done}.n_hit") > 0).alias("contaminated"),
-        ).alias(column),
-    )
+        found = stage(found.withColumn(passes[-1], _search(context.broadcast(patterns), window)(text)), "searched")
+        patterns = following
+    if passes:
+        spans = F.flatten(F.array(*[f"{p}.spans" for p in passes]))
+        items = F.flatten(F.array(*[f"{p}.items" for p in passes]))
+    settled = _last_search(context.broadcast(patterns), window)(text, spans, items)
+    return found.withColumn(column, settled).select(*docs.columns, column)

@@ -36,8 +36,8 @@ from pairwarden.llm.tables import cuts, narrow, power_of_two, record, rows_of
 from pairwarden.session import stage
 
 SEED = 42
-_STEP = 1024  # fingerprints expanded at once
-_BUCKET_VARIANTS = 1 << 21
+_STEP = 512  # fingerprints expanded at once
+_BUCKET_VARIANTS = 1 << 20
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -119,13 +119,13 @@ def _meet(max_distance: int):
     def meet(group: pa.Table) -> pa.Table:
         variants = np.frombuffer(b"".join(group.column("variants").to_pylist()), np.uint64)
         flips = np.frombuffer(b"".join(group.column("flips").to_pylist()), np.uint16)
-        order = np.argsort(variants, kind="stable")
-        variants, flips = variants[order], flips[order]
-        ends = cuts(variants)
-        size = np.diff(ends)
+        order = np.argsort(variants)
+        variants = variants[order]
+        same = variants[1:] == variants[:-1]
+        wanted = np.flatnonzero(np.r_[same, False] | np.r_[False, same])  # few: variants that meet
+        variants, flips = variants[wanted], flips[order[wanted]]
+        size = np.diff(cuts(variants))
         place = np.repeat(np.arange(len(size)), size)
-        wanted = size[place] > 1
-        variants, flips, place = variants[wanted], flips[wanted], place[wanted]
         fps = variants ^ masks(max_distance, False)[flips]
         # centre: the entry with the fewest flipped bits at each variant, if it is of the inner radius
         order = np.lexsort((flips, place))
