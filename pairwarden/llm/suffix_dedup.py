@@ -40,7 +40,7 @@ from pairwarden.llm.substring_dedup import smallest
 from pairwarden.llm.tables import NO_ID, cuts, narrow, power_of_two, rank, record, rows_of, text_bytes
 
 WINDOW = 50
-SEED = 16
+SEED = 20
 LONGEST = 64  # windows of a segment; an owner's answer is one bit each
 HOT_PARTS = 512  # a seed in more than this part of the documents is hot
 _BLOCK = 1 << 20  # bytes hashed at once
