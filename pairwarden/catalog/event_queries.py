@@ -29,7 +29,7 @@ def all_logs(spark, folder):
 
 def kept_logs(spark, folder):
     hits = raw_log_hits(spark, folder)
-    return without_source(enrich_logs(hits, t.devices(spark, folder)))
+    return without_source(enrich_logs(hits, t.devices(spark, folder)), "L009")
 
 
 def kept_packets(spark, folder):

@@ -160,7 +160,7 @@ _SAME_SIDES = ", ".join(
       left join same_kind k on {_KNOWN_PAIR}""", "", _X, f"select 2 * ({_VOCAB})", 1)))
 def samekind_train(spark, folder):
     return _fit_summary(samekind.train_same_kind(
-        t.tables(spark, folder), t.LOG_COLS, t.START, t.END, t.RUN_TIME, skip_n=2))
+        t.tables(spark, folder), t.LOG_COLS, t.START, t.END, t.RUN_TIME, skip_n=2, exclusion_source="L009"))
 
 
 @query("samekind_pairs", with_ctes(
@@ -180,8 +180,9 @@ def samekind_train(spark, folder):
 def samekind_pairs(spark, folder):
     tables = t.tables(spark, folder)
     fitted = samekind.train_same_kind(
-        tables, t.LOG_COLS, t.START, t.END, t.RUN_TIME, balanced=False)
-    found = samekind.predict_same_kind(tables, fitted.model, t.START, t.END, t.RUN_TIME)
+        tables, t.LOG_COLS, t.START, t.END, t.RUN_TIME, balanced=False, exclusion_source="L009")
+    found = samekind.predict_same_kind(
+        tables, fitted.model, t.START, t.END, t.RUN_TIME, exclusion_source="L009")
     return _rounded(found, "ai_rmse", "ai_rmse_scaled")
 
 
@@ -222,7 +223,7 @@ def _active(spark, folder):
     """Enriched log and packet events of active rules."""
     rules = t.rules(spark)
     hits = log_hits(t.logs(spark, folder), R.load_rules(R.select_rules(rules, R.LOG, True)), t.START, t.END)
-    logs = without_source(enrich_logs(hits, t.devices(spark, folder)))
+    logs = without_source(enrich_logs(hits, t.devices(spark, folder)), "L009")
     packet_rules = R.load_rules(R.select_rules(rules, R.PACKET, True))
     return {"log": logs, "packet": packet_events(t.packets(spark, folder), packet_rules, t.START, t.END)}
 

@@ -36,7 +36,7 @@ def enrich_logs(hits: DataFrame, devices: DataFrame) -> DataFrame:
     )
 
 
-def without_source(logs: DataFrame, source: str = "L009") -> DataFrame:
+def without_source(logs: DataFrame, source: str) -> DataFrame:
     """Rule hits that are not of the exclusion source; a row says so itself, no join is needed."""
     return logs.filter(~F.col("source").eqNullSafe(source))
 

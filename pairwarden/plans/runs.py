@@ -70,7 +70,7 @@ def run_correlation(
 
 def run_same_kind(
     tables: correlation.Tables, models: str, results: str, start, end, run_time: datetime,
-    exclusion_source: str = "L009",
+    exclusion_source: str | None = None,
 ) -> None:
     """Log-log prediction."""
     spark = tables.logs.sparkSession

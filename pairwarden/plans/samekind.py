@@ -26,10 +26,12 @@ from pairwarden.session import stage
 FIXED_THRESHOLD = 0.017396
 
 
-def _logs(tables: Tables, start, end, exclusion_source: str) -> DataFrame:
+def _logs(tables: Tables, start, end, exclusion_source: str | None) -> DataFrame:
     rules = load_rules(select_rules(tables.rules, LOG, active_only=True))
     hits = log_hits(tables.logs, rules, start, end)
-    return enrich_logs(without_source(hits, exclusion_source), tables.devices)
+    if exclusion_source:
+        hits = without_source(hits, exclusion_source)
+    return enrich_logs(hits, tables.devices)
 
 
 def _features(size: int):
@@ -41,7 +43,7 @@ def _features(size: int):
 
 def train_same_kind(
     tables: Tables, log_cols: Sequence[str], start, end, run_time: datetime, skip_n: int = 1,
-    k: int = 0, balanced: bool = True, model_id: int = 2, exclusion_source: str = "L009",
+    k: int = 0, balanced: bool = True, model_id: int = 2, exclusion_source: str | None = None,
 ) -> Fitted:
     """Fit the pair model on log pairs of a common multi-rule.
 
@@ -67,7 +69,7 @@ def train_same_kind(
 
 def predict_same_kind(
     tables: Tables, model: PairModel, start, end, run_time: datetime,
-    threshold: float = FIXED_THRESHOLD, exclusion_source: str = "L009",
+    threshold: float = FIXED_THRESHOLD, exclusion_source: str | None = None,
 ) -> DataFrame:
     """Scored adjacent log pairs; the label finally follows the multi-rule id."""
     logs = _logs(tables, start, end, exclusion_source)

@@ -29,7 +29,6 @@ RULE = _struct("rule_id:l kind:i source:s state:s predicate:s")
 RULE_MAP = _struct("multi_id:l rule_id:l kind:i state:s")
 CATALOGUE = _struct("tag_name:s type:s")
 VERSIONS = _struct("version:t n_files:l")
-PREFIXES = _struct("prefix:s unit_type:s unit_id:s operate_info_id:s")
 
 SINGLE_EVENT = _struct("time:t ip:s type:s single_rule:l hash:s version:t id:s milli_time:s")
 PAIR_RESULT = _struct(
