@@ -160,7 +160,7 @@ def test_language_dictionaries_are_bounded(shipped):
     assert set(fitted) == {"en", "de", "fr"} and all(0 < len(d) <= 500 for d in fitted.values())
     nothing = identify(docs, docs.filter("false")).select("language.*").collect()
     assert {r.lang_pred for r in nothing} == {"und"}
-    assert letters("Ab, ab!! AB x1x") == "ab x x" or letters("Ab, ab!! AB x1x") == "ab x"
+    assert letters("Ab, ab!! AB x1x y") == "ab x y"
 
 
 def _toxic_rows():
