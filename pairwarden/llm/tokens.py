@@ -15,7 +15,7 @@ import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-MAX_CACHED_PIECES = 250_000
+MAX_CACHED_PIECES = 350_000
 
 # The splitting pattern of the word tokenizer, for letters and numbers of Latin-1.
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
