@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairwarden.llm.repeats import mixed
 from pairwarden.llm.tables import record
 from pairwarden.session import stage
 
@@ -41,6 +42,9 @@ WORD_GROUPS = 6
 STEM_GROUPS = 4
 MAX_LEXICON = 2_000
 MAX_LABELLED = 500_000
+MIN_HASHES = 32
+MIN_ALIKE = 0.625  # of the smallest hashes, so that two texts count as near copies
+MEETINGS = 4
 _FLUSH_TOKENS = 200_000
 
 # Insults by language.
@@ -95,20 +99,26 @@ def _count_features(wanted):
     return count
 
 
-def _family():
-    """Column function: smallest hash of three neighbouring words, the same for most near copies."""
+def _prints():
+    """Column function: for each of ``MIN_HASHES`` orders of all hashes the smallest hash of three neighbouring words.
 
-    @F.arrow_udf("long")
-    def family(texts: pa.Array) -> pa.Array:
+    Two texts agree in a share of them that estimates how many of their three-word sequences they share.
+    """
+
+    @F.arrow_udf("array<int>")
+    def prints(texts: pa.Array) -> pa.Array:
         of = xxhash.xxh3_64_intdigest
-        out = []
-        for text in texts.to_pylist():
+        orders = np.random.default_rng(0).integers(0, 2**64, MIN_HASHES, np.uint64)
+        out = np.empty((len(texts), MIN_HASHES), np.int32)
+        for row, text in enumerate(texts.to_pylist()):
             words = tokens(text)
-            least = min((of(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
-            out.append(least - 2**63)
-        return pa.array(out, pa.int64())
+            n = max(1, len(words) - 2)
+            own = np.fromiter((of(" ".join(words[i : i + 3])) for i in range(n)), np.uint64, n)
+            least = np.array([mixed(own ^ order).min() for order in orders], np.uint64)
+            out[row] = least.astype(np.uint32).view(np.int32)  # low half: evenly spread, unlike the high one
+        return pa.ListArray.from_arrays(np.arange(0, out.size + 1, MIN_HASHES, np.int32), out.ravel())
 
-    return family
+    return prints
 
 
 def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
@@ -154,22 +164,35 @@ def fit_lexicon(labelled: DataFrame, min_z: float = MIN_Z) -> Lexicon:
 
 
 def _families(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(text, toxic) of labelled rows, one of each family of near copies.
+    """(text, toxic) of labelled rows, one of each family of near copies with one label.
 
-    Near copies (same smallest hash of three words) count once, else the rare words of a text with many
-    copies would look typical. At most about ``MAX_LABELLED`` labels, chosen by hash, are used; so many
-    ids are broadcast, and no text is shuffled or written.
+    Near copies count once, else the rare words of a text with many copies would look typical. In each round
+    rows with one label meet by one of their smallest hashes; those that agree with the first of them in
+    ``MIN_ALIKE`` of all their smallest hashes are left out. Whatever else meets there stays, and a text that
+    stays keeps its own label. At most about ``MAX_LABELLED`` labels, chosen by hash, are used; so many ids are
+    broadcast, and no text is shuffled or written.
     """
     share = min(1.0, MAX_LABELLED / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    families = (
+    kept = (
         rows.join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "toxic", _family()("text").alias("family"))
-        .groupBy("family")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+        .select("doc_id", F.xxhash64("text").alias("text_hash"), "toxic", _prints()("text").alias("prints"))
+        .groupBy("toxic", "prints")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
     )
-    one = stage(families.select("doc_id", "toxic"), "families")
-    return rows.join(F.broadcast(one), "doc_id").select("text", "toxic")
+    for at in range(MEETINGS):
+        kept = stage(kept.withColumn("met", F.col("prints")[at]), "families")
+        first = kept.groupBy("toxic", "met").agg(F.min(F.struct("row", "prints")).alias("first"))
+        same = F.zip_with("prints", "first.prints", lambda a, b: (a == b).cast("int"))
+        alike = F.aggregate(same, F.lit(0), lambda total, one: total + one)
+        kept = (
+            kept.join(first, ["toxic", "met"])
+            .filter((F.col("row") == F.col("first.row")) | (alike < int(MIN_ALIKE * MIN_HASHES)))
+            .select("toxic", "prints", "row")
+        )
+    one = stage(kept.select("row.*", "toxic"), "families")
+    return rows.withColumn("text_hash", F.xxhash64("text")).join(F.broadcast(one), ["doc_id", "text_hash"]).select(
+        "text", "toxic")
 
 
 #: Voters in the order of their bits; all vote toxic but the last.

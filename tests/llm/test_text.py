@@ -25,6 +25,7 @@ from pairwarden.llm.toxicity import (
     VOTERS,
     Lexicon,
     _correlated,
+    _families,
     fit_classifier,
     fit_label_model,
     score_toxicity,
@@ -193,6 +194,24 @@ def test_toxicity_on_held_out_rows(shipped):
     assert all(r.predicted == 0 for r in got if r.doc_id in (2000, 2001))
 
 
+def test_only_near_copies_with_one_label_are_a_family(shipped):
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(3000)]
+    passage = rng.sample(words, 14)
+    texts = [passage + rng.sample(words, 12) for _ in range(60)]  # share a passage, are no copies
+    rows = [(i, " ".join(t), i % 2) for i, t in enumerate(texts)]
+    copied = rng.sample(words, 80)
+    for i in range(100, 140):  # near copies, two of them with the other label
+        rows.append((i, " ".join([*copied[: i - 80], "changed", *copied[i - 79 :]]), int(i in (100, 120))))
+    docs = shipped.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    marks = shipped.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = [(r.text, r.toxic) for r in _families(docs, marks).collect()]
+    assert set(got) <= {(t, y) for _, t, y in rows}
+    assert sorted(g for g in got if passage[0] in g[0].split() and "changed" not in g[0]) == sorted(
+        (t, y) for i, t, y in rows if i < 100)
+    assert sorted(y for t, y in got if "changed" in t) == [0, 1]
+
+
 def test_toxicity_without_labels_or_rows(shipped):
     docs = shipped.createDataFrame([(1, "moron"), (2, None)], "doc_id long, text string")
     marks = shipped.createDataFrame([], "doc_id long, toxic int")
