@@ -9,8 +9,8 @@ Before compression texts are lower-cased, anything but letters becomes one space
 word that is repeated at once is kept once. Texts without a letter are ``und``. Ties go to the
 language with more training rows.
 
-The fit reads all labelled rows to count languages and takes its excerpts from a bounded,
-hash-chosen sample: ``sample_rows`` expected rows a language, at most ``max_languages``
+The fit reads all labelled rows to count languages and their different texts and takes its excerpts from
+a bounded, hash-chosen sample: ``sample_rows`` expected different texts a language, at most ``max_languages``
 languages (the most frequent), ``dictionary_bytes`` each.
 """
 
@@ -54,11 +54,15 @@ def fit_dictionaries(train: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,
                      max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
     """Dictionary of each language of ``train`` (text, lang), most frequent language first."""
     known = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = (
+        known.groupBy("lang", F.xxhash64("text").alias("h")).count()  # copies count once in the sample
+        .groupBy("lang").agg(F.sum("count").alias("rows"), F.count("*").alias("texts"))
+        .orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
+    )
     if not counts:
         return {}
     spark = train.sparkSession
-    shares = spark.createDataFrame([(r.lang, min(1.0, sample_rows / r["count"])) for r in counts],
+    shares = spark.createDataFrame([(r.lang, min(1.0, sample_rows / r.texts)) for r in counts],
                                    "lang string, share double")
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
     room = F.greatest(F.length("text") - EXCERPT_CHARS, F.lit(1))

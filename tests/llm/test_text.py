@@ -164,6 +164,17 @@ def test_language_dictionaries_are_bounded(shipped):
     assert letters("Ab, ab!! AB x1x y") == "ab x y"
 
 
+def test_copies_do_not_shrink_the_sample_of_a_language(shipped):
+    rows = [(t, lang) for _, t, lang in _language_rows() if t and lang]
+    own = {t for t, lang in rows if lang == "de"}
+    docs = shipped.createDataFrame(rows, "text string, lang string")
+    copies = shipped.range(20_000).select(F.lit("der ein zu").alias("text"), F.lit("de").alias("lang"))
+    fitted = fit_dictionaries(docs.union(copies), sample_rows=60)
+    assert list(fitted)[0] == "de"  # most rows
+    parts = sum(letters(t[:300]).encode()[:40] in fitted["de"] for t in own if len(t) <= 300)
+    assert len(fitted["de"]) > len(fitted["fr"]) / 2 and parts > 5
+
+
 def _toxic_rows():
     rng = random.Random(12)
     plain = ["".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(300)]
