@@ -10,8 +10,9 @@ word that is repeated at once is kept once. Texts without a letter are ``und``.
 language with more training rows.
 
 The fit reads all labelled rows to count languages and their different texts and takes its excerpts from
-a bounded, hash-chosen sample: ``sample_rows`` expected different texts a language, at most ``max_languages``
-languages (the most frequent), ``dictionary_bytes`` each.
+a bounded, hash-chosen sample: ``sample_rows`` expected different texts and ``dictionary_bytes`` a
+language. Every language has a dictionary. Where all of them would take more than ``total_bytes``, each
+has its part of that, and as much smaller a sample.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 DICTIONARY_BYTES = 256 << 10
 EXCERPT_CHARS = 300
 SAMPLE_ROWS = 1500
-MAX_LANGUAGES = 256
+TOTAL_BYTES = 64 << 20  # of all dictionaries
+LEAST_ROWS = 30  # expected of any language, so that none is missed by chance
 MIN_MARGIN = 0.003
 _BLOCK_BYTES = 2048
 _LEVEL = 5
@@ -51,18 +53,20 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 
 def fit_dictionaries(train: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,
                      sample_rows: int = SAMPLE_ROWS,
-                     max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
+                     total_bytes: int = TOTAL_BYTES) -> dict[str, bytes]:
     """Dictionary of each language of ``train`` (text, lang), most frequent language first."""
     known = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     counts = (
         known.groupBy("lang", F.xxhash64("text").alias("h")).count()  # copies count once in the sample
         .groupBy("lang").agg(F.sum("count").alias("rows"), F.count("*").alias("texts"))
-        .orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
+        .orderBy(F.desc("rows"), "lang").collect()
     )
     if not counts:
         return {}
+    own_bytes = max(1, min(dictionary_bytes, total_bytes // len(counts)))
+    own_rows = max(1, sample_rows * own_bytes // dictionary_bytes)
     spark = train.sparkSession
-    shares = spark.createDataFrame([(r.lang, min(1.0, sample_rows / r.texts)) for r in counts],
+    shares = spark.createDataFrame([(r.lang, min(1.0, max(LEAST_ROWS, own_rows) / r.texts)) for r in counts],
                                    "lang string, share double")
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
     room = F.greatest(F.length("text") - EXCERPT_CHARS, F.lit(1))
@@ -74,12 +78,12 @@ def fit_dictionaries(train: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES,
                             F.lit(EXCERPT_CHARS)).alias("excerpt"))
         .distinct()
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))  # of the sample
-        .filter(F.col("n") <= 2 * sample_rows)
+        .filter(F.col("n") <= 2 * own_rows)
     )
     held: dict[str, list[bytes]] = {r.lang: [] for r in counts}
     for row in sample.orderBy("lang", "h").collect():
         held[row.lang].append(letters(row.excerpt).encode())
-    return {lang: b" ".join(parts)[:dictionary_bytes] for lang, parts in held.items() if any(parts)}
+    return {lang: b" ".join(parts)[:own_bytes] for lang, parts in held.items() if any(parts)}
 
 
 _PREDICTION = "lang_pred string, score double, margin double, rejected boolean"

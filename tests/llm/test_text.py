@@ -175,6 +175,18 @@ def test_copies_do_not_shrink_the_sample_of_a_language(shipped):
     assert len(fitted["de"]) > len(fitted["fr"]) / 2 and parts > 5
 
 
+def test_every_language_has_a_dictionary(shipped):
+    rng = random.Random(14)
+    rows = []
+    for i in range(300):
+        stems = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(20)]
+        rows += [(" ".join(rng.choice(stems) for _ in range(40)), f"l{i}") for _ in range(3)]
+    docs = shipped.createDataFrame(rows, "text string, lang string")
+    assert len(fit_dictionaries(docs)) == 300
+    fitted = fit_dictionaries(docs, total_bytes=300 * 200)
+    assert len(fitted) == 300 and all(0 < len(d) <= 200 for d in fitted.values())
+
+
 def _toxic_rows():
     rng = random.Random(12)
     plain = ["".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(300)]
