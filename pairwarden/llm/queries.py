@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from pairwarden.llm import sql
 from pairwarden.llm.decontamination import mark_contamination
+from pairwarden.llm.divergence import divergence_audit
 from pairwarden.llm.exact_dedup import exact_duplicates
 from pairwarden.llm.language_id import held_out, identify
 from pairwarden.llm.line_dedup import drop_repeated_lines
+from pairwarden.llm.manifest import merkle_manifest
+from pairwarden.llm.nearest import nearest_by_product
 from pairwarden.llm.packing import pack_powers
 from pairwarden.llm.shipping import prepare
 from pairwarden.llm.simhash_dedup import near_duplicates
@@ -76,6 +79,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_by_product(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle_manifest(documents(spark, sf_dir), tampered).drop("lang", "idx")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(documents(spark, sf_dir), min_docs=30, top=50)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -87,6 +105,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_nearest": op11_nearest,
+    "op12_manifest": op12_manifest,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -95,4 +116,6 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": sql.OP6,
     "op9_substring_dedup": sql.OP9,
     "op10_decontamination": sql.OP10,
+    "op12_manifest": sql.OP12,
+    "op13_divergence": sql.OP13,
 }

@@ -123,3 +123,106 @@ select doc.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_i
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join hits on doc.doc_id = hits.doc_id left join items on doc.doc_id = items.doc_id
 """
+
+_CRC = """
+xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ord(c)::bigint)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)),
+    lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295)
+"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of binary trees above ``name``0 (tree, idx, hash), one after the other."""
+    steps = (
+        f"""{name}{k + 1} as (
+  select tree, idx // 2 as idx, case when max(n) > 1 then sha256(string_agg(hash, '' order by idx)) else max(hash) end as hash
+  from (select *, count(*) over (partition by tree) as n from {name}{k}) group by tree, idx // 2
+)"""
+        for k in range(levels)
+    )
+    return ", ".join(steps)
+
+
+def _fold(name: str, tree: str, levels: int) -> str:
+    """``name``0 (r, tree, idx, node, proof) folded along the siblings of each level."""
+    steps = (
+        f"""{name}{k + 1} as (
+  select r, p.tree, p.idx // 2 as idx, proof || coalesce(s.hash, '') as proof,
+    case when t.n = 1 then node when s.hash is null then sha256(node)
+      when p.idx % 2 = 1 then sha256(s.hash || node) else sha256(node || s.hash) end as node
+  from {name}{k} p join (select tree, count(*) as n from {tree}{k} group by tree) t on p.tree = t.tree
+  left join {tree}{k} s on p.tree = s.tree and xor(p.idx, 1) = s.idx
+)"""
+        for k in range(levels)
+    )
+    return ", ".join(steps)
+
+
+_TREE_LEVELS, _TOP_LEVELS = 17, 6  # enough for 2^17 rows a language and 2^6 languages
+
+
+def _field(name: str) -> str:
+    return f"case when {name} is null then '-' else strlen({name}::varchar)::varchar || ':' || {name}::varchar end"
+
+
+OP12 = f"""
+with rows as (
+  select *, row_number() over () as r, case when lang is null then '' else '=' || lang end as tree from documents
+), hashed as (
+  select r, tree, doc_id, sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) as leaf,
+    case when doc_id is not null and ({_CRC}) % 7 = 0 then sha256({" || ".join(
+        map(_field, ("doc_id", "source", "lang", "(n_chars + 1)", "text")))}) end as tampered from rows
+), leaves as materialized (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf, r) - 1 as idx from hashed
+), t0 as (
+  select tree, idx, leaf as hash from leaves
+), {_tree("t", _TREE_LEVELS)}, u0 as (
+  select '' as tree, tree as name, row_number() over (order by tree) - 1 as idx, hash from t{_TREE_LEVELS}
+), {_tree("u", _TOP_LEVELS)}, f0 as (
+  select r, tree, idx, coalesce(tampered, leaf) as node, '' as proof from leaves
+), {_fold("f", "t", _TREE_LEVELS)}, g0 as (
+  select r, '' as tree, u0.idx as idx, node, proof from f{_TREE_LEVELS} f join u0 on f.tree = u0.name
+), {_fold("g", "u", _TOP_LEVELS)}
+select doc_id, leaf, u0.hash as subroot, top.hash as root, sha256(proof) as proof_sha256, node as folded_root,
+  node = top.hash as verified
+from leaves join g{_TOP_LEVELS} g on leaves.r = g.r join u0 on leaves.tree = u0.name cross join u{_TOP_LEVELS} top
+"""
+
+OP13 = rf"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), {_LOWER}) as t from documents
+), words as (
+  select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), kept as (
+  select lang, term from words group by lang, term having count(distinct r) >= 30
+), cells as (
+  select lang, source, term, count(*) as c from words semi join kept using (lang, term) group by all
+), groups as (
+  select lang, source, coalesce(sum(c), 0) as n from (select distinct lang, source from docs)
+  left join cells using (lang, source) group by all
+), sizes as (
+  select lang, count(*) as v from kept group by lang
+), dense as (
+  select lang, source, term, coalesce(c, 0) as c,
+    1 + (1000000000::hugeint * (coalesce(c, 0) + 5)) // (n + 5 * v) as p
+  from groups join kept using (lang) join sizes using (lang) left join cells using (lang, source, term)
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(c) + 5)) // (max(n) + 5 * max(v)) as q
+  from dense join (select lang, sum(n) as n from groups group by lang) using (lang) join sizes using (lang)
+  group by lang, term
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(d, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select x.lang, x.source, y.source as other, sum(abs(x.p - y.p)) as d
+    from dense x join dense y on x.lang = y.lang and x.term = y.term group by all
+  ) far on far.lang = a.lang and far.source = a.source and far.other = b.source
+  union all
+  select lang, source, 'term', term, p - q from dense join whole using (lang, term) where c > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank
+from ranked where part = 'pair' or rank <= 50
+"""
