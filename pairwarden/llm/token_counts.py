@@ -6,7 +6,8 @@ L or more, tokens left when every document is cut at L, tokens of documents that
 and the quantile that L is. Suffix sums run per block of lengths, plus one row per block,
 so no task holds the histogram.
 
-Null and empty texts have length 0. Every row counts, repeated ones too.
+Null and empty texts have length 0. Every row counts, repeated ones too. Texts may be of any
+length and kind, runs of millions of white-space characters included.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def encoded_lengths(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     """(doc_id, n_tokens) of every row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_tokenizer(path).encode_ordinary
+        encode = byte_tokenizer(path).encode
         for batch in batches:
             lengths = [len(encode(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -16,6 +16,11 @@ import public_tokenizers
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MAX_CACHED_PIECES = 350_000
+MAX_CACHED_CHARS = 64  # of a piece; so all that is remembered has a bounded size
+# Fixed value: the white space of the splitting pattern.
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_GAP = 100_000  # white-space characters that the pattern's matcher takes at once; its stack ends at a million
+_LONG_GAP = re.compile(rf"[{_SPACES}]{{{LONG_GAP},}}")
 
 # The splitting pattern of the word tokenizer, for letters and numbers of Latin-1.
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
@@ -29,12 +34,17 @@ _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SPELLING = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class WordTokenizer:
     """Ids of a tokenizer that drops white space and never joins text across it.
 
     A text is cut into pieces that the tokenizer handles independently: for Latin-1 texts
-    at its own splitting pattern, for others at ASCII white space. Each distinct piece is
-    encoded by the tokenizer once and remembered, up to a number of pieces.
+    at its own splitting pattern, for others at ASCII white space. Each distinct piece of at
+    most MAX_CACHED_CHARS characters is encoded by the tokenizer once and remembered, up to a
+    number of pieces; longer pieces and texts with special tokens are encoded where they occur.
     """
 
     def __init__(self, path: str, most: int = MAX_CACHED_PIECES):
@@ -43,7 +53,7 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.most, self.known, self.older = most, {}, {}
+        self.most, self.known, self.older, self.long = most, {}, {}, []
 
     def _whole(self, pieces: list[str]) -> Iterator[list[int]]:
         return (c.ids for c in self.whole.encode_batch_fast(pieces, add_special_tokens=False))
@@ -61,7 +71,13 @@ class WordTokenizer:
         self.known.update((p, self.older[p]) for p in again)
         new = list(new - again)
         for piece, ids in zip(new, ids_of(new), strict=True):
-            self.known[piece] = array("I", ids).tobytes()
+            self.known[piece] = _packed(ids)
+        self.long += [p for p in new if len(p) > MAX_CACHED_CHARS]
+
+    def _forget_long(self) -> None:
+        for piece in self.long:
+            del self.known[piece]
+        self.long = []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
@@ -70,9 +86,9 @@ class WordTokenizer:
         split, others, every = [], [], []
         for text in texts:
             if "<|" in text:  # special tokens may hold anything: the whole text is one piece
-                pieces = [text]
-                others.append(pieces)
-            elif _LATIN.fullmatch(text):
+                every.append(None)
+                continue
+            if _LATIN.fullmatch(text):
                 pieces = _PIECES.findall(text.lower())
                 split.append(pieces)
             else:
@@ -81,8 +97,14 @@ class WordTokenizer:
             every.append(pieces)
         self._learn(split, self._bare)
         self._learn(others, self._whole)
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in every]
+        out, ids = [], self.known.__getitem__
+        for text, pieces in zip(texts, every, strict=True):
+            if pieces is None:
+                out.append(_packed(next(self._whole([text]))))
+            else:
+                out.append(b"".join(map(ids, pieces)))
+        self._forget_long()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -91,18 +113,42 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+class ByteTokenizer:
+    """Byte-pair encoder of a rank file, for texts of any kind.
+
+    The matcher of the splitting pattern keeps a stack entry for each character of a run of
+    white space and fails beyond a million. Such a run is cut out as the pattern would: all of
+    it is one piece, but for a last character that a word follows.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        ranks = {}
+        with open(path, "rb") as lines:
+            for line in lines:
+                token, number = line.split()
+                ranks[base64.b64decode(token)] = int(number)
+        self._split = tiktoken.Encoding("split", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                        special_tokens={}).encode_ordinary
+        self._piece = tiktoken.Encoding("piece", pat_str="(?s:.+)", mergeable_ranks=ranks,
+                                        special_tokens={}).encode_ordinary
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) < LONG_GAP:
+            return self._split(text)
+        ids, start = [], 0
+        for gap in _LONG_GAP.finditer(text):
+            end = gap.end() if gap.end() == len(text) else gap.end() - 1
+            ids += self._split(text[start : gap.start()]) + self._piece(text[gap.start() : end])
+            start = end
+        return ids + self._split(text[start:])
+
+
 @lru_cache(maxsize=2)
-def byte_tokenizer(path: str):
-    """Byte-pair encoder of a rank file, one per worker."""
-    import tiktoken
-
-    ranks = {}
-    with open(path, "rb") as lines:
-        for line in lines:
-            token, number = line.split()
-            ranks[base64.b64decode(token)] = int(number)
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={})
+def byte_tokenizer(path: str) -> ByteTokenizer:
+    """One per worker and file."""
+    return ByteTokenizer(path)
 
 
 def as_ids(raw: bytes) -> np.ndarray:

@@ -20,7 +20,16 @@ from pairwarden.llm.token_counts import (
     length_histogram,
     length_quantile,
 )
-from pairwarden.llm.tokens import BYTE_BPE, WORD_BPE, as_ids, byte_tokenizer, word_tokenizer
+from pairwarden.llm import tokens
+from pairwarden.llm.tokens import (
+    BYTE_BPE,
+    MAX_CACHED_CHARS,
+    WORD_BPE,
+    WordTokenizer,
+    as_ids,
+    byte_tokenizer,
+    word_tokenizer,
+)
 from pairwarden.llm.toxicity import (
     VOTERS,
     Lexicon,
@@ -43,6 +52,41 @@ def test_word_tokenizer_equals_the_library():
     assert [as_ids(g).tolist() for g in got] == [w.ids for w in whole]
 
 
+def test_word_tokenizer_remembers_a_bounded_size():
+    """Texts with special tokens and texts without spaces are not remembered."""
+    tokenizer = WordTokenizer(WORD_BPE, most=1000)
+    whole = Tokenizer.from_file(WORD_BPE)
+    for n in range(40):
+        texts = [f"<|{n} " + "word " * 3000, f"{n}" + "日本語の文" * 2000, "é" * 5000 + str(n), f"plain words {n}"]
+        got = tokenizer.encode(texts)
+        assert [as_ids(g).tolist() for g in got] == [
+            w.ids for w in whole.encode_batch(texts, add_special_tokens=False)]
+    held = {**tokenizer.known, **tokenizer.older}
+    assert len(held) <= 1000 + 400 and all(len(p) <= MAX_CACHED_CHARS for p in held)
+    assert not tokenizer.long
+
+
+def test_byte_tokenizer_cuts_gaps_like_the_pattern(monkeypatch):
+    import re
+
+    encoder, rng = byte_tokenizer(BYTE_BPE), random.Random(1)
+    monkeypatch.setattr(tokens, "LONG_GAP", 3)
+    monkeypatch.setattr(tokens, "_LONG_GAP", re.compile(rf"[{tokens._SPACES}]{{3,}}"))
+    for _ in range(5000):
+        text = "".join(rng.choice(" \n\t\xa0\x85\x1c ab1!'s é日") for _ in range(rng.randint(0, 25)))
+        assert encoder.encode(text) == encoder._split(text)
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", "\t", "\xa0"])
+def test_token_counts_of_millions_of_blanks(make_docs, gap):
+    rows = [(1, "a" + gap * 5_000_000 + "b"), (2, gap * 1_500_000), (3, "plain")]
+    got = {r.doc_id: r.n_tokens for r in encoded_lengths(make_docs(rows)).collect()}
+    encoder = byte_tokenizer(BYTE_BPE)
+    short = {n: len(encoder._split(gap * n)) for n in (500_000, 400_000)}
+    assert got[3] == 1 and got[2] > 2 * short[500_000] and got[1] > 12 * short[400_000] - 10
+    assert all(n >= 5_000_000 / 128 for d, n in got.items() if d == 1)
+
+
 def test_packing(docs, rows):
     got = pack_powers(docs, with_ids=True, longest=64).collect()
     tokenizer = Tokenizer.from_file(WORD_BPE)
@@ -74,7 +118,7 @@ def test_piece_lengths():
 
 
 def test_token_counts(docs, rows):
-    encode = byte_tokenizer(BYTE_BPE).encode_ordinary
+    encode = byte_tokenizer(BYTE_BPE).encode
     lengths = sorted(len(encode(t or "")) for _, t in rows)
     totals = context_totals(length_histogram(encoded_lengths(docs))).cache()
     got = {r.n_tokens: r for r in totals.collect()}
