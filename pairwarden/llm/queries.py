@@ -22,6 +22,7 @@ from pairwarden.llm.substring_dedup import remove_repeats
 from pairwarden.llm.suffix_dedup import remove_long_repeats
 from pairwarden.llm.token_counts import context_totals, encoded_lengths, length_histogram
 from pairwarden.llm.toxicity import score_toxicity
+from pairwarden.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,8 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_totals(length_histogram(encoded_lengths(documents(spark, sf_dir))))
+    lengths = encoded_lengths(documents(spark, sf_dir))
+    return context_totals(stage(length_histogram(lengths), "lengths"))  # read twice
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
