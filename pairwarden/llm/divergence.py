@@ -29,8 +29,8 @@ from pairwarden.session import stage
 
 # Fixed value: runs of characters that belong to no term (ASCII without letters).
 GAP = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-HELD_TERMS = 300_000
-SHARD_NUMBERS = 250_000
+HELD_TERMS = 150_000
+SHARD_NUMBERS = 50_000
 SCALE = 1_000_000_000  # of shares
 PRIOR = 5
 _COUNTS = "lang string, source string, term string, n long, d long"
