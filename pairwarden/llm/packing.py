@@ -26,7 +26,7 @@ from pairwarden.llm.tables import narrow
 from pairwarden.llm.tokens import WORD_BPE, word_tokenizer
 from pairwarden.session import stage
 
-_STEP = 256  # texts encoded at once
+_STEP = 4096  # texts encoded at once; a batch has a few megabytes
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
@@ -44,10 +44,10 @@ def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
         for batch in batches:
             for at in range(0, batch.num_rows, _STEP):
                 part = batch.slice(at, _STEP)
-                texts = part.column(1).fill_null("").to_pylist()
                 docs, starts, lengths, sums, totals, numbers, pieces = [], [], [], [], [], [], []
-                for doc, raw in zip(part.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
-                    ids = raw + end
+                found, bounds = tokenizer.encode_column(part.column(1))
+                for n, doc in enumerate(part.column(0).to_pylist()):
+                    ids = found[bounds[n] : bounds[n + 1]].tobytes() + end
                     start = 0
                     own = piece_lengths(len(ids) // 4, longest)
                     for length in own:
