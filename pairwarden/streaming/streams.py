@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pairwarden.operators.rule_index import match_rules_indexed
 from pairwarden.operators.rules import Rule, match_rules
 from pairwarden.session import fresh_path, stage
 from pairwarden.sources.sinks import append_new
@@ -32,6 +33,11 @@ def stream_match_rules(stream: DataFrame, rules: list[Rule], time: str = "ts") -
     return match_rules(stream, rules, time)
 
 
+def stream_match_rules_indexed(stream: DataFrame, rules: list[Rule], time: str = "ts") -> DataFrame:
+    """The indexed rule match on a stream (stateless), for rules by the thousand."""
+    return match_rules_indexed(stream, rules, time)
+
+
 def _watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
     # watermarks need a zoned timestamp; the session runs in UTC
     return df.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", delay)
