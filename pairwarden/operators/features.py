@@ -87,25 +87,54 @@ def replicate(df: DataFrame, copies) -> DataFrame:
     )
 
 
+def _hashed_draw(seed: int, key: Sequence[str]) -> Column:
+    """Number of draw ``_k`` of a pattern: the first 60 bits of md5(seed|key|k), key values joined by ','."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.concat_ws(",", *[_text(c) for c in key]), F.col("_k").cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def draw_with_replacement(patterns: DataFrame, key: Sequence[str], top: int, seed: int) -> DataFrame:
+    """How often each place of a pattern (``key``, ``_n`` places) is drawn in ``top`` draws: key, _place, _drawn.
+
+    Draws are made in blocks that are spread over the tasks and counted where they are made, so
+    neither a pattern's draws nor its rows are ever written out.
+    """
+    blocks = patterns.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({top}L - 1) div {_BLOCK})")))
+    first = F.col("_block") * _BLOCK + 1
+    last = F.least(first + (_BLOCK - 1), F.lit(top).cast("long"))
+    draws = blocks.repartition(*key, "_block").withColumn("_k", F.explode(F.sequence(first, last)))
+    place = _hashed_draw(seed, key) % F.col("_n")
+    return draws.groupBy(*key, place.alias("_place")).agg(F.count(F.lit(1)).alias("_drawn"))
+
+
 def balance(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], keep_original: bool = False
+    df: DataFrame, key: Sequence[str], order: Sequence[str], keep_original: bool = False, seed: int | None = None
 ) -> DataFrame:
     """Balanced upsampling by pattern, as a ``copies`` column.
 
-    The largest pattern is kept as it is; the rows of every other one are drawn up to
-    that size in turn: each as often as the next, the first ones in ``order`` once more
-    to make up the rest. Draws stay counts: training weighs rows instead of storing
-    copies, and ``replicate`` writes them out where rows are wanted. ``keep_original``
-    adds the rows themselves.
+    The largest patterns are kept as they are; the rows of every other one are drawn up to
+    that size. With a ``seed`` they are drawn with replacement: draw k of a pattern takes the row
+    at place md5(seed, pattern, k) modulo the pattern's rows, in ``order``; some rows are
+    drawn often, others never (0 copies). Without one they take turns: each as often as the
+    next, the first ones in ``order`` once more to make up the rest.
+
+    Draws stay counts: training weighs rows instead of storing copies, and ``replicate`` writes
+    them out where rows are wanted. ``keep_original`` adds the rows themselves.
     """
     indexed, _ = number_rows(df, [*key, *order])
     patterns = stage(
         indexed.groupBy(*key).agg(F.min("idx").alias("_first"), F.count(F.lit(1)).alias("_n")), "patterns"
     )
     top = patterns.agg(F.max("_n")).first()[0] or 0
-    sizes = lookup_join(indexed, patterns, list(key), null_safe=True)
-    place = F.col("idx") - F.col("_first")
-    turns = F.expr(f"{top}L div _n") + (place < F.expr(f"{top}L % _n")).cast("long")
+    sizes = lookup_join(indexed, patterns, list(key), null_safe=True).withColumn(
+        "_place", F.col("idx") - F.col("_first")
+    )
+    if seed is None:
+        turns = F.expr(f"{top}L div _n") + (F.col("_place") < F.expr(f"{top}L % _n")).cast("long")
+    else:
+        drawn = draw_with_replacement(patterns.filter(F.col("_n") < top), key, top, seed)
+        sizes = lookup_join(sizes, stage(drawn, "draws"), [*key, "_place"], "left", null_safe=True)
+        turns = F.coalesce("_drawn", F.lit(0).cast("long"))
     copies = F.when(F.col("_n") == top, F.lit(1)).otherwise(turns).cast("long")
     return sizes.withColumn("copies", copies + 1 if keep_original else copies).select(*df.columns, "copies")
 

@@ -24,18 +24,21 @@ _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row num
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "idx") -> tuple[DataFrame, int]:
     """Add the 0-based position of each row in ``order``; also return the row count.
 
-    Rows equal in ``order`` are told apart by a fingerprint of the whole row, which
-    keeps the order total and lets range partitioning split a hot time or key.
-    Exact copies of a row stay together, so de-duplicate first where they abound.
+    Rows equal in ``order`` are told apart by a fingerprint of the whole row, and exact copies,
+    which are interchangeable, by the place they were staged at. So the order is total, and
+    range partitioning splits a hot time, a hot key and a hot row alike. The input is staged
+    first: range partitioning reads it twice, once for the bounds of its ranges.
     """
-    tie = F.xxhash64(*df.columns)
     keys = [F.col(c) for c in order]
+    first = stage(
+        df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_row", F.monotonically_increasing_id()),
+        "unordered",
+    )
     placed = (
-        df.withColumn("_tie", tie)
-        .repartitionByRange(*keys, "_tie")
-        .sortWithinPartitions(*keys, "_tie")
+        first.repartitionByRange(*keys, "_tie", "_row")
+        .sortWithinPartitions(*keys, "_tie", "_row")
         .withColumn("_place", F.monotonically_increasing_id())
-        .drop("_tie")
+        .drop("_tie", "_row")
     )
     staged = stage(placed, "ordered")
     part = F.shiftright("_place", _LOCAL_BITS)

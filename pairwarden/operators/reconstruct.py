@@ -1,6 +1,6 @@
-"""Linear reconstruction models: column means plus principal directions.
+"""Reconstruction of rows: linear models, and networks from ``autoencoder``.
 
-A row is reconstructed as mean + V V'(row - mean); with no components that is the
+A linear model reconstructs a row as mean + V V'(row - mean); with no components that is the
 column mean. Three input shapes share the idea: dense columns, look-back windows
 and one-hot positions.
 """
@@ -13,15 +13,25 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairwarden.operators.autoencoder import Network, restore_rows, score_network
+from pairwarden.operators.directions import (
+    MAX_BLOCK_NUMBERS,
+    PIECES,
+    add_blocks,
+    block_pieces,
+    dense_directions,
+    dense_product,
+    principal_directions,
+)
 from pairwarden.operators.lookup import lookup_join
 from pairwarden.operators.scoring import stable
-from pairwarden.session import stage
+from pairwarden.session import ship_package, stage
 
 
 @dataclass(frozen=True)
@@ -34,14 +44,32 @@ class Linear:
 
 def _fit_array(df: DataFrame, values: Column, k: int) -> Linear:
     vectors = df.select(array_to_vector(values).alias("features"))
-    means = vectors.agg(Summarizer.mean(F.col("features")).alias("m")).first()
-    if means.m is None or not len(means.m):
+    found = vectors.agg(Summarizer.mean(F.col("features")).alias("m"), F.count("*").alias("n")).first()
+    if found.m is None or not len(found.m):
         raise ValueError("no rows to fit")
-    components: list[list[float]] = []
-    if k:
-        fitted = PCA(k=k, inputCol="features", outputCol="parts").fit(vectors)
-        components = fitted.pc.toArray().T.tolist()
-    return Linear(means.m.toArray().tolist(), components)
+    means = found.m.toArray()
+    if not k:
+        return Linear(means.tolist())
+    rows = stage(df.select(values.alias("x")), "dense-rows")
+    return Linear(means.tolist(), dense_directions(rows, means, found.n, k).T.tolist())
+
+
+def fit_arrays(df: DataFrame, column: str, k: int = 0) -> Linear:
+    """Model over an array column, for tables with too many columns to name."""
+    return _fit_array(df, F.col(column).cast("array<double>"), k)
+
+
+def variances_along(df: DataFrame, column: str, model: Linear) -> tuple[float, list[float]]:
+    """(variance of all columns together, variance along each direction) of an array column."""
+    means = np.array(model.means)
+    rows = stage(df.select(F.col(column).cast("array<double>").alias("x")), "dense-rows")
+    n = rows.count()
+    block = np.array(model.components).T.reshape(len(means), -1)
+    along = dense_product(rows, means, n)(block)
+    spread = rows.select(F.aggregate(
+        F.zip_with("x", _numbers(model.means), lambda a, m: (a - m) * (a - m)), F.lit(0.0), lambda acc, v: acc + v
+    ).alias("d")).agg(F.sum("d")).first()[0]
+    return (spread or 0.0) / max(1, n), (block * along).sum(axis=0).tolist()
 
 
 def fit_reconstructor(df: DataFrame, cols: Sequence[str], k: int = 0) -> Linear:
@@ -73,10 +101,11 @@ def _restore(model: Linear, x: Column) -> Column:
     return out
 
 
-def reconstruct(model: Linear, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def reconstruct(model: Linear | Network, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Add ``x`` and ``xhat`` (arrays in column order)."""
     x = F.array(*[F.col(c).cast("double") for c in cols])
-    return df.withColumn("x", x).withColumn("xhat", _restore(model, F.col("x")))
+    restored = restore_rows(model, F.col("x")) if isinstance(model, Network) else _restore(model, F.col("x"))
+    return df.withColumn("x", x).withColumn("xhat", restored)
 
 
 def fit_window_reconstructor(df: DataFrame, window: str = "window", k: int = 0) -> Linear:
@@ -120,7 +149,7 @@ def fit_sparse(
     """Model over the positions of the ones of each row, rows counted ``weight`` times.
 
     Equal rows are counted first; means and directions are aggregates over the distinct
-    combinations. Directions come from block power iteration (``_directions``).
+    combinations. Directions come from products with the covariance (``directions``).
     """
     count = F.lit(1) if weight is None else F.col(weight)
     combos = stage(df.groupBy(F.col(features).alias("f")).agg(F.sum(count).cast("long").alias("n")), "combos")
@@ -138,8 +167,8 @@ def fit_sparse(
     means = ones.select("position", (F.col("n") / F.lit(total)).alias("mean"))
     if not k:
         return Sparse(size, means.withColumn("weights", F.array().cast("array<double>")), base, [])
-    if size * k > MAX_DIRECTION_NUMBERS:
-        raise ValueError(f"{size} positions x {k} directions exceed {MAX_DIRECTION_NUMBERS} numbers")
+    if size * k > MAX_BLOCK_NUMBERS:
+        raise ValueError(f"{size} positions x {k} directions exceed {MAX_BLOCK_NUMBERS} numbers")
     mu = np.zeros(size)
     for r in means.collect():  # at most size numbers, checked above
         mu[r.position] = r["mean"]
@@ -151,57 +180,35 @@ def fit_sparse(
     return Sparse(size, weights, base, (mu @ top).tolist())
 
 
-MAX_DIRECTION_NUMBERS = 8_000_000  # of the size x k block that is broadcast
-_ROUNDS, _EXTRA, _CLOSE = 200, 4, 1e-12
-
-
 def _directions(combos: DataFrame, mu: np.ndarray, total: int, k: int) -> np.ndarray:
     """First ``k`` principal directions of counted one-hot rows (size x k, largest variance first).
 
-    Each round multiplies a block of directions with the covariance: one job over the
-    distinct combinations, to which the block is broadcast. Nothing of size x size exists.
+    Each product with the covariance is one job over the distinct combinations.
     """
-    context = combos.sparkSession.sparkContext
-    size, width = len(mu), min(len(mu), k + _EXTRA)
-    block, _ = np.linalg.qr(np.random.default_rng(7).standard_normal((size, width)))
-    last = np.zeros(width)
-    for _ in range(_ROUNDS):
-        sent = context.broadcast(block)
-        parts = combos.mapInArrow(_multiply(sent), "position long, v array<double>")
-        summed = parts.groupBy("position").agg(
-            F.array(*[F.sum(F.col("v")[i]) for i in range(width)]).alias("v")
-        )
-        image = -np.outer(mu, mu @ block)
-        for r in summed.collect():
-            image[r.position] += np.array(r.v) / total
-        sent.unpersist()
-        inner = block.T @ image  # width x width
-        values, turn = np.linalg.eigh((inner + inner.T) / 2)
-        block, _ = np.linalg.qr(image @ turn[:, ::-1])
-        values = values[::-1]
-        if np.abs(values[:k] - last[:k]).max() <= _CLOSE * max(1e-300, abs(values[0])):
-            break
-        last = values
-    first = block[np.abs(block).argmax(axis=0), np.arange(width)]
-    return (block * np.where(first < 0, -1, 1))[:, :k]
-
-
-def _multiply(block):
+
+    ship_package(combos.sparkSession)
+
+    def multiply(block: np.ndarray) -> np.ndarray:
+        parts = combos.mapInArrow(_multiply(block), PIECES)
+        return add_blocks(parts).reshape(block.shape) / total - np.outer(mu, mu @ block)
+
+    _, block = principal_directions(multiply, len(mu), k)
+    return block
+
+
+def _multiply(block: np.ndarray):
     """Per task: sum of n x (x . block) over its rows, at the positions of the rows' ones."""
 
     def multiply(batches):
-        directions = block.value
-        image = np.zeros_like(directions)
+        image = np.zeros_like(block)
         for batch in batches:
             lists, n = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
-            for positions, weight in zip(lists.to_pylist(), n, strict=True):
-                if positions:
-                    image[positions] += weight * directions[positions].sum(axis=0)
-        some = np.flatnonzero(image.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(list(image[some]), pa.list_(pa.float64()))],
-            names=["position", "v"],
-        )
+            places = lists.flatten().to_numpy(zero_copy_only=False)
+            row = pc.list_parent_indices(lists).to_numpy()
+            along = np.zeros((len(lists), block.shape[1]))
+            np.add.at(along, row, block[places])
+            np.add.at(image, places, (along * n[:, None])[row])
+        yield block_pieces(image)
 
     return multiply
 
@@ -216,8 +223,34 @@ def score_sparse(
     """Root mean squared reconstruction error of each row.
 
     Each distinct combination is scored once and joined back, so the work over the
-    rows is one lookup; ``df`` is read twice and should be a stored frame. Terms are added in position order: equal rows get equal scores.
+    rows is one lookup; ``df`` is read twice and should be a stored frame. Terms are added
+    in position order: equal rows get equal scores.
     """
+    scores = _combination_errors(model, df, features).select(
+        F.col("f").alias(features), F.element_at("errors", -1).alias(name)
+    )
+    return lookup_join(df, stage(scores, "scores"), [features])
+
+
+def score_features(
+    model: Sparse | Network, df: DataFrame, features: str = "features", name: str = "ai_rmse"
+) -> DataFrame:
+    """Reconstruction error of each one-hot row, by either kind of model."""
+    if isinstance(model, Network):
+        return score_network(model, df, features, name)
+    return score_sparse(model, df, features, name)
+
+
+def prefix_losses(model: Sparse, df: DataFrame, features: str = "features", weight: str = "copies") -> list[float]:
+    """Mean error of the counted rows with the first 0, 1, ... directions, in one pass."""
+    errors = lookup_join(df, stage(_combination_errors(model, df, features), "prefix-errors").withColumnRenamed(
+        "f", features), [features])
+    means = [F.sum(F.col("errors")[i] * F.col(weight)) / F.sum(weight) for i in range(len(model.shift) + 1)]
+    return list(errors.agg(*means).first())
+
+
+def _combination_errors(model: Sparse, df: DataFrame, features: str) -> DataFrame:
+    """Errors of each distinct combination ``f`` with the first 0, 1, ... directions."""
     cells = (
         df.select(F.col(features).alias("f")).distinct()
         .select("f", F.explode_outer("f").alias("position"))
@@ -229,12 +262,11 @@ def score_sparse(
         F.collect_list(F.struct(F.coalesce("position", F.lit(-1)).alias("p"), gain.alias("g"), "weights"))
     )
     error = F.aggregate(F.col("terms"), F.lit(model.base), lambda acc, t: acc + t["g"])
+    errors = [error]
     for c, shift in enumerate(model.shift):
         part = F.transform("terms", _weight_of(c))
         along = F.aggregate(part, F.lit(-shift), lambda acc, w: acc + w)
         error = error - along * along
-    rmse = stable(F.sqrt(F.greatest(error, F.lit(0.0)) / model.size))
-    scores = known.groupBy("f").agg(terms.alias("terms")).select(
-        F.col("f").alias(features), rmse.alias(name)
-    )
-    return lookup_join(df, stage(scores, "scores"), [features])
+        errors.append(error)
+    rmse = [stable(F.sqrt(F.greatest(e, F.lit(0.0)) / model.size)) for e in errors]
+    return known.groupBy("f").agg(terms.alias("terms")).select("f", F.array(*rmse).alias("errors"))

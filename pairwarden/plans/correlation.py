@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, cross_kind, exclude_patterns, fill_missing
 from pairwarden.functions.times import at
+from pairwarden.operators.autoencoder import Training, fit_network
 from pairwarden.operators.features import balance, onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs, same_asset
-from pairwarden.operators.reconstruct import fit_sparse, score_sparse
+from pairwarden.operators.reconstruct import fit_sparse, prefix_losses, score_features
 from pairwarden.operators.reshape import single_events
 from pairwarden.operators.rules import LOG, PACKET, load_rules, rule_mapping, select_rules, symmetric_pairs
 from pairwarden.operators.scoring import label, mad_threshold, minmax_fit
@@ -116,35 +117,41 @@ class Fitted:
 
 def fit_pair_model(
     train: DataFrame, held: DataFrame, encoders, size: int, k: int, model_id: int, run_time: datetime,
-    balanced: bool = True, keep_original: bool = False,
+    balanced: bool = True, keep_original: bool = False, seed: int | None = None,
+    hidden: Sequence[tuple[int, str]] | None = None, how: Training = Training(),
 ) -> Fitted:
     """Fit, threshold and hold-out scores over pairs with ``features``.
 
+    With ``hidden`` layers the model is a network, and the history has its loss of each epoch;
+    else it is linear with ``k`` directions, and the history has the loss with 0, 1, ... of them.
+    ``seed`` balances by draws with replacement.
+
     After balancing, only the distinct feature combinations with their counts are
-    needed: the fit, the scores and the weighted medians run on those. Copies made to balance rule patterns are weights here. Copying all rows a fixed
-    number of times would change no mean, direction or median and is left out.
+    needed: the fit, the scores and the weighted medians run on those. Copies made to balance
+    rule patterns are weights here. Copying all rows a fixed number of times would change no
+    mean, direction or median and is left out.
     """
     if balanced:
         key = ["f_single_rule", "b_single_rule"]
-        weighted = balance(train, key, ["f_hash", "b_hash", "corr"], keep_original)
+        weighted = balance(train, key, ["f_hash", "b_hash", "corr"], keep_original, seed)
     else:
         weighted = train.withColumn("copies", F.lit(1).cast("long"))
-    combos = stage(weighted.groupBy("features").agg(F.sum("copies").alias("copies")), "train-combos")
-    losses = []
-    for parts in range(k + 1):
-        sparse = fit_sparse(combos, size, weight="copies", k=parts)
-        scored = stage(score_sparse(sparse, combos), "train-scores")
-        total, loss = scored.agg(
-            F.sum("copies"), F.sum(F.col("ai_rmse") * F.col("copies")) / F.sum("copies")
-        ).first()
-        losses.append(loss)
+    combos = weighted.filter("copies > 0").groupBy("features").agg(F.sum("copies").alias("copies"))
+    combos = stage(combos, "train-combos")
+    if hidden is None:
+        fitted = fit_sparse(combos, size, weight="copies", k=k)
+        losses = prefix_losses(fitted, combos)
+    else:
+        fitted, losses, _ = fit_network(combos, "features", size, "copies", hidden, "hard_sigmoid", how)
+    scored = stage(score_features(fitted, combos), "train-scores")
+    total = scored.agg(F.sum("copies")).first()[0]
     threshold = mad_threshold(scored, "ai_rmse", weight="copies")
-    model = PairModel(encoders, sparse, threshold, minmax_fit(scored, ["ai_rmse"])["ai_rmse"])
+    model = PairModel(encoders, fitted, threshold, minmax_fit(scored, ["ai_rmse"])["ai_rmse"])
     history = fit_history(
         train.sparkSession, model_id, "corr", run_time, run_time, losses, (total, size)
     )
     rest = stage(held.groupBy("features").agg(F.count(F.lit(1)).alias("copies")), "holdout-combos")
-    return Fitted(model, history, _distribution(scored), _distribution(score_sparse(sparse, rest)))
+    return Fitted(model, history, _distribution(scored), _distribution(score_features(fitted, rest)))
 
 
 def _distribution(scored: DataFrame) -> DataFrame:
@@ -153,9 +160,10 @@ def _distribution(scored: DataFrame) -> DataFrame:
 
 def train_correlation(
     tables: Tables, settings: CorrelationSettings, start, end, run_time: datetime,
-    k: int = 0, balanced: bool = True, model_id: int = 1,
+    k: int = 0, balanced: bool = True, model_id: int = 1, seed: int | None = None,
+    hidden: Sequence[tuple[int, str]] | None = None, how: Training = Training(),
 ) -> Fitted:
-    """Fit the pair model on multi-rule pairs of the time range."""
+    """Fit the pair model on multi-rule pairs of the time range; see ``fit_pair_model``."""
     logs, packets = _events(tables, start, end)
     if settings.exclusion_source:
         logs = without_source(logs, settings.exclusion_source)
@@ -172,7 +180,9 @@ def train_correlation(
     known = symmetric_pairs(rule_mapping(tables.mapping)).distinct()
     labelled = label_pairs(pairs, known).withColumn("features", _features())
     train, held = split_pairs(stage(labelled.drop("f_positions", "b_positions"), "train-pairs"))
-    return fit_pair_model(train, held, encoders, size, k, model_id, run_time, balanced)
+    return fit_pair_model(
+        train, held, encoders, size, k, model_id, run_time, balanced, seed=seed, hidden=hidden, how=how
+    )
 
 
 @dataclass(frozen=True)
@@ -270,7 +280,7 @@ def score_pairs(
         .na.drop("any")
     )
     matched = stage(same_asset(oriented, assets), "asset-pairs")
-    scored = score_sparse(model.sparse, matched).withColumn("ai_rmse_scaled", model.scaled("ai_rmse"))
+    scored = score_features(model.fitted, matched).withColumn("ai_rmse_scaled", model.scaled("ai_rmse"))
     labelled = label(scored, "ai_rmse", model.threshold, "within").withColumn("version", at(run_time))
     result = conform(labelled, PAIR_RESULT)
     return result if stored is None else new_rows(result, stored, ["f_hash", "b_hash"])

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, demote, different_site, text_of
 from pairwarden.functions.times import at, bucket
+from pairwarden.operators.autoencoder import Training, fit_network, score_network
+from pairwarden.operators.features import rule_space
 from pairwarden.operators.joins import attach_multi
 from pairwarden.operators.reconstruct import Linear, reconstruct
 from pairwarden.operators.reshape import count_matrix, stack
 from pairwarden.operators.rules import load_rules, rules_in_use, select_rules
-from pairwarden.operators.scoring import label, row_rmse, stable
+from pairwarden.operators.scoring import label, mad_threshold, minmax_fit, row_rmse, stable
 from pairwarden.operators.similarity import similar_pairs
 from pairwarden.plans.models import DenseModel
 from pairwarden.schemas import SIMILAR_RESULT
@@ -32,24 +34,34 @@ MODEL_IDS = {"log": 3, "packet": 4}
 
 def train_rule_space(
     spark: SparkSession, rules: DataFrame, mapping: DataFrame, kind: int, name: str,
-    run_time: datetime, k: int = 0,
+    run_time: datetime, hidden: Sequence[tuple[int, str]] | None = None, how: Training = Training(),
 ) -> tuple[DenseModel, DataFrame]:
     """Model over all 0/1 combinations of the rules in use: (model, history).
 
-    Over all combinations every mean is 1/2, and every combination is as far from the
-    means: each has the error 1/2, which is also the threshold and the whole range. No
-    direction explains more than another, so ``k`` must be 0. A bucket is then anomalous
-    exactly when its counts are further from 1/2 than 0 and 1 are: when a rule hits twice.
+    With ``hidden`` layers a network is fitted to the combinations, which are a lazy range;
+    its errors give the threshold and the range, and the history has the loss of each epoch.
+
+    Without, the model is the column means. Over all combinations every mean is 1/2, and every
+    combination is as far from the means: each has the error 1/2, which is also the threshold
+    and the whole range; no direction explains more than another, so this is known without a
+    fit. A bucket is then anomalous exactly when its counts are further from 1/2 than 0 and 1
+    are: when a rule hits twice.
     """
-    if k:
-        raise ValueError("the rule space has no principal directions")
     used = load_rules(rules_in_use(select_rules(rules, kind), mapping))
     if not used:
         raise ValueError(f"no {name} rule occurs in a multi-rule")
     cols = [f"r{r.rule_id}" for r in used]
     shape = (8 * (1 << len(cols)), len(cols))
-    history = fit_history(spark, MODEL_IDS[name], name, run_time, run_time, [0.5], shape)
-    return DenseModel(cols, {}, Linear([0.5] * len(cols)), 0.5, (0.5, 0.5)), history
+    if hidden is None:
+        history = fit_history(spark, MODEL_IDS[name], name, run_time, run_time, [0.5], shape)
+        return DenseModel(cols, {}, Linear([0.5] * len(cols)), 0.5, (0.5, 0.5)), history
+    space = rule_space(spark, [r.rule_id for r in used])
+    rows = space.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("features"))
+    network, losses, _ = fit_network(rows, hidden=hidden, last="sigmoid", how=how)
+    scored = stage(score_network(network, rows, sparse=False).select("ai_rmse"), "space-scores")
+    history = fit_history(spark, MODEL_IDS[name], name, run_time, run_time, losses, shape)
+    error_range = minmax_fit(scored, ["ai_rmse"])["ai_rmse"]
+    return DenseModel(cols, {}, network, mad_threshold(scored, "ai_rmse"), error_range), history
 
 
 def score_counts_matrix(linear, matrix: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -15,11 +15,11 @@ from pairwarden.plans import correlation, rulecount, samekind, tags
 from pairwarden.plans.models import (
     DENSE_MODEL_FILES,
     PAIR_MODEL_FILES,
-    list_versions,
     load_dense_models,
     load_pair_model,
 )
 from pairwarden.sources.sinks import DAY, append_new, latest_version
+from pairwarden.sources.versions import list_versions
 
 
 class NoModelError(LookupError):

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from pairwarden.functions.columns import conform, label_by_rule
 from pairwarden.functions.times import at
+from pairwarden.operators.autoencoder import Training
 from pairwarden.operators.features import onehot_apply, onehot_fit
 from pairwarden.operators.joins import label_pairs
-from pairwarden.operators.reconstruct import score_sparse
+from pairwarden.operators.reconstruct import score_features
 from pairwarden.operators.rules import LOG, load_rules, same_kind_pairs, select_rules
 from pairwarden.operators.scoring import label
 from pairwarden.operators.sequence import adjacent_pairs, skip_pairs, split_pairs
@@ -44,6 +45,7 @@ def _features(size: int):
 def train_same_kind(
     tables: Tables, log_cols: Sequence[str], start, end, run_time: datetime, skip_n: int = 1,
     k: int = 0, balanced: bool = True, model_id: int = 2, exclusion_source: str | None = None,
+    seed: int | None = None, hidden: Sequence[tuple[int, str]] | None = None, how: Training = Training(),
 ) -> Fitted:
     """Fit the pair model on log pairs of a common multi-rule.
 
@@ -63,7 +65,7 @@ def train_same_kind(
     )
     return fit_pair_model(
         train, held, {"log": encoder}, 2 * encoder.size, k, model_id, run_time, balanced,
-        keep_original=True,
+        keep_original=True, seed=seed, hidden=hidden, how=how,
     )
 
 
@@ -81,7 +83,7 @@ def predict_same_kind(
         "corr", F.coalesce("corr", F.lit(0).cast("long"))
     )
     labelled = stage(labelled.withColumn("features", _features(encoder.size)), "log-pairs")
-    scored = score_sparse(model.sparse, labelled)
+    scored = score_features(model.fitted, labelled)
     scored = label(scored, "ai_rmse", threshold, "within").withColumn(
         "ai_rmse_scaled", model.scaled("ai_rmse")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,10 +17,9 @@ from pairwarden.operators.ordering import number_rows
 from pairwarden.operators.reconstruct import Linear, fit_window_reconstructor, reconstruct_window
 from pairwarden.operators.reshape import complete_rows, to_wide
 from pairwarden.operators.scoring import (
+    grouped_mad_threshold,
     label,
-    mad_threshold,
     minmax_apply,
-    minmax_fit,
     minmax_of,
     stable,
     window_mse,
@@ -111,14 +111,14 @@ def train_tags(
     error = terms.join(means, ["type", "tag_name", "back"]).groupBy("type", "i").agg(
         F.sum((F.col("s") - F.col("mean")) * (F.col("s") - F.col("mean"))).alias("e")
     )
-    fits = {}
+    linears, scores = {}, []
     for unit_type in unit_types:
         cols = sorted(tag for kind, tag in known if kind == unit_type)
         linear = Linear([
             mean.get((unit_type, c, back), 0.0) for back in range(steps - 1, -1, -1) for c in cols
         ])
-        mine = cells.filter(F.col("type") == unit_type)
         if k:
+            mine = cells.filter(F.col("type") == unit_type)
             linear, scored = _fit_directions(mine, cols, {c: known[unit_type, c] for c in cols}, steps, k)
         else:
             empty = sum(m * m for m in linear.means)
@@ -127,10 +127,24 @@ def train_tags(
             )
             scored = places.select("date_time", stable(
                 F.coalesce("e", F.lit(empty)) / F.lit(max(1, len(linear.means)))).alias("ai_rmse"))
-        scored = stage(scored, "tag-scores")
+        linears[unit_type] = (cols, linear)
+        scores.append(scored.select(F.lit(unit_type).alias("type"), "date_time", "ai_rmse"))
+    scored = stage(reduce(DataFrame.unionByName, scores), "tag-scores")
+    # thresholds, error ranges and losses of all unit types at once, one row each
+    limits = grouped_mad_threshold(scored, ["type"], "ai_rmse").select("type", "threshold")
+    found = scored.groupBy("type").agg(
+        F.count("*").alias("rows"), F.avg("ai_rmse").alias("loss"), F.min("ai_rmse").alias("lo"),
+        F.max("ai_rmse").alias("hi"),
+    ).join(limits, "type").collect()
+    settings = {r.type: r for r in found}
+    fits = {}
+    for unit_type, (cols, linear) in linears.items():
+        if unit_type not in settings:
+            raise ValueError(f"no values of {unit_type}")
+        mine = scored.filter(F.col("type") == unit_type).drop("type")
         fits[unit_type] = _tag_fit(
-            spark, mine, scored, cols, {c: known[unit_type, c] for c in cols}, linear, unit_type, run_time,
-            steps, model_id,
+            spark, cells.filter(F.col("type") == unit_type), mine, settings[unit_type], cols,
+            {c: known[unit_type, c] for c in cols}, linear, run_time, steps, model_id,
         )
     return fits
 
@@ -148,13 +162,11 @@ def _fit_directions(cells: DataFrame, cols: Sequence[str], bounds: dict, steps:
 
 
 def _tag_fit(
-    spark, cells: DataFrame, scored: DataFrame, cols, bounds, linear: Linear, unit_type: str,
+    spark, cells: DataFrame, scored: DataFrame, fitted, cols, bounds, linear: Linear,
     run_time: datetime, steps: int, model_id: int,
 ) -> TagFit:
-    threshold = mad_threshold(scored, "ai_rmse")
-    error_range = minmax_fit(scored, ["ai_rmse"])["ai_rmse"]
-    rows, loss = scored.agg(F.count("*"), F.avg("ai_rmse")).first()
-    labelled = label(scored, "ai_rmse", threshold, "above").withColumn(
+    error_range = (fitted.lo, fitted.hi)
+    labelled = label(scored, "ai_rmse", fitted.threshold, "above").withColumn(
         "ai_rmse_scaled", minmax_of("ai_rmse", error_range)
     )
     validation = (
@@ -162,8 +174,10 @@ def _tag_fit(
         .join(labelled, "date_time")
         .withColumn("version", at(run_time))
     )
-    history = fit_history(spark, model_id, unit_type, run_time, run_time, [loss], (rows, steps, len(cols)))
-    return TagFit(DenseModel(list(cols), bounds, linear, threshold, error_range), validation, history)
+    history = fit_history(
+        spark, model_id, fitted.type, run_time, run_time, [fitted.loss], (fitted.rows, steps, len(cols))
+    )
+    return TagFit(DenseModel(list(cols), bounds, linear, fitted.threshold, error_range), validation, history)
 
 
 def _tag_settings(readings: DataFrame, models: dict[str, DenseModel]) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()  # applications whose executors have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors the package, like ``--py-files``: operators that run Python in tasks need it.
+
+    Once per application; the package goes as a zip through the shared folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"{root.name}/{source.relative_to(root)}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_path(spark, 'package')}/{root.name}.zip")
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    context.addPyFile(target.toString())
+    _SHIPPED.add(context.applicationId)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete the staged tables of this application; frames built on them end with it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))

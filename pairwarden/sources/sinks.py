@@ -14,6 +14,7 @@ from pairwarden.functions.times import at
 from pairwarden.operators.ordering import number_rows
 from pairwarden.schemas import FIT_HISTORY
 from pairwarden.session import stage
+from pairwarden.sources.versions import load_version, publish
 
 
 def new_rows(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,12 +74,17 @@ def stamp_batches(df: DataFrame, start: Column) -> DataFrame:
     return df.withColumn("version", start + F.expr("make_dt_interval(0, 0, 0, batch_no)"))
 
 
+_ROWS = "rows"
+
+
 def save_snapshot(df: DataFrame, root: str, version: str) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/{version}")
+    """Publish a training set as a version; saving a version again replaces it, all at once."""
+    publish({_ROWS: df}, root, version, replace=True)
 
 
 def load_snapshot(spark: SparkSession, root: str, version: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{version}")
+    """The training set of a complete version."""
+    return load_version(spark, root, version)[_ROWS]
 
 
 def latest_version(versions: DataFrame, now: datetime, n_files: int, by: Sequence[str] = ()) -> DataFrame:

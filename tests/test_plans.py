@@ -15,6 +15,7 @@ from pairwarden.plans import correlation, models, rulecount, samekind, tags
 from pairwarden.operators.reshape import complete_rows, to_wide
 from pairwarden.plans import runs as whole_runs
 from pairwarden.sources import sinks
+from pairwarden.sources.versions import list_versions
 from pairwarden.streaming import streams as K
 
 SMALL, MIDDLE = str(ROOT / "sf0.001"), str(ROOT / "sf0.01")
@@ -27,7 +28,7 @@ def test_correlation_round_trip(spark, tmp_path):
     assert fitted.holdout_scores.agg(F.sum("n")).first()[0] > 0
     root = str(tmp_path / "models")
     models.save_pair_model(spark, fitted.model, root, t.RUN_TIME)
-    versions = models.list_versions(spark, root)
+    versions = list_versions(spark, root)
     newest = sinks.latest_version(versions, datetime(2024, 3, 1), models.PAIR_MODEL_FILES).first().version
     assert newest == t.RUN_TIME
     assert sinks.latest_version(versions, datetime(2024, 1, 1), 4).first().version is None
