@@ -1,7 +1,9 @@
-"""Queries for the rule index, seeded draws, medians per group, and fitted models."""
+"""Queries for the rule index, seeded draws, medians per group, fitted models, routing and servers."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from pairwarden.catalog import standins as t
@@ -12,8 +14,13 @@ from pairwarden.operators import scoring as S
 from pairwarden.operators.autoencoder import Training, fit_network, network_rmse
 from pairwarden.operators.lag_model import fit_lag_model, score_lag_model
 from pairwarden.operators.reshape import to_wide
+from pairwarden.operators.routing import route_by_table
 from pairwarden.operators.rule_index import match_rules_indexed
 from pairwarden.operators.rules import Rule
+from pairwarden.sources.scan import scan_range
+from pairwarden.sources.servers import read_servers
+from pairwarden.streaming.pairs import stream_skip_pairs
+from pairwarden.streaming.streams import read_stream, run_available
 
 # ---- rules by the thousand -----------------------------------------------------------
 
@@ -181,3 +188,50 @@ def network_scores(spark, folder):
     network, _, _ = fit_network(rows, hidden=[(3, "tanh")], last="identity", how=Training(epochs=20))
     return rows.select("date_time", network_rmse(network, F.col("features"), False).alias("ai_rmse"))
 
+
+
+# ---- routing, servers, pairs on streams ----------------------------------------------
+
+
+@query("prefix_route_table", """with routes as (select distinct substr(c_name, 1, 9 + c_custkey % 10) as prefix from customer
+    union select 'Cust' union select 'Customer#0000000'),
+  hits as (select c_custkey, prefix, row_number() over (partition by c_custkey order by length(prefix) desc) as place
+    from customer join routes on starts_with(c_name, prefix))
+select c_custkey, md5(prefix) as unit_type, length(prefix) as size from hits where place = 1""")
+def prefix_route_table(spark, folder):
+    """Customers routed by a table of nested prefixes taken from their names."""
+    customers = t.table(spark, folder, "customer")
+    prefixes = customers.select(F.expr("substring(c_name, 1, cast(9 + c_custkey % 10 as int))").alias("prefix"))
+    more = spark.createDataFrame([("Cust",), ("Customer#0000000",)], "prefix string")
+    routes = prefixes.union(more).distinct().select(
+        "prefix", F.md5("prefix").alias("unit_type"), F.length("prefix").cast("long").alias("size"))
+    return route_by_table(customers.select("c_custkey", "c_name"), "c_name", routes).drop("c_name")
+
+
+_SERVERS = {"first": "events", "second": "events"}
+_LOW, _HIGH = datetime(2024, 1, 5), datetime(2024, 1, 20)
+
+
+@query("federated_servers", f"""select event_id, ts, value, s as clickhouse_server from events, (values ('first'), ('second')) v(s)
+where ts between '{_LOW}' and '{_HIGH}' and not (s = 'first' and value > 100)""")
+def federated_servers(spark, folder):
+    """A time range over two servers, filtered at the source."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    schema = t.table(spark, folder, "events").select("event_id", "ts", "value").schema
+    servers = {name: f"{folder}/{table}.parquet" for name, table in _SERVERS.items()}
+    rows = scan_range(read_servers(spark, servers, schema), "ts", _LOW, _HIGH)
+    return rows.filter(~((F.col("clickhouse_server") == "first") & (F.col("value") > 100)))
+
+
+@query("stream_skip_pairs", """with last as (select date_trunc('milliseconds', max(ts)) - interval 10 minute as w from events),
+  o as (select event_id, user_id % 2 as unit, user_id % 4 < 2 as maker, row_number() over (
+    partition by user_id % 2, user_id % 4 < 2 order by ts, event_id) as i from events, last where ts < w)
+select f.event_id as f_event_id, b.event_id as b_event_id, b.i - f.i as step
+from o f join o b on f.unit = b.unit and f.maker = b.maker and b.i - f.i between 1 and 3""")
+def stream_skip_pairs_query(spark, folder):
+    """Pairs within unit and maker on a stream, over the rows before its last watermark."""
+    schema = t.table(spark, folder, "events").schema
+    events = read_stream(spark, f"{folder}/events.parquet", schema).selectExpr(
+        "event_id", "ts", "user_id % 2 as unit", "user_id % 4 < 2 as maker")
+    pairs = stream_skip_pairs(events, "ts", ["event_id"], ["event_id"], ["unit", "maker"], 3)
+    return run_available(pairs, "stream-pairs")
