@@ -17,10 +17,12 @@ from pairwarden.operators.reshape import to_wide
 from pairwarden.operators.routing import route_by_table
 from pairwarden.operators.rule_index import match_rules_indexed
 from pairwarden.operators.rules import Rule
+from pairwarden.session import fresh_path
+from pairwarden.sources.keyed_store import KeyedStore
 from pairwarden.sources.scan import scan_range
 from pairwarden.sources.servers import read_servers
 from pairwarden.streaming.pairs import stream_skip_pairs
-from pairwarden.streaming.streams import read_stream, run_available
+from pairwarden.streaming.streams import read_stream, run_available, stream_append_new
 
 # ---- rules by the thousand -----------------------------------------------------------
 
@@ -235,3 +237,24 @@ def stream_skip_pairs_query(spark, folder):
         "event_id", "ts", "user_id % 2 as unit", "user_id % 4 < 2 as maker")
     pairs = stream_skip_pairs(events, "ts", ["event_id"], ["event_id"], ["unit", "maker"], 3)
     return run_available(pairs, "stream-pairs")
+
+
+@query("keyed_append", """select event_id, user_id, value from events""")
+def keyed_append(spark, folder):
+    """Two thirds of the events stored by key, then all of them, twice: the store holds each once."""
+    events = t.table(spark, folder, "events").select("event_id", "user_id", "value")
+    store = KeyedStore(spark, fresh_path(spark, "keyed"), ("event_id", "user_id"), 8)
+    store.append_new(events.filter("event_id % 3 < 2"))
+    for _ in range(2):
+        store.append_new(events)
+    return store.read()
+
+
+@query("stream_keyed_append", """select event_id, user_id from events""")
+def stream_keyed_append(spark, folder):
+    """The same stream stored twice by key, as after a lost checkpoint."""
+    path, schema = fresh_path(spark, "stream-keyed"), t.table(spark, folder, "events").schema
+    for _ in range(2):
+        events = read_stream(spark, f"{folder}/events.parquet", schema).select("event_id", "user_id")
+        stream_append_new(events, path, fresh_path(spark, "keyed-progress"), ["event_id"], buckets=8)
+    return KeyedStore(spark, path, ("event_id",)).read()

@@ -1,7 +1,7 @@
 """Enrichment, exclusion and pair joins.
 
-Settings and dimension tables go through ``lookup_join`` (size checked, broadcast
-or shuffled). Joins on event hashes are left to adaptive execution.
+Settings and dimension tables go through ``lookup_join``: Spark broadcasts a side by its known
+or measured bytes, else shuffles both. Joins on event hashes are left to adaptive execution, too.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwarden.operators.lookup import lookup_join
-from pairwarden.session import stage
+from pairwarden.session import stage, staged_scope
 
 CHUNK_ROWS = 8192
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -30,17 +30,16 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "idx") -> tuple
     first: range partitioning reads it twice, once for the bounds of its ranges.
     """
     keys = [F.col(c) for c in order]
-    first = stage(
-        df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_row", F.monotonically_increasing_id()),
-        "unordered",
-    )
-    placed = (
-        first.repartitionByRange(*keys, "_tie", "_row")
-        .sortWithinPartitions(*keys, "_tie", "_row")
-        .withColumn("_place", F.monotonically_increasing_id())
-        .drop("_tie", "_row")
-    )
-    staged = stage(placed, "ordered")
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_row", F.monotonically_increasing_id())
+    with staged_scope(df.sparkSession):  # the unordered rows are needed no longer than until they are ordered
+        first = stage(tied, "unordered")
+        placed = (
+            first.repartitionByRange(*keys, "_tie", "_row")
+            .sortWithinPartitions(*keys, "_tie", "_row")
+            .withColumn("_place", F.monotonically_increasing_id())
+            .drop("_tie", "_row")
+        )
+        staged = stage(placed, "ordered", outlive=True)
     part = F.shiftright("_place", _LOCAL_BITS)
     local = F.col("_place").bitwiseAND((1 << _LOCAL_BITS) - 1)
     # one row per partition of the range shuffle

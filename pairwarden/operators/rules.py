@@ -27,7 +27,10 @@ class Rule:
     def condition(self) -> str:
         """Predicate in parentheses, limited to the rule's source table."""
         test = f"({self.predicate})" if self.predicate else "(true)"
-        return f"source = '{self.source}' and {test}" if self.source else test
+        if not self.source:
+            return test
+        source = self.source.replace("\\", "\\\\").replace("'", "\\'")  # as Spark spells a text
+        return f"source = '{source}' and {test}"
 
 
 def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:

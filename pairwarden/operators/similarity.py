@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairwarden.operators.features import tokens_of
@@ -19,6 +19,7 @@ from pairwarden.operators.lookup import lookup_join
 from pairwarden.session import stage
 
 BLOCK_BAGS = 2048
+PARTS = 96  # of a bag's words, whose lengths are compared before the words
 
 
 @dataclass(frozen=True)
@@ -72,40 +73,72 @@ def similar_bags(
     text: str,
     min_sim: float = 0.0,
     block: int = BLOCK_BAGS,
+    asked: Column | None = None,
 ) -> Similar:
     """Bags of a bucket with cosine similarity over ``min_sim`` and the rows in them.
 
+    With ``asked``, a condition on rows, only pairs with the bag of such a row are looked for.
+
     For ``min_sim`` = 0 every shared word counts. For a higher bound only rare words
     are used to find candidates: the common words left out of a bag are those that
     alone cannot reach the bound, so no pair is missed, and candidates are then
     compared in full.
     """
     # staged, so that every text is tokenised once; a row without words has no bag
+    marked = df.withColumn("_asked", F.lit(True) if asked is None else F.coalesce(asked, F.lit(False)))
     rows = stage(
-        df.withColumn("_words", F.sort_array(tokens_of(text))).drop(text).withColumn(
+        marked.withColumn("_words", F.sort_array(tokens_of(text))).drop(text).withColumn(
             "bag", F.when(F.size("_words") > 0, F.unhex(F.sha2(F.array_join("_words", " "), 256)))
         ),
         "bags",
     )
     # one shuffle by bag serves the collapse, the word counts and the norms
-    bags = rows.groupBy(*bucket, "bag").agg(F.any_value("_words").alias("_words"))
+    bags = rows.groupBy(*bucket, "bag").agg(
+        F.any_value("_words").alias("_words"), F.bool_or("_asked").alias("asked")
+    )
     counts = (
-        bags.select(*bucket, "bag", F.explode("_words").alias("word"))
+        bags.select(*bucket, "bag", "asked", F.explode("_words").alias("word"))
         .groupBy(*bucket, "bag", "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.any_value("asked").alias("asked"))
     )
     norm = F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*bucket, "bag"))
     postings = stage(counts.withColumn("n2", norm), "postings")
-    dots = _all_dots(postings, bucket, block) if min_sim <= 0 else _near_dots(
-        postings, bucket, min_sim, block
+    dots = _all_dots(postings, bucket, block, asked is not None) if min_sim <= 0 else _near_dots(
+        postings, bucket, min_sim, block, asked is not None
     )
     scored = dots.withColumn("sim", F.col("dot") / F.sqrt(F.col("nn").cast("double")))
     pairs = scored.filter(F.col("sim") > min_sim).select(*bucket, "a", "b", "sim")
-    return Similar(rows.drop("_words"), pairs)
+    return Similar(rows.drop("_words", "_asked"), pairs)
+
+
+def _meet_asked(frame: DataFrame, keys: Sequence[str], values: Sequence[str], block: int) -> DataFrame:
+    """Pairs of an asked bag with any other one that shares ``keys``, each once.
+
+    The rows of a frequent key are cut into blocks, each of which meets the asked rows of the key.
+    """
+    frequent = stage(
+        frame.groupBy(*keys).agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks")
+        ).filter("_blocks > 1"),
+        "frequent",
+    )
+    cut = lookup_join(frame, frequent, list(keys), "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    left = cut.filter("asked").withColumn("_part", F.explode(F.expr("sequence(0, _blocks - 1)"))).select(
+        *keys, "_part", F.col("bag").alias("a"), *[F.col(v).alias(f"a_{v}") for v in values])
+    right = cut.withColumn("_part", F.pmod(F.xxhash64("bag"), F.col("_blocks")).cast("int")).select(
+        *keys, "_part", F.col("bag").alias("b"), F.col("asked").alias("_both"),
+        *[F.col(v).alias(f"b_{v}") for v in values])
+    met = left.join(right, [*keys, "_part"]).filter(F.col("a") != F.col("b"))
+    return met.filter(~F.col("_both") | (F.col("a") < F.col("b")))
 
 
-def _all_dots(postings: DataFrame, bucket: Sequence[str], block: int) -> DataFrame:
-    met = _meet(postings, [*bucket, "word"], "bag", ["tf", "n2"], block)
+def _met(postings: DataFrame, bucket: Sequence[str], values: Sequence[str], block: int, asked: bool) -> DataFrame:
+    keys = [*bucket, "word"]
+    return _meet_asked(postings, keys, values, block) if asked else _meet(postings, keys, "bag", values, block)
+
+
+def _all_dots(postings: DataFrame, bucket: Sequence[str], block: int, asked: bool) -> DataFrame:
+    met = _met(postings, bucket, ["tf", "n2"], block, asked)
     return met.groupBy(*bucket, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot"),
         F.max(F.col("a_n2") * F.col("b_n2")).alias("nn"),
@@ -151,7 +184,27 @@ def _possible(met: DataFrame, bucket: Sequence[str], min_sim: float) -> DataFram
     return known.filter(F.col("dot") + rest >= needed).select(*bucket, "a", "b")
 
 
-def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block: int) -> DataFrame:
+def _likely(candidates: DataFrame, postings: DataFrame, bucket: Sequence[str], min_sim: float) -> DataFrame:
+    """Candidates that can still exceed the bound by the lengths of their parts.
+
+    Words are dealt to ``PARTS`` parts by hash; the product of two bags is at most the sum over
+    the parts of the products of the parts' lengths, which is close to the product itself, since
+    few common words share a part. So bags are compared by one array each before their words are.
+    """
+    part = F.pmod(F.xxhash64("word"), F.lit(PARTS))
+    squares = F.col("tf") * F.col("tf")
+    lengths = F.array(*[F.sqrt(F.sum(F.when(part == i, squares).otherwise(0)).cast("double")) for i in range(PARTS)])
+    signs = stage(postings.groupBy(*bucket, "bag").agg(lengths.alias("_s"), F.max("n2").alias("_n2")), "parts")
+    left, right = (
+        signs.withColumnsRenamed({"bag": x, "_s": f"_s{x}", "_n2": f"_n{x}"}) for x in ("a", "b")
+    )
+    most = F.aggregate(F.zip_with("_sa", "_sb", lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    needed = F.lit(min_sim * (1 - 1e-9)) * F.sqrt(F.col("_na").cast("double") * F.col("_nb"))
+    both = candidates.join(left, [*bucket, "a"]).join(right, [*bucket, "b"])
+    return both.filter(most >= needed).select(*bucket, "a", "b")
+
+
+def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block: int, asked: bool) -> DataFrame:
     spread = postings.groupBy(*bucket, "word").agg(F.count(F.lit(1)).alias("df"))
     # words from common to rare; a word is left out while all up to it stay under the bound
     common_first = Window.partitionBy(*bucket, "bag").orderBy(F.desc("df"), F.desc("word"))
@@ -159,21 +212,26 @@ def _near_dots(postings: DataFrame, bucket: Sequence[str], min_sim: float, block
     kept = F.col("_upto") >= F.lit(min_sim * min_sim * (1 - 1e-9)) * F.col("n2")
     rare = postings.join(spread, [*bucket, "word"]).withColumn("_upto", upto).filter(kept)
     rest = F.col("n2") - F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*bucket, "bag"))
-    rare = rare.withColumn("left", rest).select(*bucket, "bag", "word", "tf", "n2", "left")
+    rare = rare.withColumn("left", rest).select(*bucket, "bag", "word", "tf", "n2", "left", "asked")
     values = ["tf", "n2", "left"]
-    met = _meet(stage(rare, "rare-words"), [*bucket, "word"], "bag", values, block)
-    candidates = _possible(_oriented(met, bucket, values), bucket, min_sim)
-    left = postings.withColumnsRenamed({"bag": "a", "tf": "a_tf", "n2": "a_n2"})
-    right = postings.withColumnsRenamed({"bag": "b", "tf": "b_tf", "n2": "b_n2"})
-    return (
-        candidates.join(left, [*bucket, "a"])
-        .join(right, [*bucket, "b", "word"])
-        .groupBy(*bucket, "a", "b")
-        .agg(
-            F.sum(F.col("a_tf") * F.col("b_tf")).alias("dot"),
-            F.max(F.col("a_n2") * F.col("b_n2")).alias("nn"),
-        )
+    met = _met(stage(rare, "rare-words"), bucket, values, block, asked)
+    candidates = _likely(_possible(_oriented(met, bucket, values), bucket, min_sim), postings, bucket, min_sim)
+    words = stage(
+        postings.groupBy(*bucket, "bag").agg(
+            F.sort_array(F.collect_list(F.struct("word", "tf"))).alias("_w"), F.max("n2").alias("_n2")
+        ),
+        "bag-words",
+    )
+    left, right = (words.withColumnsRenamed({"bag": x, "_w": f"_w{x}", "_n2": f"_n{x}"}) for x in ("a", "b"))
+    both = candidates.join(left, [*bucket, "a"]).join(right, [*bucket, "b"])
+    # a word of both bags lies next to itself in the sorted words of the two
+    merged = both.withColumn("_m", F.sort_array(F.concat("_wa", "_wb")))
+    shared = F.zip_with(
+        F.slice("_m", F.lit(1), F.size("_m") - 1), F.slice("_m", F.lit(2), F.size("_m") - 1),
+        lambda x, y: F.when(x["word"] == y["word"], x["tf"] * y["tf"]).otherwise(F.lit(0).cast("long")),
     )
+    dot = F.aggregate(shared, F.lit(0).cast("long"), lambda acc, v: acc + v)
+    return merged.select(*bucket, "a", "b", dot.alias("dot"), (F.col("_na") * F.col("_nb")).alias("nn"))
 
 
 def similar_classes(
@@ -183,14 +241,18 @@ def similar_classes(
     text: str,
     min_sim: float = 0.0,
     block: int = BLOCK_BAGS,
+    asked: Column | None = None,
 ) -> DataFrame:
     """The same result in a space that grows with the rows: bucket, ``f_id``, ``b_id``, ``sim``.
 
+    With ``asked``, a condition on ``row_id`` and ``bucket``, it is a search: links are those of
+    classes that hold such a row, with all others.
+
     Rows with the same words are one class, named by its smallest ``row_id``. Each other
     row of a class is linked to that one (similarity 1), and similar classes are linked by
     their names; two rows are as similar as their classes.
     """
-    found = similar_bags(df.select(*bucket, row_id, text), bucket, text, min_sim, block)
+    found = similar_bags(df.select(*bucket, row_id, text), bucket, text, min_sim, block, asked)
     named = stage(
         found.members.filter("bag is not null").groupBy(*bucket, "bag").agg(F.min(row_id).alias("_name")), "classes"
     )

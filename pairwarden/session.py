@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import io
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,15 +43,40 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_SCOPES = threading.local()  # staged paths of the scopes that are open in a thread
+
+
+def stage(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
     """Write ``df`` once and read it back: later jobs neither recompute it nor
-    depend on the executors that produced it."""
+    depend on the executors that produced it. With ``outlive`` it stays after the innermost
+    ``staged_scope``, as long as the next one."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    scopes = getattr(_SCOPES, "open", [])
+    for scope in scopes[:-1][-1:] if outlive else scopes[-1:]:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside, by this thread, when it ends; frames built on it end with it."""
+    own: list[str] = []
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), own]
+    try:
+        yield
+    finally:
+        _SCOPES.open = _SCOPES.open[:-1]
+        for path in own:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()  # applications whose executors have the package
 
 
@@ -75,5 +103,4 @@ def ship_package(spark: SparkSession) -> None:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete the staged tables of this application; frames built on them end with it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _application_folder(spark))

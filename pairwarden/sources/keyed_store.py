@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pairwarden.session import ship_package, stage
+from pairwarden.session import ship_package, stage, staged_scope
 
 BITS_A_KEY = 16  # about one chance hit in two thousand
 _PROBES = 8
@@ -183,13 +183,14 @@ class KeyedStore:
 
     def append_new(self, df: DataFrame) -> None:
         """Append what ``new_rows`` lets through; repeating it adds nothing."""
-        fresh = stage(df.distinct(), "append")
-        if self._table() is not None:
-            self.complete_filters()  # of a writer that failed
-        added = stage(self._new(fresh), "appended")
-        name, columns, buckets = self._table(df.schema)
-        if added.isEmpty():
-            return
-        ordered = added.select(*columns.names).repartition(buckets, *[F.col(f"`{c}`") for c in self.keys])
-        ordered.sortWithinPartitions(*self.keys).write.mode("append").insertInto(name)
-        self.complete_filters()
+        with staged_scope(self.spark):
+            fresh = stage(df.distinct(), "append")
+            if self._table() is not None:
+                self.complete_filters()  # of a writer that failed
+            added = stage(self._new(fresh), "appended")
+            name, columns, buckets = self._table(df.schema)
+            if added.isEmpty():
+                return
+            ordered = added.select(*columns.names).repartition(buckets, *[F.col(f"`{c}`") for c in self.keys])
+            ordered.sortWithinPartitions(*self.keys).write.mode("append").insertInto(name)
+            self.complete_filters()

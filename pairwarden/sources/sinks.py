@@ -13,7 +13,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from pairwarden.functions.times import at
 from pairwarden.operators.ordering import number_rows
 from pairwarden.schemas import FIT_HISTORY
-from pairwarden.session import stage
+from pairwarden.session import stage, staged_scope
 from pairwarden.sources.versions import load_version, publish
 
 
@@ -50,17 +50,19 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str], time: str | None =
     """Append the rows that ``new_rows`` lets through; repeating it adds nothing.
 
     With ``time``, a column that is the same for all rows of a key, the table is
-    partitioned by its day, and only the days of the new rows are read again.
+    partitioned by its day, and only the days of the new rows are read again. A large table
+    without such a column is better a ``KeyedStore``: without ``time`` all stored keys are read.
     """
     spark = df.sparkSession
     if time is None:
         new_rows(df, read_stored(spark, path, df), keys).write.mode("append").parquet(path)
         return
-    fresh = stage(df.distinct(), "append")
-    day = F.to_date(F.col(time))
-    days = [r[0] for r in fresh.select(day).distinct().collect()]  # the days of one run
-    known = read_stored(spark, path, fresh, [d for d in days if d is not None])
-    new_rows(fresh, known, keys).withColumn(DAY, day).write.mode("append").partitionBy(DAY).parquet(path)
+    with staged_scope(spark):
+        fresh = stage(df.distinct(), "append")
+        day = F.to_date(F.col(time))
+        days = [r[0] for r in fresh.select(day).distinct().collect()]  # the days of one run
+        known = read_stored(spark, path, fresh, [d for d in days if d is not None])
+        new_rows(fresh, known, keys).withColumn(DAY, day).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def with_batch_no(df: DataFrame, order: Sequence[str], rows: int = 1000) -> DataFrame:

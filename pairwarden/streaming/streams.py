@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 
 from pairwarden.operators.rule_index import match_rules_indexed
 from pairwarden.operators.rules import Rule, match_rules
-from pairwarden.session import fresh_path, stage
+from pairwarden.session import fresh_path, stage, staged_scope
+from pairwarden.sources.keyed_store import KeyedStore
 from pairwarden.sources.sinks import append_new
 
 
@@ -62,20 +63,27 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str] = ("hash",), time: str =
 
 def stream_append_new(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str | None = None,
-    wait: int | None = None,
+    wait: int | None = None, buckets: int | None = None,
 ) -> None:
     """Append what is new of a stream; a restart or a repeated batch adds nothing twice.
 
     ``keys`` must tell rows apart: rows of one key may lie in different batches, and the
     later ones would count as stored. A batch with two rows of one key is an error.
-    ``time`` keeps the table by day, see ``append_new``.
+    ``time`` keeps the table by day, see ``append_new``. With ``buckets`` it is a ``KeyedStore`` of
+    so many buckets, which is neither read nor shuffled whole. What a batch stages goes when
+    the batch ends.
     """
 
     def store(batch: DataFrame, _: int) -> None:
-        fresh = stage(batch.distinct(), "batch")
-        if not fresh.groupBy(*keys).count().filter("count > 1").isEmpty():
-            raise ValueError(f"{list(keys)} do not tell the rows of a stream apart")
-        append_new(fresh, path, keys, time)
+        spark = batch.sparkSession
+        with staged_scope(spark):
+            fresh = stage(batch.distinct(), "batch")
+            if not fresh.groupBy(*keys).count().filter("count > 1").isEmpty():
+                raise ValueError(f"{list(keys)} do not tell the rows of a stream apart")
+            if buckets is None:
+                append_new(fresh, path, keys, time)
+            else:
+                KeyedStore(spark, path, tuple(keys), buckets).append_new(fresh)
 
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -66,7 +66,7 @@ def test_few_rules_with_a_pushed_filter(events, n):
 
 
 def test_sources_and_no_rules(events):
-    rules = [Rule(1, 1, "L1", "A", "value > 1 or value < 0"), Rule(2, 1, "L1", "A", None)]
+    rules = [Rule(1, 1, "L1", "A", "value > 1 or value < 0"), Rule(2, 1, "L1", "A", None), Rule(3, 1, "L'2", "A", "user_id > 3"), Rule(4, 1, "L'2", "A", None)]
     _same(match_rules_indexed(events, rules, "ts"), match_rules(events, rules, "ts"))
     assert match_rules_indexed(events, [], "ts").count() == 0
     assert match_rules_indexed(events.limit(0), rules, "ts").count() == 0

@@ -123,3 +123,17 @@ def test_plan_has_no_single_partition_window(spark):
     df = spark.range(100).withColumn("v", F.col("id"))
     plan = adjacent_pairs(df, ["id"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_copies_of_one_row_are_spread(spark):
+    """Half of all rows are the same: no partition of the order holds them all, and places are unique."""
+    from pairwarden.operators.ordering import number_rows
+
+    df = spark.range(20_000).selectExpr("id as a", "id % 50 as b").union(
+        spark.range(20_000).selectExpr("7 as a", "1 as b")).repartition(5)
+    numbered, total = number_rows(df, ["b", "a"])
+    assert total == 40_000 and numbered.select("idx").distinct().count() == 40_000
+    sizes = [r["count"] for r in numbered.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 0.5 * 40_000
+    pairs = skip_pairs(df, ["b", "a"], ["a"], 2)
+    assert pairs.count() == 2 * 40_000 - 3

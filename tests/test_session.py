@@ -25,3 +25,18 @@ def test_staged_tables_survive_and_can_be_dropped(spark):
     assert os.path.isdir(folder)
     s.drop_staged(spark)
     assert not os.path.isdir(folder)
+
+
+def test_a_scope_drops_what_is_staged_in_it(spark):
+    from pathlib import Path
+
+    from pairwarden.session import stage, staged_scope
+
+    with staged_scope(spark):
+        outer = stage(spark.range(3), "outer")
+        with staged_scope(spark):
+            inner, kept = stage(spark.range(3), "inner"), stage(spark.range(3), "kept", outlive=True)
+            found = [Path(f.inputFiles()[0].removeprefix("file:")).parent for f in (inner, kept, outer)]
+        assert [p.exists() for p in found] == [False, True, True]
+        assert kept.count() == 3
+    assert not any(p.exists() for p in found)
