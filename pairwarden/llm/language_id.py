@@ -18,6 +18,7 @@ has its part of that, and as much smaller a sample.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,7 +37,9 @@ _BLOCK_BYTES = 2048
 _LEVEL = 5
 _FRAME_BYTES = 6  # what an empty frame takes
 
-_OTHERS = re.compile(r"[\W\d_]+")
+#: Numerals that are word characters, but neither letters nor digits: powers, fractions, circled numbers.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_OTHERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _AGAIN = re.compile(r"\b(\w+)(?: \1\b)+")
 
 
@@ -134,7 +137,10 @@ def identify(docs: DataFrame, train: DataFrame, column: str = "language",
     """All columns of ``docs`` and a struct ``column``: lang_pred, score, margin, rejected.
 
     ``train`` (text, lang) is what is learned from. Only the text decides a prediction.
-    Without a single labelled row every text is ``und`` and rejected.
+    Without a single labelled row every text is ``und`` and rejected. ``column`` must not be there
+    yet. Repeated rows are predicted like any other and count once in what is learned.
     """
+    if column in docs.columns:
+        raise ValueError(f"there is a column {column} already")
     fitted = docs.sparkSession.sparkContext.broadcast(fit_dictionaries(train))
     return docs.withColumn(column, predictor(fitted, min_margin)(F.col("text").cast("string")))
