@@ -38,6 +38,7 @@ from pairwarden.session import stage
 SEED = 42
 _STEP = 512  # fingerprints expanded at once
 _BUCKET_VARIANTS = 1 << 20
+_MOST_TASKS = 10_000  # that emit variants; a task emits more for a larger table
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -97,7 +98,7 @@ def _emit(max_distance: int, buckets: int):
                     block = own[at : at + _STEP]
                     variants = (block[:, None] ^ flips[None, :]).ravel()
                     which = np.tile(np.arange(len(flips), dtype=np.uint16), len(block))
-                    bucket = (mixed(variants) >> np.uint64(48)).astype(np.uint16) & np.uint16(buckets - 1)
+                    bucket = (mixed(variants) >> np.uint64(32)).astype(np.int64) & (buckets - 1)
                     order = np.argsort(bucket, kind="stable")
                     variants, which, bucket = variants[order], which[order], bucket[order]
                     ends = cuts(bucket)
@@ -106,7 +107,7 @@ def _emit(max_distance: int, buckets: int):
                         ["bucket", "variants", "flips"],
                         [bucket[ends[:-1]], [variants[a:b].tobytes() for a, b in parts],
                          [which[a:b].tobytes() for a, b in parts]],
-                        [pa.int32(), pa.binary(), pa.binary()],
+                        [pa.int64(), pa.binary(), pa.binary()],
                     )
 
     return emit
@@ -146,10 +147,11 @@ def links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
     """Links (a, b) that connect whatever is within ``max_distance`` bits; ``distinct`` holds fp once each."""
     n = distinct.count()
     per_fp = (len(masks(max_distance, True)) + len(masks(max_distance, False))) / 2
-    buckets = power_of_two(n * per_fp / _BUCKET_VARIANTS, 8, 1 << 16)
+    buckets = power_of_two(n * per_fp / _BUCKET_VARIANTS, 8, 1 << 32)
+    tasks = min(buckets, _MOST_TASKS)  # a staged table has few files
     return (
-        distinct.select("fp")
-        .mapInArrow(_emit(max_distance, buckets), "bucket int, variants binary, flips binary")
+        distinct.select("fp").repartition(tasks, "fp")
+        .mapInArrow(_emit(max_distance, buckets), "bucket long, variants binary, flips binary")
         .groupBy("bucket")
         .applyInArrow(_meet(max_distance), "a long, b long")
         .distinct()
