@@ -34,13 +34,12 @@ from pairwarden.llm.repeats import mixed
 from pairwarden.llm.tables import record
 from pairwarden.session import stage
 
-MAX_CANDIDATES = 20_000
+MIN_TEXTS = 4  # toxic texts that hold a feature
 MIN_Z = 2.8
-MIN_SHARE = 0.01
+CHANCE = 0.05  # features expected to be chosen by chance
 STEMS = (4, 5, 6)
 WORD_GROUPS = 6
 STEM_GROUPS = 4
-MAX_LEXICON = 2_000
 MAX_LABELLED = 500_000
 MIN_HASHES = 32
 MIN_ALIKE = 0.625  # of the smallest hashes, so that two texts count as near copies
@@ -76,27 +75,21 @@ def _features(words: set[str]) -> set[str]:
     return words | {w[:k] + "-" for w in words for k in STEMS if len(w) > k}
 
 
-def _count_features(wanted):
-    """Per task: number of texts with each feature (of the wanted ones, if given)."""
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: number of texts with each feature."""
+    held: Counter[str] = Counter()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = wanted.value if wanted is not None else None
-        held: Counter[str] = Counter()
+    def flush():
+        return record(["feature", "n"], [list(held), list(held.values())], [pa.string(), pa.int64()])
 
-        def flush():
-            return record(["feature", "n"], [list(held), list(held.values())], [pa.string(), pa.int64()])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                own = _features(set(tokens(text)))
-                held.update(own if only is None else own & only)
-                if len(held) > _FLUSH_TOKENS:
-                    yield flush()
-                    held = Counter()
-        if held:
-            yield flush()
-
-    return count
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            held.update(_features(set(tokens(text))))
+            if len(held) > _FLUSH_TOKENS:
+                yield flush()
+                held = Counter()
+    if held:
+        yield flush()
 
 
 def _prints():
@@ -121,8 +114,8 @@ def _prints():
     return prints
 
 
-def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
-    return texts.mapInArrow(_count_features(wanted), "feature string, n long").groupBy("feature").agg(
+def _document_counts(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_count_features, "feature string, n long").groupBy("feature").agg(
         F.sum("n").alias("n")
     )
 
@@ -130,30 +123,30 @@ def _document_counts(texts: DataFrame, wanted=None) -> DataFrame:
 def fit_lexicon(labelled: DataFrame, min_z: float = MIN_Z) -> Lexicon:
     """Lexicon from (text, toxic) rows: features whose log odds differ by ``min_z`` standard errors.
 
-    Candidates are the ``MAX_CANDIDATES`` features found in the most toxic texts, in ``MIN_SHARE`` of them at least;
-    their counts are over all labelled texts.
+    Candidates are all features in ``MIN_TEXTS`` toxic texts; their toxic and clean counts meet in a
+    join. The more candidates there are, the less likely by chance a count must be (a bound of
+    the binomial tail), so that about ``CHANCE`` features are chosen wrongly; what a language's few
+    toxic texts share counts as much as in any other. The lexicon is as large as the labelled rows make it.
     """
-    spark = labelled.sparkSession
     sizes = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad:
         return Lexicon()
     toxic, clean = (labelled.filter(F.col("toxic") == y).select("text") for y in (1, 0))
-    found = _document_counts(toxic).filter(F.col("n") >= max(4, MIN_SHARE * bad))
-    found = found.orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).collect()
-    counts = {r.feature: r.n for r in found}
-    wanted = spark.sparkContext.broadcast(set(counts))
-    others = {r.feature: r.n for r in _document_counts(clean, wanted).collect()}
-    chosen = []
-    for feature, n in counts.items():
-        m = others.get(feature, 0)
-        odds = np.log((n + 0.5) / (bad - n + 0.5)) - np.log((m + 0.5) / (max(0, good - m) + 0.5))
-        error = np.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-        if odds > 2.5 and odds / error > min_z:
-            chosen.append((-odds / error, feature))
+    found = stage(_document_counts(toxic).filter(F.col("n") >= MIN_TEXTS), "toxic-features")
+    clean_counts = _document_counts(clean).withColumnRenamed("n", "m")
+    both = found.join(clean_counts, "feature", "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    n, m = F.col("n"), F.col("m")
+    odds = F.log((n + 0.5) / (bad - n + 0.5)) - F.log((m + 0.5) / (F.greatest(F.lit(0), good - m) + 0.5))
+    z = odds / F.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
+    share, part = bad / (bad + good), n / (n + m)
+    rest = F.when(m > 0, m * F.log((1 - part) / max(1 - share, 1e-12))).otherwise(0.0)
+    unlikely = n * F.log(part / share) + rest  # - log of the bound
+    needed = float(np.log(max(1, found.count()) / CHANCE)) if good else 0.0
+    chosen = both.filter((odds > 2.5) & (z > min_z) & (unlikely >= needed)).select((-z).alias("z"), "feature")
     lexicon = Lexicon()
     taken: set[str] = set()
-    for _, feature in sorted(chosen)[:MAX_LEXICON]:
+    for _, feature in sorted(chosen.collect()):  # of a bounded number of labelled texts
         if feature.endswith("-"):
             if not any(feature[:k] + "-" in taken for k in STEMS if k < len(feature) - 1):
                 taken.add(feature)  # a stem of a chosen stem adds nothing
