@@ -12,8 +12,12 @@ lower-casing A-Z. Items without a word give no pattern; a null item id never cou
 item, though its words are hit. Null or empty documents have no words. Repeated items and
 rows each count by themselves (equal item ids once).
 
-The patterns of one pass are bounded by ``max_words``; a larger benchmark is searched in
-blocks of items, the documents' findings being written out between passes.
+The patterns of one pass are bounded by ``max_words``: equal items are taken once, a long one is cut
+into ranges of windows, and blocks are filled by a running count of words. A larger benchmark is
+searched block by block. Then the documents get row numbers and are staged once; a pass
+writes its findings by row number, without texts, and all findings are joined at the end.
+
+The result column must not be there yet; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -98,17 +102,56 @@ def searchers(items: list[tuple[int | None, bytes]], window: int) -> list[WuManb
     return list(by_length.values())
 
 
-def _pattern_blocks(benchmark: DataFrame, id_col: str, text_col: str, max_words: int):
-    """The benchmark's (id, text) rows, collected block by block; a word has a byte and a separator
-    at least, so bytes bound the words."""
+def _ranges(window: int, most: int):
+    """Items cut into ranges of at most ``most`` words that hold all their windows."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, most - window + 1)  # windows of a range
+        for batch in batches:
+            items, texts, sizes = [], [], []
+            for item, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = words(text.encode())
+                for at in range(0, max(1, len(own) - window + 1), step) if own else ():
+                    part = own[at : at + step + window - 1]
+                    items.append(item)
+                    texts.append(b" ".join(part).decode())
+                    sizes.append(len(part))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i.as_py() for i in items], batch.schema.field(0).type), pa.array(texts, pa.string()),
+                 pa.array(sizes, pa.int64())],
+                names=["item", "text", "n"],
+            )
+
+    return cut
+
+
+def _pattern_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_words: int):
+    """(id, text) rows of the benchmark in blocks of at most ``max_words`` words (one window at least),
+    of which one is held at a time."""
     items = benchmark.select(
         F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")
-    ).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
-    n = max(1, -(-size // max_words))  # mean words of a block: half the bound at most
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for k in range(n):
-        yield [(r.item, r.text.encode()) for r in (items if n == 1 else items.filter(block == k)).collect()]
+    ).filter("text is not null").distinct()
+    kind = items.schema["item"].dataType.simpleString()
+    ranges = items.mapInArrow(_ranges(window, max(window, max_words // 4)), f"item {kind}, text string, n long")
+    block, held = [], 0
+    for r in stage(ranges.distinct(), "benchmark-ranges").toLocalIterator():  # a partition at a time
+        if block and held + r.n > max_words:
+            yield block
+            block, held = [], 0
+        block.append((r.item, r.text.encode()))
+        held += r.n
+    yield block
+
+
+_LAST: list = []  # the patterns a worker has seen last, and their machines
+
+
+def _machines(patterns, window: int) -> list[WuManber]:
+    """Search structures of broadcast patterns, built once per worker."""
+    own = patterns.value
+    if not (_LAST and _LAST[0] is own and _LAST[1] == window):
+        _LAST[:] = [own, window, searchers(own, window)]
+    return _LAST[2]
 
 
 def _find(machines: list[WuManber], text: bytes | None) -> tuple[int, list, set]:
@@ -125,7 +168,7 @@ def _search(patterns, window: int):
 
     @F.arrow_udf("spans array<int>, items array<string>")
     def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        machines = searchers(patterns.value, window)
+        machines = _machines(patterns, window)
         for batch in texts:
             found = [_find(machines, t) for t in batch.cast(pa.binary()).to_pylist()]
             yield pa.StructArray.from_arrays(
@@ -147,7 +190,7 @@ def _last_search(patterns, window: int):
     @F.arrow_udf("n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, "
                  "contaminated boolean")
     def settle(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        machines = searchers(patterns.value, window)
+        machines = _machines(patterns, window)
         for texts, spans, items in columns:
             out = []
             for text, earlier, known in zip(
@@ -179,20 +222,29 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "con
     """All columns of ``docs`` and a struct ``column``: n_words, n_hit (words inside any occurrence of
     a benchmark window), n_items, items (ids as text, sorted), items_sha256, contaminated.
 
-    No row is shuffled: patterns are broadcast, at most ``max_words`` words a pass.
+    Patterns are broadcast, at most ``max_words`` words a pass; in a single pass no row is shuffled.
     """
-    context = docs.sparkSession.sparkContext
-    found, text = docs, F.col(text_col).cast("string")
+    if column in docs.columns:
+        raise ValueError(f"there is a column {column} already")
+    context, text = docs.sparkSession.sparkContext, F.col(text_col).cast("string")
     spans, items = F.array().cast("array<int>"), F.array().cast("array<string>")
-    passes: list[str] = []
-    blocks = _pattern_blocks(benchmark, "item_id", "text", max_words)
-    patterns = next(blocks)
+    blocks = _pattern_blocks(benchmark, "item_id", "text", window, max_words)
+    patterns, found, passes = next(blocks), docs, []
     for following in blocks:
-        passes.append(f"_found_{column}_{len(passes)}")
-        found = stage(found.withColumn(passes[-1], _search(context.broadcast(patterns), window)(text)), "searched")
+        name = f"_found_{column}_{len(passes)}"
+        if not passes:
+            row = f"_row_{column}"
+            found = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        search = _search(context.broadcast(patterns), window)(text)
+        passes.append(stage(found.select(row, search.alias(name)).filter(F.size(f"{name}.spans") > 0), "findings"))
         patterns = following
+    names = [p.columns[1] for p in passes]
+    for one in passes:
+        found = found.join(one, row, "left")
     if passes:
-        spans = F.flatten(F.array(*[f"{p}.spans" for p in passes]))
-        items = F.flatten(F.array(*[f"{p}.items" for p in passes]))
+        spans, items = (
+            F.flatten(F.array(*[F.coalesce(f"{n}.{part}", empty) for n in names]))
+            for part, empty in (("spans", spans), ("items", items))
+        )
     settled = _last_search(context.broadcast(patterns), window)(text, spans, items)
     return found.withColumn(column, settled).select(*docs.columns, column)

@@ -110,6 +110,35 @@ def test_packing(docs, rows):
         assert {r.doc_tokens for r in own} == {len(ids)}
 
 
+def test_copies_of_a_long_item_stay_within_the_bound(make_docs, same):
+    from pairwarden.llm import decontamination as D
+
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randint(0, 400)}" for _ in range(3000))
+    items = [(1, long)] * 300 + [(i, " ".join(f"x{rng.randint(0, 9)}" for _ in range(40))) for i in range(2, 90)]
+    docs = [(i, " ".join(long.split()[at : at + 60])) for i, at in enumerate(range(0, 2940, 97))]
+    docs += [(500, "nothing of it"), (501, None), (501, items[-1][1]), (None, items[-2][1])]
+    frame = make_docs(docs)
+    benchmark = frame.sparkSession.createDataFrame(items, "item_id long, text string")
+    sizes = [sum(len(D.words(t)) for _, t in block) for block in D._pattern_blocks(benchmark, "item_id", "text", 10, 1200)]
+    assert len(sizes) > 4 and max(sizes) <= 1200
+    got = mark_contamination(frame, benchmark, max_words=1200)
+    same(got.select("doc_id", "contamination.*").drop("items"),
+         ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"], brute.contamination(docs, items))
+    with pytest.raises(ValueError, match="already"):
+        mark_contamination(got, benchmark)
+
+
+def test_numerals_are_no_letters(make_docs):
+    for text in ("²³ ½", "①②", "12 Ⅷ", "_-_", "٣٤", "", None):
+        assert letters(text) == ""
+    assert letters("x² ½b ①c") == "x b c" and letters("日本 1 é") == "日本 é"
+    docs = make_docs([(i, "the same words of one language") for i in range(40)] + [(99, "²³ ½"), (98, "①②")])
+    train = docs.filter("doc_id < 40").withColumn("lang", F.lit("en"))
+    found = {r.doc_id: r.language.lang_pred for r in identify(docs.drop("lang"), train).collect()}
+    assert found[99] == found[98] == "und" and found[0] == "en"
+
+
 def test_piece_lengths():
     for n in (1, 5, 2047, 2048, 2049, 10_000):
         own = piece_lengths(n, 2048)
