@@ -9,9 +9,11 @@ reached or no candidates survive.
   hash of the level's shorter windows inside it. Equal windows have equal smallest
   hashes, so a window whose smallest hash is in one document only cannot repeat. About a
   quarter of the positions are sent, as hashes (``repeats.twice_seen``).
-- At the wanted length the survivors are resolved exactly: their hashes, pre-aggregated
-  per task, meet in buckets, which name the first document of each. Only that *owner*
-  hears about a window, so a passage that a third of all documents share is one answer.
+- At the wanted length the survivors are told apart by two independent hashes of 64 bits over
+  hashes of their words of two families; windows that agree in all 128 bits count as equal.
+  They are pre-aggregated per task and meet in buckets, which name the first document of
+  each. Only that *owner* hears about a window, so a passage that a third of all documents
+  share is one answer.
 - Every document then removes the surviving windows it does not own.
 
 Words are separated by ASCII white space and compared unchanged. Null texts have no words.
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, distinct, mixed, twice_seen
+from pairwarden.llm.repeats import MAX_FILTER_BYTES, TwiceSeen, mixed, twice_seen
 from pairwarden.llm.tables import NO_ID, cuts, narrow, power_of_two, rank, record, rows_of, text_bytes
 
 WINDOW = 13
@@ -44,6 +46,32 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def check_hashes(words: list[bytes]) -> np.ndarray:
+    """A second family, which shares nothing with the first."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def _first_of(h: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different windows (h, c), each with its smallest document."""
+    order = np.lexsort((d, c, h))
+    h, c, d = h[order], c[order], d[order]
+    first = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])][: len(h)]
+    return h[first], c[first], d[first]
+
+
+def among(h: np.ndarray, c: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Which windows (h, c) are among the pairs (n x 2)."""
+    order = np.argsort(pairs[:, 0], kind="stable")
+    known, checks = pairs[order, 0], pairs[order, 1]
+    low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+    found = np.zeros(len(h), bool)
+    for step in range(int((high - low).max(initial=0))):  # more than one: windows of one first hash
+        at = low + step
+        some = at < high
+        found[some] |= checks[at[some]] == c[some]
+    return found
+
+
 def window_hashes(h: np.ndarray, length: int) -> np.ndarray:
     """Order-sensitive hash of every ``length`` consecutive hashes, by doubling."""
     n = len(h) - length + 1
@@ -121,77 +149,68 @@ def levels(first: int, window: int) -> list[int]:
 
 
 def _send_windows(alive: Survivors, buckets: int):
-    """Per task: distinct surviving window hashes with their smallest document, by bucket."""
+    """Per task: distinct surviving windows with their smallest document, by bucket."""
 
-    def flush(hashes: list[np.ndarray], ranks: list[int]) -> pa.RecordBatch:
-        h = np.concatenate(hashes)
+    def flush(hashes: list[np.ndarray], checks: list[np.ndarray], ranks: list[int]) -> pa.RecordBatch:
         d = np.repeat(np.array(ranks, np.int64), [len(x) for x in hashes])
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        first = np.r_[True, h[1:] != h[:-1]]
-        h, d = h[first], d[first]
+        h, c, d = _first_of(np.concatenate(hashes), np.concatenate(checks), d)
         bucket = (h >> np.uint64(40)).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
-        bucket, h, d = bucket[order], h[order], d[order]
+        bucket, h, c, d = bucket[order], h[order], c[order], d[order]
         ends = cuts(bucket)
         parts = list(zip(ends, ends[1:], strict=False))
         return record(
-            ["bucket", "hashes", "docs"],
-            [bucket[ends[:-1]], [h[a:b].tobytes() for a, b in parts], [d[a:b].tobytes() for a, b in parts]],
-            [pa.int32(), pa.binary(), pa.binary()],
+            ["bucket", "hashes", "checks", "docs"],
+            [bucket[ends[:-1]], *[[x[a:b].tobytes() for a, b in parts] for x in (h, c, d)]],
+            [pa.int32(), pa.binary(), pa.binary(), pa.binary()],
         )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ranks, held = [], [], 0
+        hashes, checks, ranks, held = [], [], [], 0
         for doc, text in rows_of(batches):
-            words = word_hashes(text.split())
+            split = text.split()
+            words = word_hashes(split)
             mine = alive(words)
             if mine.any():
-                own = distinct(window_hashes(words, alive.window)[mine])
-                hashes.append(own)
+                hashes.append(window_hashes(words, alive.window)[mine])
+                checks.append(window_hashes(check_hashes(split), alive.window)[mine])
                 ranks.append(NO_ID if doc is None else doc)
-                held += len(own)
+                held += len(hashes[-1])
             if held >= _FLUSH_WINDOWS:
-                yield flush(hashes, ranks)
-                hashes, ranks, held = [], [], 0
+                yield flush(hashes, checks, ranks)
+                hashes, checks, ranks, held = [], [], [], 0
         if hashes:
-            yield flush(hashes, ranks)
+            yield flush(hashes, checks, ranks)
 
     return send
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by bucket: the first document of each window; one row per owner and bucket."""
-    at, hashes, docs, loose = None, [], [], 0
+    at, held, loose = None, [], 0
 
     def merge():
-        h, d = np.concatenate(hashes), np.concatenate(docs)
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        first = np.r_[True, h[1:] != h[:-1]]
-        return h[first], d[first]
+        return _first_of(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     def done():
-        h, d = merge()
+        h, c, d = merge()
         order = np.argsort(d, kind="stable")
-        h, d = h[order], d[order]
+        own, d = np.stack([h[order], c[order]], axis=1), d[order]
         ends = cuts(d)
         return record(["rank", "own"],
-                      [d[ends[:-1]], [h[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]],
+                      [d[ends[:-1]], [own[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]],
                       [pa.int64(), pa.binary()])
 
     for batch in batches:
-        for bucket, h, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for bucket, h, c, d in zip(*(x.to_pylist() for x in batch.columns), strict=True):
             if bucket != at and at is not None:
                 yield done()
-                hashes, docs, loose = [], [], 0
+                held, loose = [], 0
             at = bucket
-            hashes.append(np.frombuffer(h, np.uint64))
-            docs.append(np.frombuffer(d, np.int64))
-            loose += len(hashes[-1])
+            held.append((np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint64), np.frombuffer(d, np.int64)))
+            loose += len(held[-1][0])
             if loose > _FLUSH_WINDOWS:  # fold repeats, so that only distinct windows are held
-                h, d = merge()
-                hashes, docs, loose = [h], [d], 0
+                held, loose = [merge()], 0
     if at is not None:
         yield done()
 
@@ -211,9 +230,9 @@ def _remove(alive: Survivors | None, window: int, with_text: bool):
                     mine = alive(hashes)
                     if mine.any():
                         at = np.flatnonzero(mine)
-                        found = window_hashes(hashes, window)[at]
-                        owned = np.frombuffer(b"".join(own or ()), np.uint64)
-                        at = at[~np.isin(found, owned)]
+                        found, checks = (window_hashes(h, window)[at] for h in (hashes, check_hashes(words)))
+                        owned = np.frombuffer(b"".join(own or ()), np.uint64).reshape(-1, 2)
+                        at = at[~among(found, checks, owned)]
                         edge = np.zeros(len(words) + 1, np.int64)
                         np.add.at(edge, at, 1)
                         np.add.at(edge, at + window, -1)
@@ -252,7 +271,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, first: int = FIRST, wi
     else:
         buckets = power_of_two(size / _BUCKET_BYTES, 8, 1 << 20)
         owners = (
-            docs.mapInArrow(_send_windows(alive, buckets), "bucket int, hashes binary, docs binary")
+            docs.mapInArrow(_send_windows(alive, buckets), "bucket int, hashes binary, checks binary, docs binary")
             .repartition("bucket")
             .sortWithinPartitions("bucket")
             .mapInArrow(_own, "rank long, own binary")

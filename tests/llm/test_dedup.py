@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairwarden.llm import components as star
@@ -211,3 +212,21 @@ def test_empty_tables(empty):
     for frame in (remove_long_repeats(empty), remove_repeats(empty), drop_repeated_lines(empty),
                   exact_duplicates(empty), keep_one(empty), near_duplicates(empty), keep_one_near(empty)):
         assert frame.count() == 0
+
+
+def test_windows_of_one_first_hash_are_told_apart(make_docs, monkeypatch, same):
+    """A forced collision of the first 64 bits: windows of different words stay."""
+    from pairwarden.llm import substring_dedup as S
+
+    pairs = np.array([[5, 1], [5, 2], [7, 1]], np.uint64)
+    h, c = np.array([5, 5, 5, 7, 8], np.uint64), np.array([1, 2, 3, 1, 1], np.uint64)
+    assert S.among(h, c, pairs).tolist() == [True, True, False, True, False]
+    assert not S.among(h, c, pairs[:0]).any()
+    d = np.array([9, 4, 3, 2, 1])
+    assert [x.tolist() for x in S._first_of(h[[0, 0, 1, 2, 2]], c[[0, 0, 1, 2, 2]], d)] == [[5, 5, 5], [1, 2, 3], [4, 3, 1]]
+    owned = next(S._own(iter([pa.RecordBatch.from_pylist([
+        {"bucket": 0, "hashes": h[:3].tobytes(), "checks": c[:3].tobytes(), "docs": np.array([3, 2, 1]).tobytes()},
+        {"bucket": 0, "hashes": h[:1].tobytes(), "checks": c[:1].tobytes(), "docs": np.array([1]).tobytes()},
+    ])])))
+    assert {r["rank"]: np.frombuffer(r["own"], np.uint64).reshape(-1, 2).tolist() for r in owned.to_pylist()} == {
+        1: [[5, 1], [5, 3]], 2: [[5, 2]]}
