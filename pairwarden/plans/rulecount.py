@@ -17,7 +17,7 @@ from pairwarden.operators.reconstruct import Linear, reconstruct
 from pairwarden.operators.reshape import count_matrix, stack
 from pairwarden.operators.rules import load_rules, rules_in_use, select_rules
 from pairwarden.operators.scoring import label, mad_threshold, minmax_fit, row_rmse, stable
-from pairwarden.operators.similarity import similar_pairs
+from pairwarden.operators.similarity import similar_bags, similar_pairs
 from pairwarden.plans.models import DenseModel
 from pairwarden.schemas import SIMILAR_RESULT
 from pairwarden.session import stage
@@ -78,19 +78,70 @@ def bucket_scores(events: DataFrame, model: DenseModel, time: str = "time") -> D
     return label(scored, "ai_rmse", model.threshold, "above")
 
 
+_EVENT_COLS = ["time", "ip", "type", "single_rule", "hash", "id", "milli_time"]
+
+
+def _anomalous(events: DataFrame, model: DenseModel, kind: str) -> DataFrame:
+    """Events of anomalous buckets with their texts."""
+    texts = stage(events.select(*_EVENT_COLS, text_of(TEXT_COLS[kind]).alias("text")), f"{kind}-texts")
+    marked = bucket_scores(texts, model).filter("ai_label").select("bucket", "ai_rmse", "ai_label")
+    return texts.withColumn("bucket", bucket("time")).join(marked, "bucket").withColumn("_rule", F.col("single_rule"))
+
+
+def similar_event_classes(
+    events: DataFrame, model: DenseModel, kind: str, min_sim: float = SIMILARITY_THRESHOLD
+) -> DataFrame:
+    """The similar events in a space that grows with the events: bucket, single_rule, part, f_hash,
+    b_hash, site, cos_sim.
+
+    Events of a bucket and rule with the same words are a class, named by its smallest hash. Part
+    ``member`` has a row per event: its class (f_hash), itself (b_hash) and its site. Part ``link``
+    has two classes and their similarity. Two events are a pair of ``similar_events`` exactly when
+    their sites differ and they are of one class or of linked ones. Classes and links without
+    two sites are left out.
+    """
+    site = F.array_join(F.slice(F.split("id", "_"), 1, 2), "_")
+    raw = _anomalous(events, model, kind).select("bucket", "_rule", "type", "hash", site.alias("site"), "text")
+    group = ["bucket", "_rule", "type"]
+    found = similar_bags(raw, group, "text", min_sim)
+    members = found.members.filter("bag is not null")
+    classes = stage(
+        members.groupBy(*group, "bag").agg(
+            F.min("hash").alias("name"), F.min("site").alias("lo"), F.max("site").alias("hi")
+        ),
+        "event-classes",
+    )
+    one, two = (
+        classes.select(*group, F.col("bag").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("name", "lo", "hi")])
+        for x in ("a", "b")
+    )
+    several = (F.least("lo_a", "lo_b") != F.greatest("hi_a", "hi_b"))
+    links = stage(
+        found.pairs.join(one, [*group, "a"]).join(two, [*group, "b"]).filter(several)
+        .select(*group, "a", "b", "name_a", "name_b", "sim"),
+        "event-links",
+    )
+    linked = links.select(*group, F.explode(F.array("a", "b")).alias("bag")).distinct()
+    wanted = classes.filter("lo <> hi").select(*group, "bag").union(linked).distinct()
+    kept = classes.join(wanted, [*group, "bag"])
+    members = members.join(kept.select(*group, "bag", "name"), [*group, "bag"]).select(
+        "bucket", F.col("_rule").alias("single_rule"), F.lit("member").alias("part"), F.col("name").alias("f_hash"),
+        F.col("hash").alias("b_hash"), "site", F.lit(1.0).alias("cos_sim"))
+    return members.unionByName(links.select(
+        "bucket", F.col("_rule").alias("single_rule"), F.lit("link").alias("part"),
+        F.least("name_a", "name_b").alias("f_hash"), F.greatest("name_a", "name_b").alias("b_hash"),
+        F.lit(None).cast("string").alias("site"), F.col("sim").alias("cos_sim")))
+
+
 def similar_events(
     events: DataFrame, model: DenseModel, kind: str, min_sim: float = 0.0
 ) -> DataFrame:
-    """Similar events of different sites and one rule inside anomalous buckets."""
-    cols = ["time", "ip", "type", "single_rule", "hash", "id", "milli_time"]
-    texts = stage(events.select(*cols, text_of(TEXT_COLS[kind]).alias("text")), f"{kind}-texts")
-    marked = bucket_scores(texts, model).filter("ai_label").select("bucket", "ai_rmse", "ai_label")
-    raw = (
-        texts.withColumn("bucket", bucket("time"))
-        .join(marked, "bucket")
-        .withColumn("_rule", F.col("single_rule"))
-    )
-    cols = [*cols, "ai_rmse", "ai_label"]
+    """Similar events of different sites and one rule inside anomalous buckets, pair by pair.
+
+    A burst of m equal events makes about m x m pairs; ``similar_event_classes`` does not.
+    """
+    raw = _anomalous(events, model, kind)
+    cols = [*_EVENT_COLS, "ai_rmse", "ai_label"]
     pairs = similar_pairs(raw, ["bucket", "_rule"], "hash", cols, "text", min_sim)
     return (
         pairs.filter(different_site("f_id", "b_id") & (F.col("f_type") == F.col("b_type")))
