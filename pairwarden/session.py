@@ -83,7 +83,7 @@ _SHIPPED: set[str] = set()  # applications whose executors have the package
 def ship_package(spark: SparkSession) -> None:
     """Give executors the package, like ``--py-files``: operators that run Python in tasks need it.
 
-    Once per application; the package goes as a zip through the shared folder.
+    Once per application; the package goes as a zip through the shared folder, where it stays.
     """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
@@ -93,7 +93,9 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(held, "w") as out:
         for source in sorted(root.rglob("*.py")):
             out.write(source, f"{root.name}/{source.relative_to(root)}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh_path(spark, 'package')}/{root.name}.zip")
+    # beside the staged tables: executors that start late fetch it, too
+    folder = f"{shared_folder(spark)}/package-{context.applicationId}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{root.name}.zip")
     stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
     stream.write(bytearray(held.getvalue()))
     stream.close()
