@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and all but
 the last return the columns of documents. ``run`` writes each stage's rows to the shared
 folder and reads them again, so no stage depends on executors that ran an earlier one.
+
+Rows with a null or empty text, or without a letter, are rejected by language ID; a null id, language
+or source rejects nothing. Rows that share an id are rows of their own until a stage finds their
+texts equal or near. Ties keep what each stage's docstring says. An empty table stays empty in every stage.
+Columns beyond those of documents are kept, whatever their names. Texts may be of any length.
 """
 
 from __future__ import annotations
@@ -19,11 +24,19 @@ from pairwarden.llm.simhash_dedup import keep_one as keep_one_near_copy
 from pairwarden.session import stage
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language is rejected: no letters, or a narrow margin."""
     prepare(spark)
-    found = identify(docs, docs.filter(~held_out("doc_id", 5, 0)), column="_language")
-    return found.filter(~F.col("_language.rejected")).select(*docs.columns)
+    own = _free(docs, "_language")
+    found = identify(docs, docs.filter(~held_out("doc_id", 5, 0)), column=own)
+    return found.filter(~F.col(f"{own}.rejected")).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +54,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     prepare(spark)
+    own = _free(docs, "_contamination")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = mark_contamination(docs, benchmark, column="_contamination")
-    return marked.filter(~F.col("_contamination.contaminated")).select(*docs.columns)
+    marked = mark_contamination(docs, benchmark, column=own)
+    return marked.filter(~F.col(f"{own}.contaminated")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
