@@ -17,7 +17,7 @@ into ranges of windows, and blocks are filled by a running count of words. A lar
 searched block by block. Then the documents get row numbers and are staged once; a pass
 writes its findings by row number, without texts, and all findings are joined at the end.
 
-The result column must not be there yet; other columns may have any name.
+A column with the name of the result is replaced; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -224,8 +224,6 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "con
 
     Patterns are broadcast, at most ``max_words`` words a pass; in a single pass no row is shuffled.
     """
-    if column in docs.columns:
-        raise ValueError(f"there is a column {column} already")
     context, text = docs.sparkSession.sparkContext, F.col(text_col).cast("string")
     spans, items = F.array().cast("array<int>"), F.array().cast("array<string>")
     blocks = _pattern_blocks(benchmark, "item_id", "text", window, max_words)
@@ -247,4 +245,4 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, column: str = "con
             for part, empty in (("spans", spans), ("items", items))
         )
     settled = _last_search(context.broadcast(patterns), window)(text, spans, items)
-    return found.withColumn(column, settled).select(*docs.columns, column)
+    return found.withColumn(column, settled).select(*[c for c in docs.columns if c != column], column)

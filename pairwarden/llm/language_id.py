@@ -137,10 +137,8 @@ def identify(docs: DataFrame, train: DataFrame, column: str = "language",
     """All columns of ``docs`` and a struct ``column``: lang_pred, score, margin, rejected.
 
     ``train`` (text, lang) is what is learned from. Only the text decides a prediction.
-    Without a single labelled row every text is ``und`` and rejected. ``column`` must not be there
-    yet. Repeated rows are predicted like any other and count once in what is learned.
+    Without a single labelled row every text is ``und`` and rejected. A ``column`` that is there
+    already is replaced. Repeated rows are predicted like any other and count once in what is learned.
     """
-    if column in docs.columns:
-        raise ValueError(f"there is a column {column} already")
     fitted = docs.sparkSession.sparkContext.broadcast(fit_dictionaries(train))
     return docs.withColumn(column, predictor(fitted, min_margin)(F.col("text").cast("string")))
