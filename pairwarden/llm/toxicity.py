@@ -36,7 +36,7 @@ from pairwarden.session import stage
 
 MIN_TEXTS = 4  # toxic texts that hold a feature
 MIN_Z = 2.8
-CHANCE = 0.05  # features expected to be chosen by chance
+CHANCE = 20  # features expected to be chosen by chance, at most; the label model weighs them down
 STEMS = (4, 5, 6)
 WORD_GROUPS = 6
 STEM_GROUPS = 4
