@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairwarden.llm.tables import narrow, record
+from pairwarden.llm.tables import narrow, record, whole_rows
 from pairwarden.session import stage
 
 COUNTERS = 4096
@@ -100,14 +100,14 @@ def keep_one(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
         F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_digest")
     )
     kept = stage(decided, "kept")
-    found = docs.withColumn("_digest", _digest_of(F.col("text").cast("string"))).join(
-        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id"))
-        & (F.col("_digest") == F.col("_keep_digest")),
+    rows = whole_rows(docs, _id=F.col("doc_id").cast("long"), _digest=_digest_of(F.col("text").cast("string")))
+    found = rows.join(
+        kept, F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_digest") == F.col("_keep_digest"))
     )
     repeated = text_digests(docs).groupBy("doc_id", "digest").count().filter("count > 1")
     if not repeated.isEmpty():
         found = found.dropDuplicates(["_keep_id", "_keep_digest"])
-    return found.select(*docs.columns)
+    return found.select("_doc.*")
 
 
 @F.arrow_udf(T.BinaryType())

@@ -18,7 +18,6 @@ has its part of that, and as much smaller a sample.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,15 +36,16 @@ _BLOCK_BYTES = 2048
 _LEVEL = 5
 _FRAME_BYTES = 6  # what an empty frame takes
 
-#: Numerals that are word characters, but neither letters nor digits: powers, fractions, circled numbers.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_OTHERS = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_OTHERS = re.compile(r"[\W\d_]+")
 _AGAIN = re.compile(r"\b(\w+)(?: \1\b)+")
 
 
 def letters(text: str | None) -> str:
     """Lower-cased letters, words separated by one space."""
-    return _AGAIN.sub(r"\1", _OTHERS.sub(" ", (text or "").lower()).strip())
+    found = _OTHERS.sub(" ", (text or "").lower()).strip()
+    if found and not found.replace(" ", "").isalpha():  # numerals such as powers and fractions pass for letters
+        found = " ".join("".join(c if c.isalpha() else " " for c in found).split())
+    return _AGAIN.sub(r"\1", found)
 
 
 def held_out(doc_id: str, parts: int, part: int) -> Column:

@@ -26,7 +26,7 @@ from pairwarden.llm.tables import narrow
 from pairwarden.llm.tokens import WORD_BPE, word_tokenizer
 from pairwarden.session import stage
 
-_STEP = 4096  # texts encoded at once; a batch has a few megabytes
+_STEP = 512  # texts encoded at once
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:

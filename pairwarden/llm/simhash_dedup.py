@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from pairwarden.llm.components import components
 from pairwarden.llm.repeats import mixed
-from pairwarden.llm.tables import cuts, narrow, power_of_two, record, rows_of
+from pairwarden.llm.tables import cuts, narrow, power_of_two, record, rows_of, whole_rows
 from pairwarden.session import stage
 
 SEED = 42
@@ -193,13 +193,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFr
         F.min("doc_id").alias("_keep_id"), F.min("fingerprint").alias("_keep_fp"), F.count("*").alias("_rows")
     )
     kept = stage(kept.drop("root"), "kept")
-    marked = docs.withColumn("_fp", _fingerprint_column(shingle)(text))
-    joined = marked.join(
-        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_fp") == F.col("_keep_fp"))
-    )
+    marked = whole_rows(docs, _id=F.col("doc_id").cast("long"), _fp=_fingerprint_column(shingle)(text))
+    joined = marked.join(kept, F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_fp") == F.col("_keep_fp")))
     if not kept.filter("_rows > 1").isEmpty():  # repeated ids
         joined = joined.dropDuplicates(["_keep_id", "_keep_fp"])
-    return joined.select(*docs.columns)
+    return joined.select("_doc.*")
 
 
 def _fingerprint_column(shingle: int):

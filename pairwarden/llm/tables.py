@@ -21,6 +21,13 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+def whole_rows(docs: DataFrame, **own: Column) -> DataFrame:
+    """Each row as one struct ``_doc`` beside columns of an operator's own, with which its columns
+    cannot clash; ``_doc.*`` gives them back."""
+    rows = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return docs.select(rows, *[c.alias(name) for name, c in own.items()])
+
+
 def rank(doc_id: str = "doc_id") -> Column:
     """Order of documents: by id, those without one last (and equal to each other)."""
     return F.coalesce(F.col(doc_id), F.lit(NO_ID))

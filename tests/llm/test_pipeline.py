@@ -6,6 +6,7 @@ import corpus_pipeline
 from pairwarden.session import stage
 
 FOLDER = "/root/testdata/sf0.001"
+UPPER = {c: c - 32 for c in range(97, 123)}
 EXTRA = ["_language", "_contamination", "language", "fp", "_fp", "_keep_id", "row", "keep_id", "length", "bucket", "rank"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
     f"`{c}` string" for c in EXTRA)
@@ -19,7 +20,7 @@ def odd(spark):
     text = rows[5][1]
     rows += [(1000, None, "en", "s", 1), (1001, "", "en", "s", 1), (1002, " \n", None, None, None),
              (1003, "12 ½ --", "en", "s", 1), (None, text + " more", None, None, None), (None, text + " more", "en", "s", 2),
-             (1004, text, "en", "s", 1), (1004, text, "en", "s", 1), (1005, text.upper(), "de", None, 1),
+             (1004, text, "en", "s", 1), (1004, text, "en", "s", 1), (1005, text.translate(UPPER), "de", None, 1),
              (1006, " ".join([text] * (3_000_000 // max(1, len(text)) + 1)), rows[5][2], "s", 1),
              (1007, f"{text} {item.text} {text}", rows[5][2], "s", 1)]
     return spark.createDataFrame([(*r, *["x"] * len(EXTRA)) for r in rows], SCHEMA).repartition(3)
