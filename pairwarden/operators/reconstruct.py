@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from fractions import Fraction
 
 import numpy as np
-import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
