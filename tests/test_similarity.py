@@ -6,8 +6,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from pairwarden.operators.similarity import similar_bags, similar_classes, similar_pairs
+from pairwarden.operators.similarity import bag_degrees, bag_rows, similar_bags, similar_classes, similar_pairs
 
 
 def brute(rows, min_sim):
@@ -68,3 +69,34 @@ def test_classes_are_the_pairs_in_less_space(spark):
     for r in pairs:
         f, b = name.get(r.f_id, r.f_id), name.get(r.b_id, r.b_id)
         assert r.sim == pytest.approx(1.0 if f == b else sims[min(f, b), max(f, b)])
+
+
+@pytest.mark.parametrize("block", [2048, 4])
+def test_links_are_counted_without_being_written(spark, block):
+    rows = [(*r, f"s{r[0] % 3}" if r[0] % 7 else None) for r in texts()]
+    df = spark.createDataFrame(rows, "id int, g string, t string, site string")
+    found = bag_degrees(bag_rows(df, "t"), ["g"], 0.4, "site", block)
+    assert "Join" not in found._jdf.queryExecution().analyzed().toString().split("MapInArrow")[0]
+    bags = similar_bags(df, ["g"], "t", 0.4)
+    sites = {}
+    for r in bags.members.collect():
+        if r.site and r.bag:
+            sites.setdefault((r.g, bytes(r.bag)), set()).add(r.site)
+    want = Counter()
+    for r in bags.pairs.collect():
+        ends = [(r.g, bytes(x)) for x in (r.a, r.b)]
+        if len(set().union(*[sites.get(x, set()) for x in ends])) > 1:
+            want.update(ends)
+    assert want and {(r.g, bytes(r.bag)): r.n_links for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("asked", [None, "id % 50 = 0"])
+def test_pairs_below_the_bound_make_no_rows(spark, asked):
+    """All texts share 30 words: 8 million pairs of 31 meetings each, of which one is a link."""
+    df = spark.range(4000).selectExpr(
+        "id", "'g' as g", "concat_ws(' ', transform(sequence(1, 30), x -> concat('common', x)), "
+        "transform(sequence(1, 3), x -> concat('own', x, '_', id - if(id = 3950, 50, 0))), if(id = 3950, 'own1_3900', '')) as t")
+    found = similar_classes(df, ["g"], "id", "t", 0.95, 512, asked and F.expr(asked))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "word" not in plan.replace("_words", "")
+    assert [(r.f_id, r.b_id) for r in found.collect()] == [(3900, 3950)]
