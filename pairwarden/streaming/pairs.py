@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,27 +25,33 @@ from pairwarden.session import ship_package
 _AT = "_at"  # event time in microseconds
 
 
-def _packed(rows: pd.DataFrame) -> bytes:
-    table = pa.Table.from_pandas(rows, preserve_index=False)
+PAIR_ROWS = 1 << 16  # that are handed on at once
+
+
+def _packed(rows: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows, PAIR_ROWS)
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(held: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(held).read_all().to_pandas()
+def _unpacked(held: bytes) -> pa.Table:
+    return pa.ipc.open_stream(held).read_all()
+
+
+def _joined(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts, promote_options="permissive")
 
 
-def _pair_up(rows: pd.DataFrame, final: int, tail: int, cols: Sequence[str], n: int) -> pd.DataFrame:
+def _pair_up(rows: pa.Table, final: int, tail: int, cols: Sequence[str], n: int) -> Iterator[pd.DataFrame]:
     """Pairs whose back row is one of the ``final`` rows after the first ``tail``."""
-    parts = []
+    chosen = rows.select(list(cols))
     for step in range(1, n + 1):
-        back = range(max(tail, step), tail + final)
-        front, behind = rows.iloc[[i - step for i in back]], rows.iloc[list(back)]
-        part = {f"f_{c}": front[c].to_numpy() for c in cols} | {f"b_{c}": behind[c].to_numpy() for c in cols}
-        parts.append(pd.DataFrame(part | {"step": step}))
-    return pd.concat(parts, ignore_index=True)
+        for at in range(max(tail, step), tail + final, PAIR_ROWS):
+            size = min(PAIR_ROWS, tail + final - at)
+            front, behind = chosen.slice(at - step, size).to_pandas(), chosen.slice(at, size).to_pandas()
+            part = {f"f_{c}": front[c].to_numpy() for c in cols} | {f"b_{c}": behind[c].to_numpy() for c in cols}
+            yield pd.DataFrame(part | {"step": step})
 
 
 def stream_skip_pairs(
@@ -70,24 +77,30 @@ def stream_skip_pairs(
     def pair(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, tail = (None, 0) if not state.exists else state.get
         now = state.getCurrentWatermarkMs() * 1000
-        fresh = [] if state.hasTimedOut else [b[[_AT, *kept]] for b in batches]
-        fresh = [b[b[_AT] >= now] for b in fresh]  # others are late
-        old = [] if held is None else [_unpacked(held)]
-        before, waiting = (old[0].iloc[:tail], old[0].iloc[tail:]) if old else (None, None)
-        open_rows = [x for x in [waiting, *fresh] if x is not None and len(x)]
-        ordered = pd.concat(open_rows, ignore_index=True).sort_values(order, kind="stable") if open_rows else None
-        whole = pd.concat([x for x in (before, ordered) if x is not None and len(x)], ignore_index=True) \
-            if before is not None and len(before) or ordered is not None else None
-        if whole is None:
+        fresh = [] if state.hasTimedOut else [  # rows of the group are held in columns, as narrow as they are
+            pa.Table.from_pandas(rows, preserve_index=False)
+            for b in batches if len(rows := b.loc[b[_AT] >= now, [_AT, *kept]])  # others are late
+        ]
+        whole = None if held is None else _unpacked(held)
+        del held
+        if fresh:
+            # only rows after the tail can still be overtaken
+            waiting = [] if whole is None else [whole.slice(tail)]
+            ordered = _joined([*waiting, *fresh])
+            fresh.clear()
+            ordered = ordered.sort_by([(c, "ascending") for c in order])
+            whole = ordered if whole is None or not tail else _joined([whole.slice(0, tail), ordered])
+            del waiting, ordered
+        if whole is None or not len(whole):
             return
-        final = int((whole[_AT].iloc[tail:] < now).sum())
+        final = pc.sum(pc.less(whole[_AT].slice(tail), now)).as_py() or 0
         if final:
-            yield _pair_up(whole, final, tail, cols, n)
+            yield from _pair_up(whole, final, tail, cols, n)
         first = max(0, tail + final - n)
-        left = whole.iloc[first:]
+        left = whole.slice(first)
         state.update((_packed(left), tail + final - first))
         if len(left) > tail + final - first:  # something waits for the watermark
-            state.setTimeoutTimestamp(max(now // 1000, int(left[_AT].iloc[tail + final - first]) // 1000) + 1)
+            state.setTimeoutTimestamp(max(now // 1000, left[_AT][tail + final - first].as_py() // 1000) + 1)
 
     groups = [f"_g{i}" for i in range(len(by))]
     return rows.groupBy(*groups).applyInPandasWithState(
