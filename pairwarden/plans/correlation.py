@@ -219,12 +219,26 @@ def _blank(df: DataFrame) -> DataFrame:
     return fill_missing(df, {}, [c for c, kind in df.dtypes if kind == "string"])
 
 
+_RUN_COLS = (*PAIR_COLS, "time_text", "unit_id", "manufacturer_name")
+_KIND_COLS = {"log": ("machine_no", "loged_time", "source"), "packet": ("src_ip", "dst_ip")}
+
+
+def _run_events(tables: Tables, settings: CorrelationSettings, start, end) -> list[DataFrame]:
+    """Enriched logs and packets with the columns that a run reads; staged, as singles, merging
+    and pairs each read them."""
+    chosen = {"log": settings.log_cols, "packet": settings.packet_cols}
+    return [
+        stage(df.select(*dict.fromkeys([*_RUN_COLS, *_KIND_COLS[kind], *chosen[kind]])), f"{kind}-events")
+        for kind, df in zip(("log", "packet"), _events(tables, start, end), strict=True)
+    ]
+
+
 def predict_correlation(
     tables: Tables, settings: CorrelationSettings, model: PairModel, start, end, run_time: datetime,
     stored: Stored = Stored(),
 ) -> Predicted:
     """Single events, prepared events and scored same-asset pairs of a time range, without what is stored."""
-    all_logs, packets = _events(tables, start, end)
+    all_logs, packets = _run_events(tables, settings, start, end)
     logs = without_source(all_logs, settings.exclusion_source) if settings.exclusion_source else all_logs
     if settings.security_servers:
         logs = exclude_patterns(logs, "ip", settings.security_servers)
