@@ -5,9 +5,12 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from pairwarden.operators import dots, similarity
 from pairwarden.operators.similarity import bag_degrees, bag_rows, similar_bags, similar_classes, similar_pairs
 
 
@@ -100,3 +103,30 @@ def test_pairs_below_the_bound_make_no_rows(spark, asked):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "word" not in plan.replace("_words", "")
     assert [(r.f_id, r.b_id) for r in found.collect()] == [(3900, 3950)]
+
+
+def test_sketches_are_never_less_than_the_similarity():
+    draw = np.random.default_rng(5)
+    texts = [" ".join(sorted(f"wörd{w}" for w in draw.zipf(1.3, n) % 3000)) for n in draw.integers(1, 400, 300)]
+    texts += [t + " zz" for t in texts[:50]]
+    near = np.frombuffer(b"".join(dots.sketch(pa.array(texts)).to_pylist()), np.float16).reshape(-1, dots.SKETCH)
+    near = near.astype(np.float32) @ near.astype(np.float32).T
+    want = brute([(i, "g", t) for i, t in enumerate(texts)], 0.0)
+    assert len(want) > 10_000 and all(near[pair] > sim - dots.ROUNDED for pair, sim in want.items())
+    assert any(sim > 0.95 for sim in want.values()) and (near < 0.8).any()
+
+
+@pytest.mark.parametrize("asked", [None, "id % 50 = 0"])
+@pytest.mark.parametrize("min_sim", [0.95, 0.999])
+def test_bags_near_to_none_are_not_repeated(spark, asked, min_sim):
+    """Of 2,000 texts in 40 blocks three are near; before, all were in as many cells as blocks."""
+    df = spark.range(2000).selectExpr(
+        "id", "'g' as g", "concat_ws(' ', 'common', transform(sequence(1, 40), x -> concat('own', x, '_', "
+        "id - case id when 1950 then 1253 when 700 then 3 else 0 end)), if(id = 1950, 'more', '')) as t")
+    found = similar_classes(df, ["g"], "id", "t", min_sim, 50, asked and F.expr(asked))
+    links = sorted((r.f_id, r.b_id) for r in found.collect())
+    want = [(697, 700)] + ([(697, 1950)] if min_sim == 0.95 else [])
+    assert links == want
+    rows = bag_rows(df, "t", asked and F.expr(asked))
+    cells = similarity._bag_cells(rows, ["g"], min_sim, 50, asked is not None, {})
+    assert cells.count() <= 4
