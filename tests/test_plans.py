@@ -1,12 +1,19 @@
 """Training and prediction plans end to end, and the streams behind them."""
 
-from datetime import datetime
-
+import math
+import re
+from collections import Counter
+from datetime import datetime, timedelta
+from hashlib import md5
+from itertools import combinations, product
+
+import duckdb
 import numpy as np
 import pytest
-from compare import ROOT
+from compare import ROOT, compare
 from pyspark.sql import functions as F
 
+from pairwarden.catalog import ORACLES, QUERIES
 from pairwarden.catalog import plan_queries as PQ
 from pairwarden.catalog import standins as t
 from pairwarden.functions.columns import clean_value
@@ -217,3 +224,49 @@ def test_no_single_partition_exchange_in_the_joins(spark):
     for name in ("attach_address", "label_pairs", "same_asset", "attach_multi", "corr_pairs"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan, name
+
+
+def test_classes_and_links_hold_every_pair_of_events(spark, tmp_path):
+    """Query and SQL: each link with both its classes and its similarity, not their number alone."""
+    events = [
+        (i, datetime(2024, 1, 1) + timedelta(seconds=12 * i), i * 7 % 30, "click" if i % 5 else "view",
+         float(i * 13 % 120), f"text {('abc', 'def')[i % 2]} word{i % 3 % 2}") for i in range(90)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(i, i % 5) for i in range(30)], "s_suppkey long, s_nationkey long"
+                          ).write.parquet(f"{tmp_path}/supplier.parquet")
+    hits: dict[tuple, list] = {}
+    for i, ts, user, kind, value, props in events:
+        words = [props, None if user % 7 == 0 else f"user {user % 20}", "large" if value > 50 else "small", None,
+                 None if user % 11 == 0 else kind]
+        bag = Counter(re.findall(r"\w\w+", ",".join(x or "," for x in words)))
+        rules = {1: kind == "click", 2: kind == "click" and value > 50, 4: kind == "view"}
+        for rule in (r for r, hit in rules.items() if hit and user % 17 != 3):
+            key = ts.replace(minute=ts.minute // 10 * 10, second=0), rule
+            hits.setdefault(key, []).append((md5(f"{i}|{user}|{kind}".encode()).hexdigest(), user % 3, bag))
+    marked = {b for (b, _), rows in hits.items() if len(rows) > 1}
+    want = {}
+    for key, rows in hits.items():
+        for (f, one, x), (b, two, y) in combinations(sorted(rows, key=lambda r: r[0]), 2):
+            norm = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+            sim = sum(x[w] * y[w] for w in x) / norm
+            if key[0] in marked and one != two and sim > 0.5:
+                want[*key, f, b] = round(sim, 6)
+
+    df = QUERIES["bucket_classes"](spark, str(tmp_path))
+    assert set(df.columns) == {"bucket", "single_rule", "part", "f_hash", "b_hash", "site", "cos_sim"}
+    members, links = {}, {}
+    for r in df.collect():
+        if r.part == "member":
+            members.setdefault((r.bucket, r.single_rule, r.f_hash), []).append((r.b_hash, r.site))
+        else:
+            links[r.bucket, r.single_rule, r.f_hash, r.b_hash] = r.cos_sim
+    met = [(key, c, 1.0) for key, rows in members.items() for c in combinations(rows, 2)]
+    met += [(k, c, sim) for k, sim in links.items() for c in product(members[k[:3]], members[*k[:2], k[3]])]
+    got = {(*key[:2], *sorted((f, b))): sim for key, ((f, one), (b, two)), sim in met if one != two}
+    assert got == want and 1.0 in want.values() and len(links) > 20
+
+    con = duckdb.connect()
+    for name in ("events", "supplier"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    assert compare(df, con, ORACLES["bucket_classes"])[1] is None

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairwarden.operators import dots, similarity
-from pairwarden.operators.similarity import bag_degrees, bag_rows, similar_bags, similar_classes, similar_pairs
+from pairwarden.operators.similarity import bag_degrees, bag_rows, named_links, similar_bags, similar_classes, similar_pairs
 
 
 def brute(rows, min_sim):
@@ -93,6 +93,27 @@ def test_links_are_counted_without_being_written(spark, block):
     assert want and {(r.g, bytes(r.bag)): r.n_links for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("min_sim", [0.4, 0.95])
+@pytest.mark.parametrize("block", [2048, 4])
+def test_links_of_two_sites_are_all_written(spark, block, min_sim):
+    rows = [(*r, f"s{r[0] % 3}" if r[0] % 7 else None) for r in texts()]
+    rows += [(200 + i, g, " ".join(f"long{k}" for k in range(40 + i)), s) for i, (g, s) in enumerate(
+        [("g", "s0"), ("g", "s0"), ("g", "s1"), ("g", None), ("h", "s1"), (None, "s1")])]
+    bags = bag_rows(spark.createDataFrame(rows, "id int, g string, t string, site string"), "t")
+    links, degrees = named_links(bags, ["g"], min_sim, F.min("id"), "site", block)
+    sites, name = {}, {}
+    for i, g, t, place in rows:
+        bag = g, tuple(sorted(re.findall(r"\w\w+", t.lower())))
+        name[i] = min(name.get(bag, i), i)
+        name[bag] = name[i]
+        sites.setdefault(name[i], set()).update({place} - {None})
+    want = {p: sim for p, sim in brute([r[:3] for r in rows if r[1]], min_sim).items()
+            if all(name[i] == i for i in p) and len(sites[p[0]] | sites[p[1]]) > 1}
+    found = links.collect()
+    assert len(want) > 2 and {tuple(sorted((r.a_name, r.b_name))): round(r.sim, 9) for r in found} == want
+    assert len(found) == len(want) and sum(r.n_links for r in degrees.collect()) == 2 * len(want)
+
+
 @pytest.mark.parametrize("asked", [None, "id % 50 = 0"])
 def test_pairs_below_the_bound_make_no_rows(spark, asked):
     """All texts share 30 words: 8 million pairs of 31 meetings each, of which one is a link."""
