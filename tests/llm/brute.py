@@ -110,18 +110,19 @@ def bench_words(text):
 
 def contamination(docs, items, window=10):
     out = []
-    patterns = []
+    patterns = {}  # equal ones of several items are compared once
     for item, text in items:
         ws = bench_words(text)
         m = min(window, len(ws))
-        patterns += [(item, ws[i:i + m]) for i in range(len(ws) - m + 1) if m]
+        for i in range(len(ws) - m + 1) if m else ():
+            patterns.setdefault(tuple(ws[i:i + m]), set()).update({str(item)} if item is not None else set())
     for doc, text in docs:
-        ws = bench_words(text)
+        ws = tuple(bench_words(text))
         hit, found = set(), set()
-        for item, p in patterns:
+        for p, of in patterns.items():
             for i in range(len(ws) - len(p) + 1):
                 if ws[i:i + len(p)] == p:
                     hit |= set(range(i, i + len(p)))
-                    found |= {str(item)} if item is not None else set()
+                    found |= of
         out.append((doc, len(ws), len(hit), len(found), sha(",".join(sorted(found)).encode()), bool(hit)))
     return out
